@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions.durations import epoch_millis, is_ntz
@@ -15,6 +14,10 @@ from millrace.operators.windows import Windows, bounds, with_window
 # Fixed value: the two characters between messages, a slash and an n.
 SEPARATOR = "/n"
 
+# With the usual limit of 1 MB for a message, a segment stays below the 2 GB that
+# one Spark string can hold.
+SEGMENT_MESSAGES = 1_000
+
 ARCHIVE_COLUMNS = ("topic", "dt", "window_end_ms", "partition", "offset", "value")
 
 
@@ -29,7 +32,7 @@ def window_concat(
     slide: str | int | timedelta | None = None,
     *,
     separator: str = SEPARATOR,
-    segment_messages: int = 100_000,
+    segment_messages: int = SEGMENT_MESSAGES,
     ts: str = "timestamp",
     start_offset: str | int | timedelta = 0,
 ) -> DataFrame:
@@ -59,14 +62,12 @@ def window_concat(
     if messages.isStreaming:
         return segments.select("topic", *bounds(layout, ntz), *result)
 
-    # Sizes come from a second, narrow read that leaves the texts out. They meet
-    # the segments on the segment's own key: evenly filled, already shuffled by it.
-    sizes = (
-        rows.groupBy(*piece)
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_large", F.sum("_n").over(W.partitionBy(*group)) > segment_messages)
-        .drop("_n")
-    )
+    # Sizes come from a second, narrow read that leaves the texts out. The texts
+    # meet them on the segment's own key, which is evenly filled and by which they
+    # are shuffled already; only the sizes are ever grouped by window alone.
+    sizes = rows.groupBy(*piece).agg(F.count("*").alias("_n"))
+    totals = sizes.groupBy(*group).agg((F.sum("_n") > segment_messages).alias("_large"))
+    sizes = sizes.join(totals, group).where(F.col("_n") > 0).drop("_n")
     return (
         segments.join(sizes, piece)
         .groupBy(

@@ -12,6 +12,7 @@ from millrace.operators import archive, documents, events, offsets, tokens, wind
 from millrace.plans.oracle import SQL
 from millrace.session import work_dir
 from millrace.sources import messages as source
+from millrace.sources.offsets import read_ledger
 from millrace.streaming import sinks
 from millrace.streaming.run import run_to_end
 
@@ -173,8 +174,8 @@ def count_sampled(spark, sf_dir):
 
 @query
 def count_dense(spark, sf_dir):
-    """Per minute and topic, minutes without a message included."""
-    return windows.window_counts(sample(spark, sf_dir), "1 minute", by=["topic"], dense=True)
+    """Per five minutes and topic, those without a message included."""
+    return windows.window_counts(sample(spark, sf_dir), "5 minutes", by=["topic"], dense=True)
 
 
 @query
@@ -305,7 +306,7 @@ def concat_stream(spark, sf_dir):
 @query
 def archive_stream(spark, sf_dir):
     work = work_dir(spark, "archive")
-    sink = sinks.archive_sink(f"{work}/archive", "10 hours", "4 hours")
+    sink = sinks.archive_sink(f"{work}/archive", "10 hours", "4 hours", spread=4)
     run_to_end(sample_stream(spark, sf_dir), sink, f"{work}/checkpoint")
     return sinks.read_archive(spark, f"{work}/archive").drop("batch_id")
 
@@ -314,7 +315,7 @@ def archive_stream(spark, sf_dir):
 def archive_text_stream(spark, sf_dir):
     """The historic layout, a folder per window, read back as messages."""
     work = work_dir(spark, "text")
-    sink = sinks.archive_sink(f"{work}/archive", "1 day", fmt="text")
+    sink = sinks.archive_sink(f"{work}/archive", "1 day", fmt="text", spread=4)
     run_to_end(sample_stream(spark, sf_dir), sink, f"{work}/checkpoint")
     return sinks.read_text_archive(spark, f"{work}/archive").drop("batch_id")
 
@@ -322,7 +323,7 @@ def archive_text_stream(spark, sf_dir):
 @query
 def events_parquet_roundtrip(spark, sf_dir):
     work = work_dir(spark, "events")
-    sink = sinks.events_sink(f"{work}/events", f"{work}/rejects")
+    sink = sinks.events_sink(f"{work}/events", f"{work}/rejects", spread=4)
     run_to_end(sample_stream(spark, sf_dir, dirty=True), sink, f"{work}/checkpoint")
     return sinks.read_events(spark, f"{work}/events").drop("batch_id")
 
@@ -346,11 +347,9 @@ def ledger_stream(spark, sf_dir):
     """The resume points a run leaves behind."""
     work = work_dir(spark, "ledger")
     sink = sinks.fan_out(
-        sinks.archive_sink(f"{work}/archive", "30 seconds"), sinks.ledger_sink(f"{work}/offsets")
+        sinks.archive_sink(f"{work}/archive", "30 seconds", spread=4), sinks.ledger_sink(f"{work}/offsets")
     )
     run_to_end(sample_stream(spark, sf_dir), sink, f"{work}/checkpoint")
-    from millrace.sources.offsets import read_ledger
-
     return offsets.latest_offsets(read_ledger(spark, f"{work}/offsets"))
 
 
@@ -359,7 +358,7 @@ def restart_no_duplicates(spark, sf_dir):
     """Archive the month in three deliveries, stopping and starting again in between."""
     work = work_dir(spark, "restart")
     messages = sample(spark, sf_dir)
-    sink = sinks.archive_sink(f"{work}/archive", "1 day")
+    sink = sinks.archive_sink(f"{work}/archive", "1 day", spread=4)
     for first, last in (("2000-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2100-01-01")):
         days = F.col("timestamp").cast("date")
         part = messages.where((days >= F.lit(first).cast("date")) & (days < F.lit(last).cast("date")))

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.operators.events import tag_type, to_events
 from millrace.operators.tokens import token_counts
 from millrace.operators.windows import COUNT_KINDS, COUNT_SLIDE, COUNT_WINDOW, label_counts, window_counts
-from millrace.sources.messages import subscribe
+from millrace.sources.messages import subscribe, with_event_time
 from millrace.streaming import sinks
 from millrace.streaming.run import run_stream
 
@@ -29,12 +29,13 @@ def archive_job(
     *,
     event_topics: tuple[str, ...] = ("PassportEvents",),
     fmt: str = "parquet",
+    spread: int | None = None,
     trigger: str = "1 second",
 ) -> Queries:
     """All topics to the archive, the events of some to Parquet, from one read."""
-    store_events = sinks.events_sink(f"{root}/events", f"{root}/rejects")
+    store_events = sinks.events_sink(f"{root}/events", f"{root}/rejects", spread=spread)
     sink = sinks.fan_out(
-        sinks.archive_sink(f"{root}/archive", window, slide, fmt=fmt),
+        sinks.archive_sink(f"{root}/archive", window, slide, fmt=fmt, spread=spread),
         lambda batch, batch_id: store_events(subscribe(batch, event_topics), batch_id),
         sinks.ledger_sink(f"{root}/offsets"),
     )
@@ -74,6 +75,7 @@ def resume_job(
     slide: str | int | None = None,
     *,
     fmt: str = "parquet",
+    spread: int | None = None,
     trigger: str = "1 second",
 ) -> Queries:
     """The archive with an offset ledger written after each batch's data.
@@ -83,7 +85,8 @@ def resume_job(
     new checkpoint and a new root.
     """
     sink = sinks.fan_out(
-        sinks.archive_sink(f"{root}/archive", window, slide, fmt=fmt), sinks.ledger_sink(f"{root}/offsets")
+        sinks.archive_sink(f"{root}/archive", window, slide, fmt=fmt, spread=spread),
+        sinks.ledger_sink(f"{root}/offsets"),
     )
     return {"resume": run_stream(messages, sink, checkpoint, trigger=trigger, name="resume")}
 
@@ -107,7 +110,7 @@ def counts_job(
     """
     chosen = subscribe(messages, [counted_topic])
     if watermark:
-        messages = messages.withWatermark("timestamp", watermark)
+        messages = with_event_time(messages).withWatermark("timestamp", watermark)
     events = tag_type(to_events(messages))
     counted = label_counts(
         window_counts(events, window, slide, ts="arrived", by=["topic", "type"], kinds=COUNT_KINDS)

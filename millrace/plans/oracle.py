@@ -68,10 +68,12 @@ SELECT {key}{_span(window)}, count(*) AS count{more} FROM k GROUP BY {key}st"""
 _COUNT_BY_KIND = _counts(_E, "e", "arrived", 10 * _HOUR, 4 * _HOUR, "topic", True)
 
 
-def _concat(window: int, slide: int) -> str:
-    return f"""{_M}, {_starts("m", '"timestamp"', window, slide)}
-SELECT topic, {_span(window)}, CAST(NULL AS INTEGER) AS "partition", CAST(NULL AS BIGINT) AS segment,
-  count(*) AS n, string_agg(value, '/n' ORDER BY "partition", "offset") AS value FROM k GROUP BY topic, st"""
+def _concat(window: int, slide: int, segment: int = 1_000) -> str:
+    return f"""{_M}, {_starts("m", '"timestamp"', window, slide)},
+  g AS (SELECT *, count(*) OVER (PARTITION BY topic, st) > {segment} AS large FROM k)
+SELECT topic, {_span(window)}, CASE WHEN large THEN "partition" END AS "partition",
+  CASE WHEN large THEN "offset" // {segment} END AS segment, count(*) AS n,
+  string_agg(value, '/n' ORDER BY "partition", "offset") AS value FROM g GROUP BY topic, st, 4, 5"""
 
 
 def _archive(window: int, slide: int, columns: str = '"partition", "offset", value') -> str:
@@ -123,10 +125,10 @@ FROM e""",
     "count_by_kind": _COUNT_BY_KIND,
     "count_tumbling": _counts(_E, "e", "arrived", _DAY, _DAY, kinds=True),
     "count_sampled": _counts(_M, "m", '"timestamp"', 2 * _HOUR, 6 * _HOUR),
-    "count_dense": f"""{_M}, c AS (SELECT topic, (epoch_us("timestamp") // {_MINUTE}) * {_MINUTE} AS st,
+    "count_dense": f"""{_M}, c AS (SELECT topic, (epoch_us("timestamp") // {5 * _MINUTE}) * {5 * _MINUTE} AS st,
     count(*) AS n FROM m GROUP BY ALL),
-  s AS (SELECT topic, unnest(range(min(st), max(st) + 1, {_MINUTE})) AS st FROM c GROUP BY topic)
-SELECT topic, {_span(_MINUTE)}, coalesce(n, 0) AS count FROM s LEFT JOIN c USING (topic, st)""",
+  s AS (SELECT topic, unnest(range(min(st), max(st) + 1, {5 * _MINUTE})) AS st FROM c GROUP BY topic)
+SELECT topic, {_span(5 * _MINUTE)}, coalesce(n, 0) AS count FROM s LEFT JOIN c USING (topic, st)""",
     "count_dense_sliding": f"""{_E}, {_starts("e", "arrived", 10 * _MINUTE, 4 * _MINUTE)},
   c AS (SELECT st, count(*) AS n, {_KINDS} FROM k GROUP BY st),
   s AS (SELECT unnest(range(min(st), max(st) + 1, {4 * _MINUTE})) AS st FROM c)
@@ -142,11 +144,7 @@ SELECT window_start, window_end, concat('Total: ', count) AS count,
     "concat_daily": _concat(_DAY, _DAY),
     "concat_sliding": _concat(10 * _HOUR, 4 * _HOUR),
     "concat_sampled": _concat(2 * _HOUR, 6 * _HOUR),
-    "concat_segments": f"""{_M}, {_starts("m", '"timestamp"', _DAY, _DAY)},
-  g AS (SELECT *, count(*) OVER (PARTITION BY topic, st) > 32 AS large FROM k)
-SELECT topic, {_span(_DAY)}, CASE WHEN large THEN "partition" END AS "partition",
-  CASE WHEN large THEN "offset" // 32 END AS segment, count(*) AS n,
-  string_agg(value, '/n' ORDER BY "partition", "offset") AS value FROM g GROUP BY topic, st, 4, 5""",
+    "concat_segments": _concat(_DAY, _DAY, 32),
     "archive_rows": _archive(10 * _HOUR, 4 * _HOUR),
     "archive_paths": f"""WITH a AS ({_archive(_HOUR, _HOUR)})
 SELECT concat('/archive/', topic, '/', replace(dt, '-', '/'), '/', window_end_ms) AS path, count(*) AS n

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.offsets import BROADCAST_ROWS, offset_ranges
 
+# Fixed value: the offset by which a Kafka read names the beginning of a partition.
+EARLIEST = -2
+
 LEDGER_SCHEMA = "topic string, partition int, from_offset bigint, until_offset bigint, n bigint, batch_id bigint"
 
 
@@ -30,11 +34,13 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LEDGER_SCHEMA).parquet(path)
 
 
-def starting_offsets(points: DataFrame) -> str | None:
+def starting_offsets(points: DataFrame, partition_counts: Mapping[str, int] | None = None) -> str | None:
     """The start option of a Kafka read, from ``topic, partition, offset`` rows.
 
-    The option is one text on the driver, so the rows are limited to the number a
-    cluster can have as partitions. No rows means a fresh start: leave it out.
+    The option has to name every partition of its topics. ``partition_counts``
+    adds those that have no point yet, from their beginning. The option is one
+    text on the driver, so the rows are limited to what a cluster can have as
+    partitions. No rows at all means a fresh start: None, leave the option out.
     """
     rows = points.select("topic", "partition", "offset").limit(BROADCAST_ROWS + 1).collect()
     if len(rows) > BROADCAST_ROWS:
@@ -42,4 +48,7 @@ def starting_offsets(points: DataFrame) -> str | None:
     starts: dict[str, dict[str, int]] = {}
     for topic, partition, offset in sorted(rows):
         starts.setdefault(topic, {})[str(partition)] = offset
+    for topic, count in (partition_counts or {}).items():
+        for partition in range(count):
+            starts.setdefault(topic, {}).setdefault(str(partition), EARLIEST)
     return json.dumps(starts, separators=(",", ":")) if starts else None

@@ -2,8 +2,13 @@
 
 A sink is a function of (batch, batch_id). Whatever it writes goes to a folder of
 that batch, replaced as a whole, so a batch that is run again leaves the same
-files. Batches are written as they are partitioned: a Kafka task holds one topic,
-so its rows already lie together and no shuffle is needed.
+files.
+
+Rows are written by the tasks that read them unless ``spread`` is given. A Kafka
+task holds one topic and a short time, so that needs no shuffle. Files that mix
+topics and dates would leave a small file per task and folder: with ``spread=n``
+the rows of a folder are first gathered in n tasks, chosen by offset, so that a
+folder with a third of all rows is still written by n.
 """
 
 from __future__ import annotations
@@ -51,6 +56,12 @@ def replace_batch(
     )
 
 
+def _gathered(rows: DataFrame, folders: Sequence[str], spread: int | None) -> DataFrame:
+    if spread is None:
+        return rows
+    return rows.repartition(*folders, F.pmod(F.col("offset"), F.lit(spread)))
+
+
 def skip_empty(sink: Sink) -> Sink:
     """``sink`` for batches with rows; an empty one leaves no folder behind."""
 
@@ -83,6 +94,7 @@ def archive_sink(
     *,
     fmt: str = "parquet",
     separator: str = SEPARATOR,
+    spread: int | None = None,
 ) -> Sink:
     """Messages by topic, date, window end and batch.
 
@@ -95,12 +107,13 @@ def archive_sink(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         rows = window_archive(batch, window, slide)
+        order = ["topic", "dt", "window_end_ms", "partition", "offset"]
         if fmt == "text":
             folders = ["topic", "dt", "window_end_ms"]
-            lines = rows.sortWithinPartitions(*folders, "partition", "offset").select(*folders, "value")
+            lines = _gathered(rows, folders, spread).sortWithinPartitions(*order).select(*folders, "value")
             replace_batch(lines, batch_id, root, folders, "text", lineSep=separator)
         else:
-            rows = rows.sortWithinPartitions("topic", "dt", "window_end_ms", "partition", "offset")
+            rows = _gathered(rows, ["topic", "dt"], spread).sortWithinPartitions(*order)
             replace_batch(rows, batch_id, root, ["topic", "dt"])
 
     return skip_empty(run)
@@ -117,10 +130,6 @@ def read_text_archive(spark: SparkSession, root: str, separator: str = SEPARATOR
     return spark.read.schema(schema).option("lineSep", separator).format("text").load(root)
 
 
-def _dated(events: DataFrame) -> DataFrame:
-    return events.select(*EVENT_COLUMNS, "topic", F.date_format("arrived", "yyyy-MM-dd").alias("dt"))
-
-
 def events_sink(
     root: str,
     rejects: str | None = None,
@@ -128,26 +137,35 @@ def events_sink(
     sid_path: str = "passport.sid",
     view: str | None = "events",
     on_view: Sink | None = None,
+    spread: int | None = None,
 ) -> Sink:
     """Event rows by topic, date and batch, and the messages that are none to ``rejects``.
 
     The batch's events are registered as ``view`` first; ``on_view`` may query it
     through the batch's own session.
     """
+    folders = ["topic", "dt"]
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        parsed = classify(batch, sid_path).persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = classify(batch, sid_path)
+        reread = rejects is not None or on_view is not None
+        if reread:
+            parsed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             events = events_of(parsed)
             if view:
                 events.createOrReplaceTempView(view)
             if on_view:
                 on_view(events, batch_id)
-            replace_batch(_dated(events), batch_id, root, ["topic", "dt"])
+            dated = events.withColumn("dt", F.date_format("arrived", "yyyy-MM-dd"))
+            replace_batch(
+                _gathered(dated, folders, spread).select(*EVENT_COLUMNS, *folders), batch_id, root, folders
+            )
             if rejects:
                 replace_batch(rejects_of(parsed), batch_id, rejects)
         finally:
-            parsed.unpersist()
+            if reread:
+                parsed.unpersist()
 
     return skip_empty(run)
 
