@@ -53,26 +53,23 @@ def shift(ts: Column, micros: int | Column, ntz: bool) -> Column:
     return F.timestamp_micros(F.unix_micros(ts) + micros)
 
 
-def epoch_micros(ts: Column, ntz: bool) -> Column:
-    """Microseconds since 1970, reading a wall-clock timestamp as UTC in any session zone."""
-    if not ntz:
-        return F.unix_micros(ts)
+def _wall_clock_epoch(ts: Column, per_second: int) -> Column:
+    """Time since 1970 of a wall-clock timestamp read as UTC, rounded down to the unit."""
     since = ts - F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
-    def part(field: str, micros: int) -> Column:
-        return (F.extract(F.lit(field), since) * F.lit(micros).cast("bigint")).cast("bigint")
+    def part(field: str, seconds: int) -> Column:
+        return F.extract(F.lit(field), since) * F.lit(seconds * per_second).cast("bigint")
 
     return (
-        part("DAY", _UNIT_MICROS["day"])
-        + part("HOUR", _UNIT_MICROS["hour"])
-        + part("MINUTE", _UNIT_MICROS["minute"])
-        + part("SECOND", _UNIT_MICROS["second"])
+        part("DAY", 86_400) + part("HOUR", 3_600) + part("MINUTE", 60) + F.floor(part("SECOND", 1)).cast("bigint")
     )
 
 
+def epoch_micros(ts: Column, ntz: bool) -> Column:
+    """Microseconds since 1970, reading a wall-clock timestamp as UTC in any session zone."""
+    return _wall_clock_epoch(ts, 1_000_000) if ntz else F.unix_micros(ts)
+
+
 def epoch_millis(ts: Column, ntz: bool) -> Column:
     """Milliseconds since 1970, rounded down: the number that names an archive folder."""
-    if not ntz:
-        return F.unix_millis(ts)
-    micros = epoch_micros(ts, ntz)
-    return F.call_function("div", micros - F.pmod(micros, F.lit(1000)), F.lit(1000))
+    return _wall_clock_epoch(ts, 1_000) if ntz else F.unix_millis(ts)

@@ -306,7 +306,7 @@ def concat_stream(spark, sf_dir):
 @query
 def archive_stream(spark, sf_dir):
     work = work_dir(spark, "archive")
-    sink = sinks.archive_sink(f"{work}/archive", "10 hours", "4 hours", spread=4)
+    sink = sinks.archive_sink(f"{work}/archive", "10 hours", "4 hours", spread=1)
     run_to_end(sample_stream(spark, sf_dir), sink, f"{work}/checkpoint")
     return sinks.read_archive(spark, f"{work}/archive").drop("batch_id")
 
@@ -315,7 +315,7 @@ def archive_stream(spark, sf_dir):
 def archive_text_stream(spark, sf_dir):
     """The historic layout, a folder per window, read back as messages."""
     work = work_dir(spark, "text")
-    sink = sinks.archive_sink(f"{work}/archive", "1 day", fmt="text", spread=4)
+    sink = sinks.archive_sink(f"{work}/archive", "1 day", fmt="text", spread=1)
     run_to_end(sample_stream(spark, sf_dir), sink, f"{work}/checkpoint")
     return sinks.read_text_archive(spark, f"{work}/archive").drop("batch_id")
 
@@ -323,7 +323,7 @@ def archive_text_stream(spark, sf_dir):
 @query
 def events_parquet_roundtrip(spark, sf_dir):
     work = work_dir(spark, "events")
-    sink = sinks.events_sink(f"{work}/events", f"{work}/rejects", spread=4)
+    sink = sinks.events_sink(f"{work}/events", f"{work}/rejects", spread=1)
     run_to_end(sample_stream(spark, sf_dir, dirty=True), sink, f"{work}/checkpoint")
     return sinks.read_events(spark, f"{work}/events").drop("batch_id")
 
@@ -347,7 +347,7 @@ def ledger_stream(spark, sf_dir):
     """The resume points a run leaves behind."""
     work = work_dir(spark, "ledger")
     sink = sinks.fan_out(
-        sinks.archive_sink(f"{work}/archive", "30 seconds", spread=4), sinks.ledger_sink(f"{work}/offsets")
+        sinks.archive_sink(f"{work}/archive", "30 seconds", spread=1), sinks.ledger_sink(f"{work}/offsets")
     )
     run_to_end(sample_stream(spark, sf_dir), sink, f"{work}/checkpoint")
     return offsets.latest_offsets(read_ledger(spark, f"{work}/offsets"))
@@ -358,7 +358,7 @@ def restart_no_duplicates(spark, sf_dir):
     """Archive the month in three deliveries, stopping and starting again in between."""
     work = work_dir(spark, "restart")
     messages = sample(spark, sf_dir)
-    sink = sinks.archive_sink(f"{work}/archive", "1 day", spread=4)
+    sink = sinks.archive_sink(f"{work}/archive", "1 day", spread=1)
     for first, last in (("2000-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2100-01-01")):
         days = F.col("timestamp").cast("date")
         part = messages.where((days >= F.lit(first).cast("date")) & (days < F.lit(last).cast("date")))
