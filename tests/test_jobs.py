@@ -1,0 +1,118 @@
+"""The five jobs, each over delivered files."""
+
+from __future__ import annotations
+
+import pytest
+
+from millrace.operators.archive import window_archive
+from millrace.operators.events import to_events
+from millrace.operators.offsets import latest_offsets, resume_from
+from millrace.operators.tokens import token_counts
+from millrace.operators.windows import COUNT_KINDS, window_counts
+from millrace.plans import jobs
+from millrace.session import work_dir
+from millrace.sources.messages import subscribe
+from millrace.sources.offsets import read_ledger
+from millrace.streaming import sinks
+from tests.test_streams import Inbox, rows, same
+
+
+@pytest.fixture
+def inbox(spark, make_messages, tmp_path):
+    box = Inbox(spark, make_messages, tmp_path)
+    box.deliver(rows(0, 60))
+    box.deliver(rows(60, 90) + [("PassportEvents", 0, 500, 90, "broken")])
+    return box
+
+
+def finish(queries):
+    try:
+        for query in queries.values():
+            query.processAllAvailable()
+    finally:
+        for query in queries.values():
+            query.stop()
+
+
+def test_archive_job(spark, inbox, tmp_path):
+    root = f"{tmp_path}/out"
+    finish(jobs.archive_job(inbox.stream(), root, f"{tmp_path}/ck", 30))
+    table = inbox.table()
+    same(sinks.read_archive(spark, f"{root}/archive").drop("batch_id"), window_archive(table, 30))
+    passport = to_events(subscribe(table, "PassportEvents"), lineage=False)
+    same(sinks.read_events(spark, f"{root}/events").select(passport.columns), passport)
+    assert [r["offset"] for r in sinks.read_rejects(spark, f"{root}/rejects").collect()] == [500]
+    assert resume_from(table, latest_offsets(read_ledger(spark, f"{root}/offsets"))).count() == 0
+
+
+def test_resume_job_goes_on_after_a_stop(spark, inbox, tmp_path):
+    root, ck = f"{tmp_path}/out", f"{tmp_path}/ck"
+    finish(jobs.resume_job(inbox.stream(), root, ck))
+    inbox.deliver(rows(90, 120))
+    finish(jobs.resume_job(inbox.stream(), root, ck))
+    same(sinks.read_archive(spark, f"{root}/archive").drop("batch_id"), window_archive(inbox.table(), "30 seconds"))
+    assert read_ledger(spark, f"{root}/offsets").select("batch_id").distinct().count() == 3
+
+
+def test_search_job(spark, inbox, tmp_path):
+    finish(jobs.search_job(inbox.stream(), "events", f"{tmp_path}/ck", path=f"{tmp_path}/bulk"))
+    lines = spark.read.schema("value string").text(f"{tmp_path}/bulk").select("value")
+    assert lines.count() == 2 * to_events(subscribe(inbox.table(), "PassportEvents")).count()
+    with pytest.raises(ValueError):
+        jobs.search_job(inbox.stream(), "events", f"{tmp_path}/ck2")
+
+
+def test_word_count_job(spark, inbox, tmp_path):
+    finish(jobs.word_count_job(inbox.stream(), f"{tmp_path}/ck", sink=sinks.snapshot_sink(f"{tmp_path}/out")))
+    same(sinks.read_snapshot(spark, f"{tmp_path}/out"), token_counts(subscribe(inbox.table(), "PassportEvents")))
+
+
+def test_counts_job(spark, inbox, tmp_path):
+    collected = {}
+
+    def keep(batch, batch_id):
+        collected.update({(r["topic"], r["window_start"]): r for r in batch.collect()})
+
+    queries = jobs.counts_job(
+        inbox.stream(), f"{tmp_path}/ck", dump_path=f"{tmp_path}/dump", counts_sink=keep, watermark=None
+    )
+    assert set(queries) == {"counts", "first", "dump"}
+    finish(queries)
+    expected = window_counts(to_events(inbox.table()), 10, 4, ts="arrived", by=["topic"], kinds=COUNT_KINDS).collect()
+    assert {k: r["count"] for k, r in collected.items()} == {
+        (r["topic"], r["window_start"]): f"Total: {r['count']}" for r in expected
+    }
+    assert {r["type"] for r in collected.values()} == {"rawEvent", "passportEvent"}
+    dump = spark.read.schema("value string").text(f"{tmp_path}/dump")
+    assert dump.count() == subscribe(inbox.table(), "PassportEvents").count()
+
+
+def test_counts_job_with_watermark(spark, inbox, tmp_path):
+    inbox.deliver([("RawEvents", 0, 900, 5_000, "{}")])
+    out = []
+    finish(
+        jobs.counts_job(
+            inbox.stream(), f"{tmp_path}/ck", dump_path=f"{tmp_path}/dump",
+            counts_sink=lambda b, i: out.extend(b.select("window_start", "topic").collect()),
+        )
+    )
+    early = window_counts(to_events(inbox.table()).where("offset <> 900"), 10, 4, ts="arrived", by=["topic"])
+    assert len(out) == len(set(out)) == early.count()
+
+
+class _Session:
+    """Stands in for a session: the setting is fixed once a context runs."""
+
+    def __init__(self, shared, master):
+        self.conf = {"spark.checkpoint.dir": shared} if shared else {}
+        self.sparkContext = self
+        self.master = master
+
+
+def test_work_dir():
+    shared = _Session("hdfs://host/shared/", "yarn")
+    first = work_dir(shared, "x")
+    assert first.startswith("hdfs://host/shared/x-") and first != work_dir(shared, "x")
+    assert "millrace-x-" in work_dir(_Session(None, "local[4]"), "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_dir(_Session(None, "yarn"), "x")
