@@ -132,11 +132,10 @@ def reason(value: Column, f: Column, path: SessionPath) -> Column:
     )
 
 
-def outcome(value: Column, f: Column, path: SessionPath) -> Column:
-    """``struct(reason, eid, sessionId, userId)`` of one message."""
-    return F.struct(
-        reason(value, f, path).alias("reason"),
-        _text(f["eid"]).alias("eid"),
-        F.when(f["sid"].isNull(), "").otherwise(_text(f["sid"])).alias("sessionId"),
-        _text(f["user"]).alias("userId"),
-    )
+def texts(f: Column) -> dict[str, Column]:
+    """The event's columns. An absent session id is the empty text; JSON null stays null."""
+    return {
+        "eid": _text(f["eid"]),
+        "sessionId": F.when(f["sid"].isNull(), "").otherwise(_text(f["sid"])),
+        "userId": _text(f["user"]),
+    }

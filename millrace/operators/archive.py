@@ -47,12 +47,14 @@ def window_concat(
     """
     layout = Windows.of(window, slide, start_offset)
     ntz = is_ntz(messages, ts)
+    # A row without a place sorts first; the join below must not lose it.
+    offset = F.coalesce(F.col("offset"), F.lit(-1))
     rows = with_window(messages, layout, ts).select(
-        "topic",
+        F.coalesce(F.col("topic"), F.lit("")).alias("topic"),
         "window",
-        "partition",
-        "offset",
-        F.call_function("div", F.col("offset"), F.lit(segment_messages)).alias("segment"),
+        F.coalesce(F.col("partition"), F.lit(-1)).alias("partition"),
+        offset.alias("offset"),
+        F.call_function("div", offset, F.lit(segment_messages)).alias("segment"),
         shown(F.col("value")).alias("value"),
     )
     group = ["topic", "window"]

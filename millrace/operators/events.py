@@ -22,45 +22,38 @@ TOPIC_TYPES = {"RawEvents": "rawEvent", "PassportEvents": "passportEvent", "Sess
 
 
 def classify(messages: DataFrame, sid_path: str = "passport.sid") -> DataFrame:
-    """Each message with ``outcome``: its event fields and a quarantine reason or null.
+    """Each message with its parsed ``fields`` and a quarantine ``reason``, null for an event.
 
-    The outcome goes through ``explode`` of a one-element array: a later filter on
-    the reason then stays above the parse instead of being rewritten into a
-    second copy of it.
+    The reason goes through ``explode`` of a one-element array: a later filter on
+    it then stays above the parse instead of being rewritten into a second copy of
+    it. The fields stay variants until a column is asked for.
     """
     path = payload.SessionPath.of(sid_path)
     value = F.col("value")
     parsed = messages.withColumn("_doc", payload.parse(value, path))
     if path.parent is None:
-        parsed = parsed.withColumn("_fields", payload.flat_fields(F.col("_doc"), path))
+        parsed = parsed.withColumn("fields", payload.flat_fields(F.col("_doc"), path))
     else:
         parsed = parsed.withColumn("_again", payload.parse_again(value, F.col("_doc"), path)).withColumn(
-            "_fields", payload.nested_fields(F.col("_doc"), F.col("_again"), path)
+            "fields", payload.nested_fields(F.col("_doc"), F.col("_again"), path)
         )
-    outcome = payload.outcome(value, F.col("_fields"), path)
-    return parsed.select(*messages.columns, F.explode(F.array(outcome)).alias("outcome"))
+    why = payload.reason(value, F.col("fields"), path)
+    return parsed.select(*messages.columns, "fields", F.explode(F.array(why)).alias("reason"))
 
 
 def events_of(classified: DataFrame, event_type: str | None = None, lineage: bool = True) -> DataFrame:
     """The event rows of classified messages."""
-    null = F.lit(None).cast("string")
+    columns = {name: F.lit(None).cast("string") for name in EVENT_COLUMNS}
+    columns.update(payload.texts(F.col("fields")), type=F.lit(event_type).cast("string"))
     source = [F.col("topic"), F.col("partition"), F.col("offset"), F.col("timestamp").alias("arrived")]
-    return classified.where(F.col("outcome.reason").isNull()).select(
-        *(source if lineage else []),
-        F.col("outcome.eid").alias("eid"),
-        null.alias("email"),
-        null.alias("name"),
-        F.col("outcome.sessionId").alias("sessionId"),
-        null.alias("timestamp"),
-        F.lit(event_type).cast("string").alias("type"),
-        F.col("outcome.userId").alias("userId"),
+    return classified.where(F.col("reason").isNull()).select(
+        *(source if lineage else []), *[column.alias(name) for name, column in columns.items()]
     )
 
 
 def rejects_of(classified: DataFrame) -> DataFrame:
     """The classified messages that are no events, each whole and with its reason."""
-    rejected = classified.where(F.col("outcome.reason").isNotNull())
-    return rejected.withColumn("reason", F.col("outcome.reason")).drop("outcome")
+    return classified.where(F.col("reason").isNotNull()).drop("fields")
 
 
 def to_events(
