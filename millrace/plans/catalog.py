@@ -66,6 +66,11 @@ def topic_subset(spark, sf_dir):
     return source.subscribe(sample(spark, sf_dir), SUBSCRIBED)
 
 
+@query
+def first_messages(spark, sf_dir):
+    return source.first_rows(sample(spark, sf_dir)).select("topic", "partition", "offset", "value")
+
+
 # Offsets
 
 

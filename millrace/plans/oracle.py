@@ -97,6 +97,8 @@ SQL: dict[str, str] = {
     "messages_by_topic": f"{_M} SELECT topic, count(*) AS n FROM m GROUP BY topic",
     "topic_subset": f"""{_M} SELECT CAST(NULL AS VARCHAR) AS key, value, topic, "partition", "offset", "timestamp"
 FROM m WHERE topic IN ('RawEvents', 'PassportEvents', 'SessionsRes')""",
+    "first_messages": f'''{_M} SELECT topic, "partition", "offset", value FROM m
+ORDER BY topic, "partition", "offset" LIMIT 10''',
     "offset_ranges": f"{_M}, {_RANGES} SELECT * FROM r",
     "offsets_encoded": f"""{_M}, {_RANGES} SELECT topic,
   string_agg(concat("partition", ':', until_offset), ',' ORDER BY "partition") AS offsets FROM r GROUP BY topic""",

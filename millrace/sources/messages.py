@@ -105,6 +105,14 @@ def values(messages: DataFrame) -> DataFrame:
     return messages.select(F.col("value").cast("string").alias("value"))
 
 
+def first_rows(messages: DataFrame, n: int = 10) -> DataFrame:
+    """The first ``n`` messages by place, for a look at a table; a stream has the console sink.
+
+    Each task keeps its own first ``n``, and only those meet.
+    """
+    return messages.orderBy("topic", "partition", "offset").limit(n)
+
+
 def with_event_time(messages: DataFrame, column: str = "timestamp") -> DataFrame:
     """``column`` as a zoned timestamp, which is what a watermark needs."""
     return messages.withColumn(column, F.col(column).cast("timestamp"))
