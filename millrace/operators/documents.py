@@ -43,10 +43,14 @@ def to_bulk_documents(
     return df.select(_target(resource, doc_id).alias("action"), F.to_json(body, options).alias("source"))
 
 
+def event_place() -> Column:
+    """``topic-partition-offset``, an id that is the same whenever the message is read."""
+    return F.concat_ws("-", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
+
+
 def event_documents(events: DataFrame, resource: str, ignore_nulls: bool = True) -> DataFrame:
     """One document per event, with the message's place as its id."""
-    place = F.concat_ws("-", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
-    return to_bulk_documents(events, resource, place, EVENT_COLUMNS, ignore_nulls)
+    return to_bulk_documents(events, resource, event_place(), EVENT_COLUMNS, ignore_nulls)
 
 
 def bulk_lines(documents: DataFrame) -> DataFrame:

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A resume point holds one row per topic partition. Up to this many rows, some
-# tens of bytes each, it is sent to every executor; beyond it the join shuffles.
+# There is one resume point per topic partition. A few become a filter that the
+# scan itself can use; up to the second number of rows, some tens of bytes each,
+# they are sent to every executor; beyond it the join shuffles.
+FILTER_ROWS = 100
 BROADCAST_ROWS = 100_000
 
 # Copies of each resume point in the shuffled join, so that one busy partition
@@ -45,14 +50,26 @@ def latest_offsets(ledger: DataFrame) -> DataFrame:
     return ledger.groupBy("topic", "partition").agg(F.max("until_offset").alias("offset"))
 
 
-def resume_from(messages: DataFrame, points: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def resume_from(
+    messages: DataFrame,
+    points: DataFrame,
+    filter_rows: int = FILTER_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
     """The messages from each partition's resume point on.
 
     ``points`` has ``topic, partition, offset``. A partition without a point
-    starts fresh and keeps everything. The points are counted once to choose
-    between a broadcast and, past ``broadcast_rows``, a salted shuffle join.
+    starts fresh and keeps everything. The points are looked at first, to choose
+    between a filter, a broadcast and, past ``broadcast_rows``, a salted join.
     """
     points = points.select("topic", "partition", F.col("offset").alias("_from"))
+    few = points.limit(filter_rows + 1).collect()
+    if not few:
+        return messages
+    if len(few) <= filter_rows:
+        here = [F.col("topic").eqNullSafe(t) & F.col("partition").eqNullSafe(p) for t, p, _ in few]
+        later = [place & (F.col("offset") >= start) for place, (_, _, start) in zip(here, few)]
+        return messages.where(reduce(or_, later) | ~reduce(or_, here))
     small = points.limit(broadcast_rows + 1).count() <= broadcast_rows
     keys = ["topic", "partition"]
     if small or messages.isStreaming:

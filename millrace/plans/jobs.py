@@ -12,7 +12,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.events import tag_type, to_events
 from millrace.operators.tokens import token_counts
-from millrace.operators.windows import COUNT_KINDS, COUNT_SLIDE, COUNT_WINDOW, label_counts, window_counts
+from millrace.operators.windows import (
+    COUNT_KINDS,
+    COUNT_SLIDE,
+    COUNT_WINDOW,
+    Windows,
+    label_counts,
+    window_counts,
+)
 from millrace.sources.messages import subscribe, with_event_time
 from millrace.streaming import sinks
 from millrace.streaming.run import run_stream
@@ -20,6 +27,11 @@ from millrace.streaming.run import run_stream
 Queries = dict[str, StreamingQuery]
 
 
+def every_slide(window: str | int, slide: str | int | None) -> str:
+    """A batch per slide, so that an archive gets one folder per topic and slide, not one per second."""
+    return f"{max(Windows.of(window, slide).slide // 1_000, 1)} milliseconds"
+
+
 def archive_job(
     messages: DataFrame,
     root: str,
@@ -30,7 +42,7 @@ def archive_job(
     event_topics: tuple[str, ...] = ("PassportEvents",),
     fmt: str = "parquet",
     spread: int | None = None,
-    trigger: str = "1 second",
+    trigger: str | None = None,
 ) -> Queries:
     """All topics to the archive, the events of some to Parquet, from one read."""
     store_events = sinks.events_sink(f"{root}/events", f"{root}/rejects", spread=spread)
@@ -39,6 +51,7 @@ def archive_job(
         lambda batch, batch_id: store_events(subscribe(batch, event_topics), batch_id),
         sinks.ledger_sink(f"{root}/offsets"),
     )
+    trigger = trigger or every_slide(window, slide)
     return {"archive": run_stream(messages, sink, checkpoint, trigger=trigger, name="archive")}
 
 
@@ -76,7 +89,7 @@ def resume_job(
     *,
     fmt: str = "parquet",
     spread: int | None = None,
-    trigger: str = "1 second",
+    trigger: str | None = None,
 ) -> Queries:
     """The archive with an offset ledger written after each batch's data.
 
@@ -88,6 +101,7 @@ def resume_job(
         sinks.archive_sink(f"{root}/archive", window, slide, fmt=fmt, spread=spread),
         sinks.ledger_sink(f"{root}/offsets"),
     )
+    trigger = trigger or every_slide(window, slide)
     return {"resume": run_stream(messages, sink, checkpoint, trigger=trigger, name="resume")}
 
 

@@ -21,12 +21,22 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import pair
 from millrace.operators.archive import ARCHIVE_COLUMNS, SEPARATOR, window_archive
-from millrace.operators.documents import bulk_lines, event_documents
+from millrace.operators.documents import bulk_lines, event_documents, event_place
 from millrace.operators.events import EVENT_COLUMNS, classify, events_of, rejects_of
 from millrace.sources.offsets import write_ledger
 
 Sink = Callable[[DataFrame, int], None]
 
+# How the search job talks to its cluster; nodes and port are the
+# caller's. The last two make the column `place` the document id.
+CONNECTOR_OPTIONS = {
+    "es.index.auto.create": "true",
+    "es.http.timeout": "5m",
+    "es.scroll.size": "50",
+    "es.mapping.id": "place",
+    "es.mapping.exclude": "place",
+}
+
 ARCHIVE_SCHEMA = (
     "partition int, offset bigint, value string, topic string, dt string, window_end_ms bigint, batch_id bigint"
 )
@@ -193,11 +203,16 @@ def bulk_sink(path: str, resource: str, *, sid_path: str = "passport.sid") -> Si
 def connector_sink(
     resource: str, options: dict[str, str], *, fmt: str = "org.elasticsearch.spark.sql", sid_path: str = "passport.sid"
 ) -> Sink:
-    """Event rows straight to an index through a connector on the class path."""
+    """Event rows straight to an index through a connector on the class path.
+
+    The message's place is the document id, not a field, so a batch that is run
+    again replaces its documents.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        events = events_of(classify(batch, sid_path), lineage=False)
-        events.write.format(fmt).options(**options).mode("append").save(resource)
+        events = events_of(classify(batch, sid_path))
+        rows = events.select(*EVENT_COLUMNS, event_place().alias("place"))
+        rows.write.format(fmt).options(**{**CONNECTOR_OPTIONS, **options}).mode("append").save(resource)
 
     return skip_empty(run)
 

@@ -36,7 +36,7 @@ def finish(queries):
 
 def test_archive_job(spark, inbox, tmp_path):
     root = f"{tmp_path}/out"
-    finish(jobs.archive_job(inbox.stream(), root, f"{tmp_path}/ck", 30))
+    finish(jobs.archive_job(inbox.stream(), root, f"{tmp_path}/ck", 30, trigger="1 second"))
     table = inbox.table()
     same(sinks.read_archive(spark, f"{root}/archive").drop("batch_id"), window_archive(table, 30))
     passport = to_events(subscribe(table, "PassportEvents"), lineage=False)
@@ -47,13 +47,18 @@ def test_archive_job(spark, inbox, tmp_path):
 
 def test_resume_job_goes_on_after_a_stop(spark, inbox, tmp_path):
     root, ck = f"{tmp_path}/out", f"{tmp_path}/ck"
-    finish(jobs.resume_job(inbox.stream(), root, ck))
+    finish(jobs.resume_job(inbox.stream(), root, ck, trigger="1 second"))
     inbox.deliver(rows(90, 120))
-    finish(jobs.resume_job(inbox.stream(), root, ck))
+    finish(jobs.resume_job(inbox.stream(), root, ck, trigger="1 second"))
     same(sinks.read_archive(spark, f"{root}/archive").drop("batch_id"), window_archive(inbox.table(), "30 seconds"))
     assert read_ledger(spark, f"{root}/offsets").select("batch_id").distinct().count() == 3
 
 
+def test_batch_per_slide():
+    assert jobs.every_slide("30 seconds", None) == "30000 milliseconds"
+    assert jobs.every_slide(10, 4) == "4000 milliseconds"
+
+
 def test_search_job(spark, inbox, tmp_path):
     finish(jobs.search_job(inbox.stream(), "events", f"{tmp_path}/ck", path=f"{tmp_path}/bulk"))
     lines = spark.read.schema("value string").text(f"{tmp_path}/bulk").select("value")

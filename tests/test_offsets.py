@@ -15,6 +15,7 @@ from millrace.operators.offsets import (
     offset_ranges,
     resume_from,
 )
+from millrace.sources.messages import stored_messages
 from millrace.sources.offsets import read_ledger, starting_offsets, write_ledger
 
 POINTS = "topic string, partition int, offset bigint"
@@ -53,16 +54,30 @@ def test_round_trip(spark, points):
     assert {tuple(r) for r in out} == set(rows)
 
 
-@pytest.mark.parametrize("broadcast_rows", [100, 0])
-def test_resume(spark, make_messages, broadcast_rows):
+@pytest.mark.parametrize("filter_rows,broadcast_rows", [(100, 100), (0, 100), (0, 0)])
+def test_resume(spark, make_messages, filter_rows, broadcast_rows):
     rows = [(t, p, o, o, f"{t}{p}{o}") for t in ("A", "B") for p in (0, 1) for o in range(150)]
     points = spark.createDataFrame([("A", 0, 100), ("A", 1, 0), ("B", 0, 500)], POINTS)
-    out = resume_from(make_messages(rows), points, broadcast_rows)
+    out = resume_from(make_messages(rows), points, filter_rows, broadcast_rows)
     kept = sorted((r["topic"], r["partition"], r["offset"]) for r in out.collect())
     expected = [("A", 0, o) for o in range(100, 150)] + [(t, 1, o) for t in ("A", "B") for o in range(150)]
     assert kept == sorted(expected)
-    joins = out._jdf.queryExecution().optimizedPlan().toString()
-    assert ("broadcast" in joins) == (broadcast_rows > 0)
+    text = out._jdf.queryExecution().optimizedPlan().toString()
+    assert ("Join" in text) == (filter_rows == 0)
+    assert ("broadcast" in text) == (filter_rows == 0 and broadcast_rows > 0)
+
+
+def test_resume_reaches_the_scan(spark, make_messages, tmp_path):
+    make_messages([("A", 0, o, o, "x") for o in range(10)]).write.parquet(f"{tmp_path}/m")
+    points = spark.createDataFrame([("A", 0, 4)], POINTS)
+    out = resume_from(stored_messages(spark, f"{tmp_path}/m", ntz=True), points)
+    assert out.count() == 6
+    assert "GreaterThanOrEqual(offset,4)" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_resume_without_points_is_everything(spark, make_messages):
+    messages = make_messages([("A", 0, 1, 1, "x")])
+    assert resume_from(messages, spark.createDataFrame([], POINTS)).count() == 1
 
 
 def test_ledger(spark, make_messages, tmp_path):

@@ -207,6 +207,15 @@ def test_bulk_and_dump_files(spark, inbox, tmp_path):
     assert sorted(r["value"] for r in dump.collect()) == sorted(f"(null,{r[4]})" for r in rows(0, 6))
 
 
+def test_connector(spark, inbox, tmp_path):
+    """Another format stands in for the connector, whose jar is not here."""
+    inbox.deliver(rows(0, 3))
+    run_to_end(inbox.stream(), sinks.connector_sink(f"{tmp_path}/idx", {"es.nodes": "h"}, fmt="json"), f"{tmp_path}/ck")
+    got = spark.read.json(f"{tmp_path}/idx").orderBy("place").collect()
+    assert [(r["place"], r["eid"]) for r in got] == [
+        ("PassportEvents-1-1", "track_event"), ("RawEvents-0-0", "upsert_session"), ("RawEvents-2-2", "other")]
+
+
 def test_built_in_sinks(spark, inbox, tmp_path):
     inbox.deliver(rows(0, 4))
     for sink in ("console", "noop"):
