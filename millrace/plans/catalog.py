@@ -20,6 +20,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 CATALOG: dict[str, Query] = {}
 
+# A batch is kept while several sinks read it, so its size is limited.
+FILES_PER_BATCH = 1_000
+
 SUBSCRIBED = "RawEvents,PassportEvents,SessionsRes"
 
 
@@ -34,9 +37,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The same table read as a stream of files."""
+    """The same table read as a stream of files, in batches of a bounded number of them."""
     schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_BATCH)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 def sample(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
@@ -311,7 +315,7 @@ def concat_stream(spark, sf_dir):
 @query
 def archive_stream(spark, sf_dir):
     work = work_dir(spark, "archive")
-    sink = sinks.archive_sink(f"{work}/archive", "10 hours", "4 hours", spread=1)
+    sink = sinks.archive_sink(f"{work}/archive", "10 hours", "4 hours")
     run_to_end(sample_stream(spark, sf_dir), sink, f"{work}/checkpoint")
     return sinks.read_archive(spark, f"{work}/archive").drop("batch_id")
 
@@ -320,7 +324,7 @@ def archive_stream(spark, sf_dir):
 def archive_text_stream(spark, sf_dir):
     """The historic layout, a folder per window, read back as messages."""
     work = work_dir(spark, "text")
-    sink = sinks.archive_sink(f"{work}/archive", "1 day", fmt="text", spread=1)
+    sink = sinks.archive_sink(f"{work}/archive", "1 day", fmt="text")
     run_to_end(sample_stream(spark, sf_dir), sink, f"{work}/checkpoint")
     return sinks.read_text_archive(spark, f"{work}/archive").drop("batch_id")
 
@@ -328,7 +332,7 @@ def archive_text_stream(spark, sf_dir):
 @query
 def events_parquet_roundtrip(spark, sf_dir):
     work = work_dir(spark, "events")
-    sink = sinks.events_sink(f"{work}/events", f"{work}/rejects", spread=1)
+    sink = sinks.events_sink(f"{work}/events", f"{work}/rejects")
     run_to_end(sample_stream(spark, sf_dir, dirty=True), sink, f"{work}/checkpoint")
     return sinks.read_events(spark, f"{work}/events").drop("batch_id")
 
@@ -351,9 +355,7 @@ def dump_stream(spark, sf_dir):
 def ledger_stream(spark, sf_dir):
     """The resume points a run leaves behind."""
     work = work_dir(spark, "ledger")
-    sink = sinks.fan_out(
-        sinks.archive_sink(f"{work}/archive", "30 seconds", spread=1), sinks.ledger_sink(f"{work}/offsets")
-    )
+    sink = sinks.fan_out(sinks.archive_sink(f"{work}/archive", "30 seconds"), sinks.ledger_sink(f"{work}/offsets"))
     run_to_end(sample_stream(spark, sf_dir), sink, f"{work}/checkpoint")
     return offsets.latest_offsets(read_ledger(spark, f"{work}/offsets"))
 
@@ -363,12 +365,14 @@ def restart_no_duplicates(spark, sf_dir):
     """Archive the month in three deliveries, stopping and starting again in between."""
     work = work_dir(spark, "restart")
     messages = sample(spark, sf_dir)
-    sink = sinks.archive_sink(f"{work}/archive", "1 day", spread=1)
+    sink = sinks.archive_sink(f"{work}/archive", "1 day")
     for first, last in (("2000-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2100-01-01")):
         days = F.col("timestamp").cast("date")
         part = messages.where((days >= F.lit(first).cast("date")) & (days < F.lit(last).cast("date")))
         part.write.mode("append").parquet(f"{work}/messages")
-        arrived = source.stored_messages(spark, f"{work}/messages", streaming=True, ntz=True)
+        arrived = source.stored_messages(
+            spark, f"{work}/messages", streaming=True, ntz=True, max_files_per_trigger=FILES_PER_BATCH
+        )
         run_to_end(arrived, sink, f"{work}/checkpoint")
     return sinks.read_archive(spark, f"{work}/archive").drop("batch_id")
 

@@ -41,13 +41,13 @@ def archive_job(
     *,
     event_topics: tuple[str, ...] = ("PassportEvents",),
     fmt: str = "parquet",
-    spread: int | None = None,
+    rows_per_file: int | None = None,
     trigger: str | None = None,
 ) -> Queries:
     """All topics to the archive, the events of some to Parquet, from one read."""
-    store_events = sinks.events_sink(f"{root}/events", f"{root}/rejects", spread=spread)
+    store_events = sinks.events_sink(f"{root}/events", f"{root}/rejects", rows_per_file=rows_per_file)
     sink = sinks.fan_out(
-        sinks.archive_sink(f"{root}/archive", window, slide, fmt=fmt, spread=spread),
+        sinks.archive_sink(f"{root}/archive", window, slide, fmt=fmt, rows_per_file=rows_per_file),
         lambda batch, batch_id: store_events(subscribe(batch, event_topics), batch_id),
         sinks.ledger_sink(f"{root}/offsets"),
     )
@@ -88,7 +88,7 @@ def resume_job(
     slide: str | int | None = None,
     *,
     fmt: str = "parquet",
-    spread: int | None = None,
+    rows_per_file: int | None = None,
     trigger: str | None = None,
 ) -> Queries:
     """The archive with an offset ledger written after each batch's data.
@@ -98,7 +98,7 @@ def resume_job(
     new checkpoint and a new root.
     """
     sink = sinks.fan_out(
-        sinks.archive_sink(f"{root}/archive", window, slide, fmt=fmt, spread=spread),
+        sinks.archive_sink(f"{root}/archive", window, slide, fmt=fmt, rows_per_file=rows_per_file),
         sinks.ledger_sink(f"{root}/offsets"),
     )
     trigger = trigger or every_slide(window, slide)

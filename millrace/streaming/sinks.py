@@ -4,11 +4,11 @@ A sink is a function of (batch, batch_id). Whatever it writes goes to a folder o
 that batch, replaced as a whole, so a batch that is run again leaves the same
 files.
 
-Rows are written by the tasks that read them unless ``spread`` is given. A Kafka
-task holds one topic and a short time, so that needs no shuffle. Files that mix
-topics and dates would leave a small file per task and folder: with ``spread=n``
-the rows of a folder are first gathered in n tasks, chosen by offset, so that a
-folder with a third of all rows is still written by n.
+Rows are written by the tasks that read them unless ``rows_per_file`` is given. A
+Kafka task holds one topic and a short time, so that needs no shuffle. Files that
+mix topics and dates would leave a small file per task and folder: then the rows
+of a folder are first gathered, at most ``rows_per_file`` neighbouring offsets of a
+partition together, so that a folder with a third of all rows has many writers.
 """
 
 from __future__ import annotations
@@ -66,10 +66,10 @@ def replace_batch(
     )
 
 
-def _gathered(rows: DataFrame, folders: Sequence[str], spread: int | None) -> DataFrame:
-    if spread is None:
+def _gathered(rows: DataFrame, folders: Sequence[str], rows_per_file: int | None) -> DataFrame:
+    if rows_per_file is None:
         return rows
-    return rows.repartition(*folders, F.pmod(F.col("offset"), F.lit(spread)))
+    return rows.repartition(*folders, "partition", F.call_function("div", F.col("offset"), F.lit(rows_per_file)))
 
 
 def skip_empty(sink: Sink) -> Sink:
@@ -104,7 +104,7 @@ def archive_sink(
     *,
     fmt: str = "parquet",
     separator: str = SEPARATOR,
-    spread: int | None = None,
+    rows_per_file: int | None = None,
 ) -> Sink:
     """Messages by topic, date, window end and batch.
 
@@ -120,10 +120,10 @@ def archive_sink(
         order = ["topic", "dt", "window_end_ms", "partition", "offset"]
         if fmt == "text":
             folders = ["topic", "dt", "window_end_ms"]
-            lines = _gathered(rows, folders, spread).sortWithinPartitions(*order).select(*folders, "value")
+            lines = _gathered(rows, folders, rows_per_file).sortWithinPartitions(*order).select(*folders, "value")
             replace_batch(lines, batch_id, root, folders, "text", lineSep=separator)
         else:
-            rows = _gathered(rows, ["topic", "dt"], spread).sortWithinPartitions(*order)
+            rows = _gathered(rows, ["topic", "dt"], rows_per_file).sortWithinPartitions(*order)
             replace_batch(rows, batch_id, root, ["topic", "dt"])
 
     return skip_empty(run)
@@ -147,7 +147,7 @@ def events_sink(
     sid_path: str = "passport.sid",
     view: str | None = "events",
     on_view: Sink | None = None,
-    spread: int | None = None,
+    rows_per_file: int | None = None,
 ) -> Sink:
     """Event rows by topic, date and batch, and the messages that are none to ``rejects``.
 
@@ -169,7 +169,7 @@ def events_sink(
                 on_view(events, batch_id)
             dated = events.withColumn("dt", F.date_format("arrived", "yyyy-MM-dd"))
             replace_batch(
-                _gathered(dated, folders, spread).select(*EVENT_COLUMNS, *folders), batch_id, root, folders
+                _gathered(dated, folders, rows_per_file).select(*EVENT_COLUMNS, *folders), batch_id, root, folders
             )
             if rejects:
                 replace_batch(rejects_of(parsed), batch_id, rejects)

@@ -28,11 +28,11 @@ def test_ranges(make_messages):
 
 
 def test_text_forms(spark):
-    df = spark.createDataFrame([("rowsTest", "0:12,1:34"), ("one", "0:0"), ("fresh", None)], "topic string, offsets string")
+    df = spark.createDataFrame([("clicks", "0:12,1:34"), ("one", "0:0"), ("fresh", None)], "topic string, offsets string")
     out = {tuple(r) for r in decode_offsets(df).collect()}
-    assert out == {("rowsTest", 0, 12), ("rowsTest", 1, 34), ("one", 0, 0)}
-    points = decode_offsets(df.where("topic = 'rowsTest'"))
-    assert starting_offsets(points) == '{"rowsTest":{"0":12,"1":34}}'
+    assert out == {("clicks", 0, 12), ("clicks", 1, 34), ("one", 0, 0)}
+    points = decode_offsets(df.where("topic = 'clicks'"))
+    assert starting_offsets(points) == '{"clicks":{"0":12,"1":34}}'
     assert starting_offsets(decode_offsets(df.where("topic = 'fresh'"))) is None
 
 

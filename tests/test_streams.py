@@ -118,10 +118,10 @@ def test_concatenation_in_segments(spark, inbox, tmp_path):
         assert "/n".join(mine) == row["value"]
 
 
-@pytest.mark.parametrize("spread", [None, 2])
-def test_archive_restart_and_replay(spark, inbox, tmp_path, spread):
+@pytest.mark.parametrize("rows_per_file", [None, 16])
+def test_archive_restart_and_replay(spark, inbox, tmp_path, rows_per_file):
     root = f"{tmp_path}/archive"
-    sink = sinks.archive_sink(root, 10, 4, spread=spread)
+    sink = sinks.archive_sink(root, 10, 4, rows_per_file=rows_per_file)
     inbox.deliver(rows(0, 50))
     run_to_end(inbox.stream(), sink, f"{tmp_path}/ck")
     inbox.deliver(rows(50, 80))
@@ -134,6 +134,19 @@ def test_archive_restart_and_replay(spark, inbox, tmp_path, spread):
     assert sorted(os.path.basename(p) for p in glob.glob(f"{root}/topic=*")) == ["topic=PassportEvents", "topic=RawEvents"]
 
 
+def test_hot_folder_has_several_writers(spark, make_messages, tmp_path):
+    hot = make_messages([("A", 0, i, i * 0.1, f"m{i}") for i in range(400)], ntz=False).coalesce(1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # which would join such small partitions again
+    try:
+        for name, rows_per_file in (("as-read", None), ("gathered", 20)):
+            sinks.archive_sink(f"{tmp_path}/{name}", "1 day", rows_per_file=rows_per_file)(hot, 0)
+            files = glob.glob(f"{tmp_path}/{name}/topic=A/dt=2024-01-02/batch_id=0/part-*.parquet")
+            assert (len(files) > 1) == (rows_per_file is not None)
+            assert sinks.read_archive(spark, f"{tmp_path}/{name}").count() == 400
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_text_archive_holds_the_concatenation(spark, inbox, tmp_path):
     root = f"{tmp_path}/archive"
     inbox.deliver([("A", 0, 1, 2, "m2"), ("A", 0, 0, 3, "m1"), ("A", 1, 0, 1, "m3"), ("A", 0, 2, 31, "next")])
