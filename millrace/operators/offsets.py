@@ -8,10 +8,11 @@ from operator import or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# There is one resume point per topic partition. A few become a filter that the
-# scan itself can use; up to the second number of rows, some tens of bytes each,
-# they are sent to every executor; beyond it the join shuffles.
-FILTER_ROWS = 100
+# There is one resume point per topic partition. Those of a small topic become a
+# filter that the scan itself can use; more of them would cost too many tests per
+# row. Up to the second number, some tens of bytes each, they are sent to every
+# executor; beyond it the join shuffles.
+FILTER_ROWS = 12
 BROADCAST_ROWS = 100_000
 
 # Copies of each resume point in the shuffled join, so that one busy partition
@@ -59,21 +60,23 @@ def resume_from(
     """The messages from each partition's resume point on.
 
     ``points`` has ``topic, partition, offset``. A partition without a point
-    starts fresh and keeps everything. The points are looked at first, to choose
-    between a filter, a broadcast and, past ``broadcast_rows``, a salted join.
+    starts fresh and keeps everything. The points are read once, up to the limit
+    of a broadcast, to choose between a filter, a broadcast and a salted join.
     """
     points = points.select("topic", "partition", F.col("offset").alias("_from"))
-    few = points.limit(filter_rows + 1).collect()
-    if not few:
+    known = points.limit(broadcast_rows + 1).collect()
+    if not known:
         return messages
-    if len(few) <= filter_rows:
-        here = [F.col("topic").eqNullSafe(t) & F.col("partition").eqNullSafe(p) for t, p, _ in few]
-        later = [place & (F.col("offset") >= start) for place, (_, _, start) in zip(here, few)]
+    if len(known) <= min(filter_rows, broadcast_rows):
+        here = [F.col("topic").eqNullSafe(t) & F.col("partition").eqNullSafe(p) for t, p, _ in known]
+        later = [place & (F.col("offset") >= start) for place, (_, _, start) in zip(here, known)]
         return messages.where(reduce(or_, later) | ~reduce(or_, here))
-    small = points.limit(broadcast_rows + 1).count() <= broadcast_rows
     keys = ["topic", "partition"]
-    if small or messages.isStreaming:
-        joined = messages.join(F.broadcast(points) if small else points, keys, "left")
+    if len(known) <= broadcast_rows:
+        local = messages.sparkSession.createDataFrame(known, points.schema)
+        joined = messages.join(F.broadcast(local), keys, "left")
+    elif messages.isStreaming:
+        joined = messages.join(points, keys, "left")
     else:
         copies = points.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         salted = messages.withColumn("_salt", F.pmod(F.col("offset"), F.lit(SALTS)).cast("int"))
