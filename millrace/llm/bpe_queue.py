@@ -15,12 +15,12 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from heapq import heappop, heappush
 from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from millrace.llm.common import fresh
 
-#: Pre-tokens a worker remembers; beyond that it starts anew. A matter of speed alone.
+#: Pre-tokens in each of the two generations that a worker remembers. A matter of speed alone.
 REMEMBERED = 400_000
 #: Rank files above this size are refused: they are broadcast.
 MAX_VOCABULARY = 2_000_000
@@ -43,85 +43,103 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return ranks
 
 
-def encode_piece(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
-    """The token ids of one pre-token: always the lowest rank next, leftmost first."""
-    whole = ranks.get(piece)
-    if whole is not None:
-        return (whole,)
-    n, rank_of = len(piece), ranks.get
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    waiting: list[int | None] = [rank_of(piece[i : i + 2]) for i in range(n - 1)]
-    waiting.append(None)
+def piece_encoder(ranks: dict[bytes, int]) -> Callable[[bytes], tuple[int, ...]]:
+    """A function from one pre-token to its token ids: always the lowest rank next, leftmost first.
+
+    The queue belongs to the function: it is empty whenever a pre-token is done.
+    """
+    rank_of = ranks.get
     buckets: dict[int, list[int]] = {}
-    groups: dict[int, int] = {}  # lower level: 256 ranks to a word
-    top = 0  # upper level: one bit per word that is not zero
-    for place, rank in enumerate(waiting):
-        if rank is not None:
-            if rank in buckets:
-                buckets[rank].append(place)  # places rise, so the list is a heap
-            else:
-                buckets[rank] = [place]
-                group = rank >> 8
-                groups[group] = groups.get(group, 0) | 1 << (rank & 255)
-                top |= 1 << group
-    while top:
-        group = (top & -top).bit_length() - 1
-        word = groups[group]
-        bit = word & -word
-        rank = (group << 8) + bit.bit_length() - 1
-        bucket = buckets[rank]
-        place = heappop(bucket)
-        if not bucket:
-            del buckets[rank]
-            groups[group] = word = word ^ bit
-            if not word:
-                top ^= 1 << group
-        if waiting[place] != rank:
-            continue  # stale
-        middle = after[place]
-        end = after[middle]
-        after[place] = end
-        waiting[middle] = None
-        if end < n:
-            before[end] = place
-            new = rank_of(piece[place : after[end]])
-        else:
-            new = None
-        waiting[place] = new
-        left = before[place]
-        if left >= 0:
-            new_left = waiting[left] = rank_of(piece[left:end])
-        else:
-            new_left = None
-        for at, rank in ((place, new), (left, new_left)):
+    groups = [0] * ((max(ranks.values(), default=0) >> 8) + 1)  # lower level: 256 ranks to a word
+    bits = [1 << k for k in range(max(256, len(groups)))]
+
+    def encode_piece(piece: bytes) -> tuple[int, ...]:
+        whole = rank_of(piece)
+        if whole is not None:
+            return (whole,)
+        n = len(piece)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        waiting = [rank_of(piece[i : i + 2]) for i in range(n)]
+        waiting[-1] = None
+        top = 0  # upper level: one bit per word that is not zero
+        for place, rank in enumerate(waiting):
             if rank is not None:
                 if rank in buckets:
-                    heappush(buckets[rank], at)
+                    buckets[rank].append(place)  # places rise, so the list is a heap
                 else:
-                    buckets[rank] = [at]
-                    group = rank >> 8
-                    groups[group] = groups.get(group, 0) | 1 << (rank & 255)
-                    top |= 1 << group
-    out, place = [], 0
-    while place < n:
-        end = after[place]
-        out.append(ranks[piece[place:end]])
-        place = end
-    return tuple(out)
+                    buckets[rank] = [place]
+                    groups[rank >> 8] |= bits[rank & 255]
+                    top |= bits[rank >> 8]
+        while top:
+            group = (top & -top).bit_length() - 1
+            word = groups[group]
+            bit = word & -word
+            rank = (group << 8) + bit.bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                place = heappop(bucket)
+            else:
+                place = bucket[0]
+                del buckets[rank]
+                groups[group] = word = word ^ bit
+                if not word:
+                    top ^= bits[group]
+            if waiting[place] != rank:
+                continue  # stale
+            middle = after[place]
+            after[place] = end = after[middle]
+            waiting[middle] = None
+            if end < n:
+                before[end] = place
+                waiting[place] = rank = rank_of(piece[place : after[end]])
+                if rank is not None:
+                    if rank in buckets:
+                        heappush(buckets[rank], place)
+                    else:
+                        buckets[rank] = [place]
+                        groups[rank >> 8] |= bits[rank & 255]
+                        top |= bits[rank >> 8]
+            else:
+                waiting[place] = None
+            left = before[place]
+            if left >= 0:
+                waiting[left] = rank = rank_of(piece[left:end])
+                if rank is not None:
+                    if rank in buckets:
+                        heappush(buckets[rank], left)
+                    else:
+                        buckets[rank] = [left]
+                        groups[rank >> 8] |= bits[rank & 255]
+                        top |= bits[rank >> 8]
+        out, place = [], 0
+        while place < n:
+            end = after[place]
+            out.append(ranks[piece[place:end]])
+            place = end
+        return tuple(out)
+
+    return encode_piece
 
 
 class Remembering(dict):
-    """Pre-token to token ids, worked out when first asked for."""
+    """Pre-token to token ids, worked out when first asked for.
+
+    When full, it becomes the older generation, from which pre-tokens that come again are taken over.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
-        self.ranks = ranks
+        self.encode_piece = piece_encoder(ranks)
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = encode_piece(piece.encode(), self.ranks)
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.encode_piece(piece.encode())
         if len(piece) <= 64:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
             self[piece] = ids
         return ids
 
@@ -151,10 +169,10 @@ def worker_codec(key: str, shared, pattern: str) -> Codec:
     return _codecs[key]
 
 
-def portions(batch: pd.Series, chars: int = 2_000_000) -> Iterator[list[str | None]]:
+def portions(batch: pa.Array, chars: int = 2_000_000) -> Iterator[list[str | None]]:
     """A batch of texts in runs of about ``chars``, so that what is made of one stays small."""
     run, size = [], 0
-    for text in batch:
+    for text in batch.to_pylist():
         run.append(text)
         size += len(text or "")
         if size >= chars:
@@ -178,14 +196,15 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
     key = hashlib.sha256(repr((pattern, sorted(ranks.items()))).encode()).hexdigest()
     kind = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("bytes", T.BinaryType())])
 
-    @F.pandas_udf(kind)
-    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(kind)
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = worker_codec(key, shared, pattern)
         for batch in batches:
             for run in portions(batch):
                 found = [codec.encode(t) if t else [] for t in run]
-                back = [codec.decode(x) for x in found]
-                yield pd.DataFrame({"ids": [np.array(x, dtype=np.int32) for x in found], "bytes": back})
+                ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
+                ids = pa.ListArray.from_arrays(ends, pa.array(chain.from_iterable(found), pa.int32()))
+                yield pa.StructArray.from_arrays([ids, pa.array(map(codec.decode, found), pa.binary())], ["ids", "bytes"])
 
     (pair,) = fresh(df, "pair")
     return df.withColumn(pair, both(F.col(text))).withColumns({ids: F.col(f"{pair}.ids"), decoded: F.col(f"{pair}.bytes")}).drop(pair)

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe_queue
+from millrace.llm import bpe_queue, decontaminate, language_id
 from millrace.llm.common import table
 
 
@@ -22,8 +22,36 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of every document are windows of benchmark items, and of which."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_overlaps(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def held_out() -> Column:
+    """Whether a document belongs to the fold that no model may learn from."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, by a network trained on the other fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.train(docs.where(~held_out()))
+    return language_id.predict(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_decontaminate": op3_decontaminate,
+    "op4_language_id": op4_language_id,
 }
 
 #: What DuckDB can say as well.
