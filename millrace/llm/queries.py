@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe_queue, decontaminate, language_id
+from millrace.llm import bpe_queue, decontaminate, language_id, near_copies
 from millrace.llm.common import table
 
 
@@ -48,10 +48,20 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op6_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the class of its near copies; the smallest id of a class is kept."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = near_copies.classes(docs).withColumnRenamed("doc_id", "copy_id")
+    label = F.coalesce("class_id", "doc_id")
+    named = docs.select("doc_id").join(found, F.col("doc_id") == F.col("copy_id"), "left")
+    return named.select("doc_id", label.alias("class_id"), label.eqNullSafe(F.col("doc_id")).alias("kept"))
+
+
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_decontaminate": op3_decontaminate,
     "op4_language_id": op4_language_id,
+    "op6_near_copies": op6_near_copies,
 }
 
 #: What DuckDB can say as well.

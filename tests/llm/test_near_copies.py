@@ -1,0 +1,116 @@
+"""Near copies against all pairs compared, sampling against weighted Jaccard."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+from millrace.llm import near_copies as N
+from millrace.llm import queries
+from millrace.llm.common import components
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def shingle_counts(text):
+    words = WORD.findall("".join(c.lower() if c.isascii() else c for c in text or ""))
+    size = min(5, len(words))
+    out = {}
+    for i in range(len(words) - size + 1 if words else 0):
+        key = tuple(words[i : i + size])
+        out[key] = out.get(key, 0) + 1
+    return out
+
+
+def brute_classes(docs):
+    """id to smallest id of its class, by comparing every pair that shares a shingle."""
+    counts = {i: shingle_counts(t) for i, t in docs}
+    df, having = {}, {}
+    for i, c in counts.items():
+        for s in c:
+            df[s] = df.get(s, 0) + 1
+            having.setdefault(s, []).append(i)
+    n, limit = len(docs), np.log(1 / N.FREQUENT)
+    idf = {s: 1 + min(np.log(n / k), limit) / limit if k >= N.FREQUENT * n else 2.0 for s, k in df.items()}
+    up = {i: i for i in counts}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i, c in counts.items():
+        for j in {j for s in c for j in having[s] if j > i}:
+            d = counts[j]
+            both = c.keys() & d.keys()
+            shared = sum(min(c[s], d[s]) * idf[s] for s in both)
+            total = sum(v * idf[s] for s, v in c.items()) + sum(v * idf[s] for s, v in d.items()) - shared
+            if max(shared / total, len(both) / (len(c) + len(d) - len(both))) >= 0.8:
+                a, b = sorted((root(i), root(j)))
+                up[b] = a
+    return {i: root(i) for i in counts}
+
+
+def test_query_against_all_pairs(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    expected = brute_classes(docs)
+    rows = queries.op6_near_copies(spark, sf).collect()
+    assert {r["doc_id"]: r["class_id"] for r in rows} == expected
+    assert all(r["kept"] == (r["doc_id"] == r["class_id"]) for r in rows)
+    assert len(set(expected.values())) < len(expected)
+
+
+def test_group_around_a_hub_and_chains(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    base = [word() for _ in range(120)]
+    docs = []
+    for i in range(400):  # edited more or less, so that many are near the first text alone, and some near nothing
+        w = list(base)
+        for _ in range(rng.choice([0, 1, 2, 3, 4, 6, 9])):
+            w[rng.randrange(len(w))] = word()
+        docs.append((1000 - i, " ".join(w)))
+    chain = [word() for _ in range(200)]
+    for i in range(30):
+        chain[i * 6 : i * 6 + 6] = [word() for _ in range(6)]
+        docs.append((2000 + i, " ".join(chain)))
+    docs += [(3000 + i, " ".join(word() for _ in range(80))) for i in range(40)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in N.classes(frame).collect()}
+    expected = brute_classes(docs)
+    assert {i: got.get(i, i) for i in expected} == expected
+
+
+def test_edge_cases(spark):
+    long = " ".join(f"w{i}" for i in range(30_000))
+    rows = [(1, None), (2, ""), (3, "?!"), (4, "one two"), (9, "One  two!"), (5, long), (6, long + " end"), (7, "un ñu"), (7, "un ñu"), (None, "one two"), (8, "two one")]
+    docs = spark.createDataFrame([(a, b, 1, "x") for a, b in rows], "doc_id long, text string, class_id int, _class string")
+    assert {r["doc_id"]: r["class_id"] for r in N.classes(docs).collect()} == {4: 4, 9: 4, 5: 5, 6: 5}
+    left = N.first_of_each(docs)
+    assert left.columns == docs.columns
+    assert sorted((r["doc_id"] or 0) for r in left.collect()) == [0, 1, 2, 3, 4, 5, 7, 8]
+    assert N.classes(docs.limit(0)).count() == 0 and N.first_of_each(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("cut", [0.0, 0.3, 0.8])
+def test_samples_agree_as_often_as_weighted_sets_are_alike(cut):
+    rng = np.random.default_rng(int(cut * 10))
+    hashes = np.unique(rng.integers(0, 1 << 63, 300, dtype=np.uint64))
+    n, equal, alike = len(hashes), 0, 0.0
+    for trial in range(60):
+        shifted = hashes * np.uint64(2 * trial + 1)
+        a, b = rng.uniform(0.5, 4, n), rng.uniform(0.5, 4, n)
+        b = np.where(rng.random(n) < cut, a, b)
+        equal += (N.samples(shifted, a) == N.samples(shifted, b)).sum()
+        alike += np.minimum(a, b).sum() / np.maximum(a, b).sum()
+    assert abs(equal / (60 * N.SAMPLES) - alike / 60) < 0.03
+
+
+def test_components(spark):
+    path = [(i, i + 1) for i in range(70)] + [(100, 200), (200, 300), (5, 5), (400, 300)]
+    got = {r["id"]: r["label"] for r in components(spark.createDataFrame(path, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(71)}, **{i: 100 for i in (100, 200, 300, 400)}}
