@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe_queue, decontaminate, language_id, near_copies
+from millrace.llm import bpe_queue, decontaminate, language_id, near_copies, personal_data
 from millrace.llm.common import table
 
 
@@ -57,11 +57,23 @@ def op6_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", label.alias("class_id"), label.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and places of personal data in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal_data.find_spans(docs, personal_data.fit(docs))
+    base = F.filter("pii_spans", lambda s: s["base"])
+    said = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    of_kind = lambda k: F.size(F.filter("pii_spans", lambda s: s["base"] & (s["kind"] == k)))
+    counts = [of_kind(k).cast("long").alias(f"n_{k}") for k in personal_data.BASE]
+    return found.select("doc_id", *counts, F.sha2(said(base), 256).alias("base_sha256"), said(F.col("pii_spans")).alias("spans"))
+
+
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_decontaminate": op3_decontaminate,
     "op4_language_id": op4_language_id,
     "op6_near_copies": op6_near_copies,
+    "op9_personal_data": op9_personal_data,
 }
 
 #: What DuckDB can say as well.
