@@ -61,7 +61,7 @@ _SIGNS = {
     "phone": r"\+[0-9]",
     "local": r"[0-9]{3}[ .\-][0-9]{4}",
     "spelled": r"[(\[](?:at|AT)[)\]]",
-    "secret": r"[A-Za-z0-9_\-]{20}",
+    "secret": r"(?<![A-Za-z0-9_\-])[A-Za-z0-9_\-]{20}",
 }
 _KIND_OF = {"local": "phone", "spelled": "email"}
 
@@ -311,9 +311,11 @@ def _logistic(rows: list[tuple[list[tuple], float, float]], rounds: int = 400) -
 def fit(df: DataFrame, text: str = "text") -> SpanModel:
     """A span model from all texts of ``df``. Without candidates every chance is one half, and nothing to judge."""
     (candidates,) = fresh(df, "candidates")
-    one = with_candidates(df.select(text), text, candidates).select(F.explode(candidates).alias("c"))
     columns = ["kind", *LABELERS, "apart"]
-    counts = one.groupBy(*[F.col(f"c.{c}").alias(c) for c in columns]).agg(F.count("*").alias("n")).orderBy(columns).collect()
+    # One small struct is exploded as a whole: taking its fields apart would work the array out once for each.
+    seen = F.transform(candidates, lambda c: F.struct(*[c[name].alias(name) for name in columns]))
+    one = with_candidates(df.select(text), text, candidates).select(F.explode(seen).alias("c"))
+    counts = one.groupBy("c").agg(F.count("*").alias("n")).select("c.*", "n").orderBy(columns).collect()
     patterns: dict[tuple, float] = {}
     for r in counts:
         key = (r["kind"], tuple(r[name] for name in LABELERS))
