@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe_queue, decontaminate, language_id, near_copies, personal_data
+from millrace.llm import bpe_queue, decontaminate, language_id, near_copies, personal_data, vector_tiles
 from millrace.llm.common import table
 
 
@@ -68,12 +68,18 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(said(base), 256).alias("base_sha256"), said(F.col("pii_spans")).alias("spans"))
 
 
+def op10_vector_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of near-equal embeddings."""
+    return vector_tiles.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_decontaminate": op3_decontaminate,
     "op4_language_id": op4_language_id,
     "op6_near_copies": op6_near_copies,
     "op9_personal_data": op9_personal_data,
+    "op10_vector_tiles": op10_vector_tiles,
 }
 
 #: What DuckDB can say as well.
