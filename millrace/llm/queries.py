@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe_queue, decontaminate, language_id, near_copies, personal_data, vector_tiles
+from millrace.llm import bpe_queue, decontaminate, language_id, near_copies, personal_data, toxicity, vector_tiles
 from millrace.llm.common import table
 
 
@@ -57,6 +57,14 @@ def op6_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", label.alias("class_id"), label.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How toxic every document is, by a model trained on the other fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.train(docs.where(~held_out()), labels.where(~held_out()))
+    return toxicity.predict(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and places of personal data in every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -78,6 +86,7 @@ QUERIES = {
     "op3_decontaminate": op3_decontaminate,
     "op4_language_id": op4_language_id,
     "op6_near_copies": op6_near_copies,
+    "op7_toxicity": op7_toxicity,
     "op9_personal_data": op9_personal_data,
     "op10_vector_tiles": op10_vector_tiles,
 }

@@ -1,0 +1,53 @@
+"""Toxicity: the risk estimator, held-out accuracy, edge cases."""
+
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+
+from millrace.llm import queries
+from millrace.llm import toxicity as X
+
+SF = "/root/testdata/sf0.1"
+
+
+def test_learns_from_confirmed_and_unlabelled_alone():
+    rng = np.random.default_rng(1)
+    noise = lambda: rng.integers(10_000, 12_000, 60)
+    toxic = lambda: np.unique(np.concatenate([noise(), rng.choice(20, 3)]))
+    clean = lambda: np.unique(noise())
+    confirmed = [toxic() for _ in range(150)]
+    unlabelled = [toxic() if rng.random() < 0.2 else clean() for _ in range(3_000)]
+    model = X.fit(confirmed, unlabelled, 0.2)
+    score = lambda row: 1 / (1 + np.exp(-(model.bias + sum(model.weights.get(int(f), 0) for f in row))))
+    hit = np.mean([score(toxic()) >= 0.3 for _ in range(300)])
+    wrong = np.mean([score(clean()) >= 0.3 for _ in range(300)])
+    assert hit > 0.95 and wrong < 0.05
+
+
+def test_query_on_the_held_out_fold(spark):
+    toxic = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    rows = queries.op7_toxicity(spark, SF).collect()
+    assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    for r in rows:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3)
+    tested = [(r["predicted"], toxic[r["doc_id"]]) for r in rows if r["held_out"] and r["doc_id"] in toxic]
+    right = sum(p and t for p, t in tested)
+    assert right / sum(t for _, t in tested) > 0.8 and right / sum(p for p, _ in tested) > 0.75
+
+
+def test_edge_cases(spark):
+    rows = [(1, "you are vile", "s"), (2, "a fine day", "s"), (3, None, "s"), (4, "", "s"), (None, "vile " * 50_000, "s"), (1, "you are vile", "s")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, 1), (4, None), (None, 1), (9, 1)], "doc_id long, toxic int")
+    got = X.predict(docs, X.train(docs, labels)).collect()
+    assert len(got) == len(rows)
+    by_text = {}
+    for r in got:
+        by_text.setdefault(r["text"], set()).add((r["score"], r["predicted"]))
+    assert all(len(v) == 1 for v in by_text.values()) and by_text[None] == by_text[""]
+    nothing = X.train(docs.limit(0), labels.limit(0))
+    assert {r["predicted"] for r in X.predict(docs, nothing).collect()} == {0}
+    assert X.predict(docs.limit(0), nothing).count() == 0
