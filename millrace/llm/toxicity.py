@@ -32,6 +32,8 @@ CONFIRMED, UNLABELLED = 4_000, 10_000
 FEATURES = 1_024
 #: Standard deviations that a count of confirmed texts is taken lower when features are chosen.
 CAUTION = 1.0
+#: Standard deviations by which a feature must be more frequent in confirmed texts than it is anywhere; many features are tried.
+CHANCE = 4.0
 #: Lengths of word beginnings that are features.
 BEGINNINGS = (4, 5, 6)
 #: The score from which a text is called toxic.
@@ -92,7 +94,8 @@ def _choose(confirmed: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
     share_c, share_u = (with_c + 0.1) / (c + 1), (with_u + 0.5) / (u + 1)
     gain = with_c * np.log(share_c / share_u)
     cautious = np.maximum(with_c - CAUTION * np.sqrt(with_c), 0) / c
-    good = np.flatnonzero((with_c >= 3) & (prior * cautious >= LEAST * share_u))
+    by_chance = c * share_u + CHANCE * np.sqrt(c * share_u)
+    good = np.flatnonzero((with_c >= 3) & (with_c > by_chance) & (prior * cautious >= LEAST * share_u))
     best = good[np.argsort(-gain[good], kind="stable")[:size]]
     return np.sort(names[best])
 
