@@ -6,10 +6,16 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe_queue, decontaminate, language_id, near_copies, personal_data, toxicity, vector_tiles
+from millrace.llm import bpe_queue, decontaminate, language_id, main_text, near_copies, personal_data, toxicity, vector_tiles
 from millrace.llm.common import table
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return main_text.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the token ids of every document, and of the bytes they decode to."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -82,6 +88,7 @@ def op10_vector_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_main_text": op1_main_text,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_decontaminate": op3_decontaminate,
     "op4_language_id": op4_language_id,
