@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe_queue, decontaminate, language_id, main_text, near_copies, personal_data, toxicity, vector_tiles
+from millrace.llm import bpe_queue, decontaminate, language_id, main_text, near_copies, personal_data, toxicity, url_lists, vector_tiles
 from millrace.llm.common import table
 
 
@@ -54,6 +54,79 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def _code(text: Column | str) -> Column:
+    """A number from 0 to 65535 by the digest of a text."""
+    return F.conv(F.substring(F.md5(text), 1, 4), 16, 10).cast("int")
+
+
+def _dated(patterns: DataFrame, name: str, kind: str, kept: Column, days: list[tuple[str, Column]]) -> DataFrame:
+    """The history of those patterns (column ``pattern``) that ``kept`` chooses: (action, day of 2024)."""
+    events = F.array(*[F.struct(F.lit(action).alias("action"), day.alias("day")) for action, day in days])
+    rows = patterns.where(kept).select("pattern", F.explode(events).alias("e"))
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("e.day") * 86400)
+    return rows.select(F.lit(name).alias("list"), F.lit(kind).alias("kind"), "pattern", F.col("e.action").alias("action"), at.alias("at"))
+
+
+def op5_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, as fetched in 2024, against dated lists of its hosts, domains and paths.
+
+    The tables hold neither fetch times nor lists, so both are derived from all pages: the time from
+    the page's number, list entries and their dates from digests of the hosts and paths that occur.
+    """
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    pages = pages.withColumn("fetched_at", F.timestamp_seconds(F.lit(1704067200) + F.pmod(F.col("page_id") * 1000003, F.lit(31536000))))
+    host = url_lists.host_of(F.col("url"))
+    c = _code("pattern")
+    hosts = pages.select(host.alias("pattern")).distinct().where(F.col("pattern") != "")
+    domains = hosts.select(url_lists.domain_of(F.col("pattern")).alias("pattern")).distinct()
+    first = F.get(url_lists.segments_of(F.col("url")), 0)
+    paths = pages.select(F.concat(host, F.lit("/"), first).alias("pattern"), host.alias("host")).where((F.col("host") != "") & F.col("pattern").isNotNull()).select("pattern").distinct()
+    entries = _dated(hosts, "malware", "host", c % 3 == 0, [("add", c % 150), ("remove", c % 150 + 60), ("add", c % 150 + 120)])
+    entries = entries.unionByName(_dated(hosts, "allow", "host", c % 11 == 5, [("add", c % 300)]))
+    entries = entries.unionByName(_dated(domains, "spam", "domain", c % 5 == 1, [("add", c % 200), ("remove", c % 200 + 90)]))
+    entries = entries.unionByName(_dated(paths, "adult", "prefix", c % 4 == 2, [("add", c % 250)]))
+    judged = url_lists.judge(pages, entries)
+    return judged.select("page_id", "url", F.array_join("lists", ",").alias("lists"), "allowed", "blocked")
+
+
+OP5_SQL = r"""
+WITH captures AS (
+  SELECT page_id, url, 1704067200 + (page_id * 1000003) % 31536000 AS t,
+    regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?(\[[^\]]*\]|[^/?#:\[]*)', 1)), '\.$', '') AS host,
+    list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(/[^?#]*)', 1), '/'), lambda s: s <> '') AS parts
+  FROM pages),
+coded AS (
+  SELECT kind, pattern, ('0x' || substr(md5(pattern), 1, 4))::INT AS c FROM (
+    SELECT DISTINCT 'host' AS kind, host AS pattern FROM captures WHERE host <> ''
+    UNION SELECT DISTINCT 'domain', array_to_string(string_split(host, '.')[-2:], '.') FROM captures WHERE host <> ''
+    UNION SELECT DISTINCT 'prefix', host || '/' || parts[1] FROM captures WHERE host <> '' AND len(parts) > 0)),
+entries AS (
+  SELECT 'malware' AS list, kind, pattern, 1 AS active, c % 150 AS day FROM coded WHERE kind = 'host' AND c % 3 = 0
+  UNION ALL SELECT 'malware', kind, pattern, 0, c % 150 + 60 FROM coded WHERE kind = 'host' AND c % 3 = 0
+  UNION ALL SELECT 'malware', kind, pattern, 1, c % 150 + 120 FROM coded WHERE kind = 'host' AND c % 3 = 0
+  UNION ALL SELECT 'allow', kind, pattern, 1, c % 300 FROM coded WHERE kind = 'host' AND c % 11 = 5
+  UNION ALL SELECT 'spam', kind, pattern, 1, c % 200 FROM coded WHERE kind = 'domain' AND c % 5 = 1
+  UNION ALL SELECT 'spam', kind, pattern, 0, c % 200 + 90 FROM coded WHERE kind = 'domain' AND c % 5 = 1
+  UNION ALL SELECT 'adult', kind, pattern, 1, c % 250 FROM coded WHERE kind = 'prefix' AND c % 4 = 2),
+wanted AS (
+  SELECT page_id, t, 'host' AS kind, host AS pattern FROM captures WHERE host <> ''
+  UNION ALL SELECT page_id, t, 'domain', array_to_string(string_split(host, '.')[-n:], '.')
+    FROM (SELECT *, unnest(range(1, len(string_split(host, '.')) + 1)) AS n FROM captures WHERE host <> '')
+  UNION ALL SELECT page_id, t, 'prefix', host || '/' || array_to_string(parts[1:n], '/')
+    FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS n FROM captures WHERE host <> '')),
+latest AS (
+  SELECT page_id, list, arg_max(active, day * 2 + active) AS active
+  FROM wanted JOIN entries USING (kind, pattern) WHERE 1704067200 + day * 86400 <= t
+  GROUP BY page_id, list, kind, pattern),
+held AS (
+  SELECT page_id, string_agg(DISTINCT list, ',' ORDER BY list) FILTER (list <> 'allow') AS lists, bool_or(list = 'allow') AS allowed
+  FROM latest WHERE active = 1 GROUP BY page_id)
+SELECT page_id, url, coalesce(lists, '') AS lists, coalesce(allowed, false) AS allowed,
+  coalesce(lists, '') <> '' AND NOT coalesce(allowed, false) AS blocked
+FROM captures LEFT JOIN held USING (page_id)
+"""
+
+
 def op6_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the class of its near copies; the smallest id of a class is kept."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -92,6 +165,7 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_decontaminate": op3_decontaminate,
     "op4_language_id": op4_language_id,
+    "op5_url_lists": op5_url_lists,
     "op6_near_copies": op6_near_copies,
     "op7_toxicity": op7_toxicity,
     "op9_personal_data": op9_personal_data,
@@ -99,4 +173,4 @@ QUERIES = {
 }
 
 #: What DuckDB can say as well.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op5_url_lists": OP5_SQL}
