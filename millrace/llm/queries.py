@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe_queue, decontaminate, language_id, main_text, near_copies, personal_data, toxicity, url_lists, vector_tiles
+from millrace.llm import bpe_queue, decontaminate, language_id, main_text, near_copies, personal_data, repeated_passages, toxicity, url_lists, vector_tiles
 from millrace.llm.common import table
 
 
@@ -144,6 +144,22 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages that documents share, one row for each document that has one and its twin."""
+    found = repeated_passages.repeated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    sides = repeated_passages.per_document(found)
+    return sides.select(
+        F.col("id").alias("doc_id"),
+        F.col("start").alias("start_word"),
+        F.col("end").alias("end_word"),
+        F.col("twin").alias("twin_id"),
+        F.col("twin_start").alias("twin_start_word"),
+        F.col("twin_end").alias("twin_end_word"),
+        F.col("equal").alias("n_equal"),
+        "first",
+    )
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and places of personal data in every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -168,6 +184,7 @@ QUERIES = {
     "op5_url_lists": op5_url_lists,
     "op6_near_copies": op6_near_copies,
     "op7_toxicity": op7_toxicity,
+    "op8_repeated_passages": op8_repeated_passages,
     "op9_personal_data": op9_personal_data,
     "op10_vector_tiles": op10_vector_tiles,
 }
