@@ -40,12 +40,13 @@ def to_bulk_documents(
     one_map = len(names) == 1 and isinstance(df.schema[names[0]].dataType, T.MapType)
     body = F.col(names[0]) if one_map else F.struct(*names)
     doc_id = F.col(id_column) if isinstance(id_column, str) else id_column
-    return df.select(_target(resource, doc_id).alias("action"), F.to_json(body, options).alias("source"))
+    return df.select(_target(resource, doc_id).alias("action"), F.coalesce(F.to_json(body, options), F.lit("{}")).alias("source"))
 
 
 def event_place() -> Column:
-    """``topic-partition-offset``, an id that is the same whenever the message is read."""
-    return F.concat_ws("-", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
+    """``topic-partition-offset``, an id that is the same whenever the message is read; a missing part reads ``null``."""
+    parts = [F.coalesce(F.col(name).cast("string"), F.lit("null")) for name in ("topic", "partition", "offset")]
+    return F.concat_ws("-", *parts)
 
 
 def event_documents(events: DataFrame, resource: str, ignore_nulls: bool = True) -> DataFrame:

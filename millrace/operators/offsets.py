@@ -2,24 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# There is one resume point per topic partition. Those of a small topic become a
-# filter that the scan itself can use; more of them would cost too many tests per
-# row. Up to the second number, some tens of bytes each, they are sent to every
-# executor; beyond it the join shuffles.
-FILTER_ROWS = 12
-BROADCAST_ROWS = 100_000
-
-# Copies of each resume point in the shuffled join, so that one busy partition
-# of a topic is read by that many tasks.
-SALTS = 64
-
-
 def offset_ranges(messages: DataFrame) -> DataFrame:
     """First offset, one past the last, and the number of messages, per topic partition."""
     return messages.groupBy("topic", "partition").agg(
@@ -51,34 +36,17 @@ def latest_offsets(ledger: DataFrame) -> DataFrame:
     return ledger.groupBy("topic", "partition").agg(F.max("until_offset").alias("offset"))
 
 
-def resume_from(
-    messages: DataFrame,
-    points: DataFrame,
-    filter_rows: int = FILTER_ROWS,
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
+def resume_from(messages: DataFrame, points: DataFrame) -> DataFrame:
     """The messages from each partition's resume point on.
 
-    ``points`` has ``topic, partition, offset``. A partition without a point
-    starts fresh and keeps everything. The points are read once, up to the limit
-    of a broadcast, to choose between a filter, a broadcast and a salted join.
+    ``points`` has ``topic, partition, offset``. A place listed several times goes
+    on from the largest offset, a point without an offset is none, and null topics
+    and partitions are places like others. A partition without a point starts
+    fresh and keeps everything, and a message without an offset is kept. One lazy
+    join: Spark sends small points to all tasks and splits a busy partition.
     """
-    points = points.select("topic", "partition", F.col("offset").alias("_from"))
-    known = points.limit(broadcast_rows + 1).collect()
-    if not known:
-        return messages
-    if len(known) <= min(filter_rows, broadcast_rows):
-        here = [F.col("topic").eqNullSafe(t) & F.col("partition").eqNullSafe(p) for t, p, _ in known]
-        later = [place & (F.col("offset") >= start) for place, (_, _, start) in zip(here, known)]
-        return messages.where(reduce(or_, later) | ~reduce(or_, here))
-    keys = ["topic", "partition"]
-    if len(known) <= broadcast_rows:
-        local = messages.sparkSession.createDataFrame(known, points.schema)
-        joined = messages.join(F.broadcast(local), keys, "left")
-    elif messages.isStreaming:
-        joined = messages.join(points, keys, "left")
-    else:
-        copies = points.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        salted = messages.withColumn("_salt", F.pmod(F.col("offset"), F.lit(SALTS)).cast("int"))
-        joined = salted.join(copies, [*keys, "_salt"], "left")
-    return joined.where(F.col("_from").isNull() | (F.col("offset") >= F.col("_from"))).select(*messages.columns)
+    known = points.where(F.col("offset").isNotNull()).groupBy(F.col("topic").alias("_topic"), F.col("partition").alias("_partition"))
+    known = known.agg(F.max("offset").alias("_from"))
+    here = F.col("topic").eqNullSafe(F.col("_topic")) & F.col("partition").eqNullSafe(F.col("_partition"))
+    later = F.col("_from").isNull() | F.col("offset").isNull() | (F.col("offset") >= F.col("_from"))
+    return messages.join(known, here, "left").where(later).select(*messages.columns)

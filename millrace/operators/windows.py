@@ -68,12 +68,29 @@ class Windows:
         return F.window(ts, f"{self.slide} microseconds", f"{self.slide} microseconds", f"{self.offset} microseconds")
 
 
+def _all_windows(layout: Windows, at: Column, ntz: bool) -> Column:
+    """Every window a time falls in, as an array of (start, end); null for a null time."""
+    micros = epoch_micros(at, ntz) - layout.offset
+    floor = lambda x: F.call_function("div", x - F.pmod(x, F.lit(layout.slide)), F.lit(layout.slide))
+    numbers = F.sequence(floor(micros - layout.window) + 1, floor(micros))
+
+    def window(k: Column) -> Column:
+        start = k * layout.slide - micros
+        return F.struct(shift(at, start, ntz).alias("start"), shift(at, start + layout.window, ntz).alias("end"))
+
+    return F.transform(numbers, window)
+
+
 def with_window(df: DataFrame, layout: Windows, ts: str = "timestamp") -> DataFrame:
     """Each row once per window it falls in, with the column ``window``.
 
     A projection: no shuffle, no state, and it runs on a stream as it is. Rows in
-    the gaps of a sampled layout belong to no window and go.
+    the gaps of a sampled layout belong to no window and go. Overlapping windows
+    of a table are numbered and exploded, so the plan has one size for any number
+    of them; a stream keeps Spark's own window, which carries the watermark.
     """
+    if layout.sliding and not df.isStreaming:
+        return df.withColumn("window", F.explode(_all_windows(layout, F.col(ts), is_ntz(df, ts))))
     rows = df.withColumn("window", layout.column(ts))
     if not layout.sampled:
         return rows
@@ -148,9 +165,8 @@ def _shared_panes(
     panes = rows.groupBy(*pane).agg(
         F.min(ts).alias("_at"), *[total.alias(name) for name, total in counts.items()]
     )
-    return panes.groupBy(*by, layout.column("_at").alias("window")).agg(
-        *[F.sum(name).alias(name) for name in counts]
-    )
+    windows = panes.withColumn("window", F.explode(_all_windows(layout, F.col("_at"), ntz)))
+    return windows.groupBy(*by, "window").agg(*[F.sum(name).alias(name) for name in counts])
 
 
 def fill_gaps(
@@ -189,7 +205,12 @@ def fill_gaps(
         ).alias("_k"),
     ).select(*by, shift(F.col("_lo"), F.col("_k") * layout.slide, ntz).alias("window_start"))
     keys = [*by, "window_start"]
-    return spine.join(counted.drop("window_end"), keys, "left").select(
+    # Groups may be null, so they meet null-safely.
+    found = counted.drop("window_end").withColumnsRenamed({name: f"_found_{name}" for name in by})
+    here = F.col("window_start") == F.col("_found_start")
+    for name in by:
+        here = here & F.col(name).eqNullSafe(F.col(f"_found_{name}"))
+    return spine.join(found.withColumnRenamed("window_start", "_found_start"), here, "left").select(
         *keys,
         shift(F.col("window_start"), layout.window, ntz).alias("window_end"),
         *[F.coalesce(F.col(name), F.lit(0)).alias(name) for name in counts],

@@ -37,10 +37,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The same table read as a stream of files, in batches of a bounded number of them."""
+    """The same table read as a stream of files, in batches of a bounded number of them.
+
+    The table is a file or a folder of files. As a pattern its path may be either.
+    """
     schema = table(spark, sf_dir, name).schema
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_BATCH)
-    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return reader.parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def sample(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
@@ -187,6 +190,13 @@ def count_dense(spark, sf_dir):
     return windows.window_counts(sample(spark, sf_dir), "5 minutes", by=["topic"], dense=True)
 
 
+@query
+def count_dense_by_type(spark, sf_dir):
+    """Per five minutes and type tag, events without a tag as a group of their own."""
+    rows = events.tag_type(events.to_events(sample(spark, sf_dir)))
+    return windows.window_counts(rows, "5 minutes", ts="arrived", by=["type"], dense=True)
+
+
 @query
 def count_dense_sliding(spark, sf_dir):
     rows = events.to_events(sample(spark, sf_dir))

@@ -131,6 +131,11 @@ FROM e""",
     count(*) AS n FROM m GROUP BY ALL),
   s AS (SELECT topic, unnest(range(min(st), max(st) + 1, {5 * _MINUTE})) AS st FROM c GROUP BY topic)
 SELECT topic, {_span(5 * _MINUTE)}, coalesce(n, 0) AS count FROM s LEFT JOIN c USING (topic, st)""",
+    "count_dense_by_type": f"""{_TAGGED}, c AS (SELECT type, (epoch_us(arrived) // {5 * _MINUTE}) * {5 * _MINUTE} AS st,
+    count(*) AS n FROM e GROUP BY ALL),
+  s AS (SELECT type, unnest(range(min(st), max(st) + 1, {5 * _MINUTE})) AS st FROM c GROUP BY type)
+SELECT s.type, {_span(5 * _MINUTE)}, coalesce(n, 0) AS count
+FROM (SELECT s.type, s.st, n FROM s LEFT JOIN c ON s.st = c.st AND s.type IS NOT DISTINCT FROM c.type) s""",
     "count_dense_sliding": f"""{_E}, {_starts("e", "arrived", 10 * _MINUTE, 4 * _MINUTE)},
   c AS (SELECT st, count(*) AS n, {_KINDS} FROM k GROUP BY st),
   s AS (SELECT unnest(range(min(st), max(st) + 1, {4 * _MINUTE})) AS st FROM c)

@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.offsets import BROADCAST_ROWS, offset_ranges
+from millrace.operators.offsets import offset_ranges
 
 # Fixed value: the offset by which a Kafka read names the beginning of a partition.
 EARLIEST = -2
@@ -16,6 +16,10 @@ EARLIEST = -2
 LEDGER_SCHEMA = "topic string, partition int, from_offset bigint, until_offset bigint, n bigint, batch_id bigint"
 
 
+# Topic partitions that one start option may name by default, far more than a cluster has.
+MOST_PARTITIONS = 100_000
+
+
 def write_ledger(batch: DataFrame, batch_id: int, path: str) -> None:
     """Record a batch. Call it after the batch's data is written; a repeat replaces it."""
     (
@@ -34,17 +38,18 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LEDGER_SCHEMA).parquet(path)
 
 
-def starting_offsets(points: DataFrame, partition_counts: Mapping[str, int] | None = None) -> str | None:
+def starting_offsets(
+    points: DataFrame, partition_counts: Mapping[str, int] | None = None, most: int = MOST_PARTITIONS
+) -> str | None:
     """The start option of a Kafka read, from ``topic, partition, offset`` rows.
 
     The option has to name every partition of its topics. ``partition_counts``
     adds those that have no point yet, from their beginning. The option is one
-    text on the driver, so the rows are limited to what a cluster can have as
-    partitions. No rows at all means a fresh start: None, leave the option out.
+    text on the driver, so more than ``most`` rows are refused, nothing is left out. No rows at all means a fresh start: None, leave the option out.
     """
-    rows = points.select("topic", "partition", "offset").limit(BROADCAST_ROWS + 1).collect()
-    if len(rows) > BROADCAST_ROWS:
-        raise ValueError(f"more than {BROADCAST_ROWS} topic partitions; is this the latest point of each?")
+    rows = points.select("topic", "partition", "offset").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} topic partitions; is this the latest point of each?")
     starts: dict[str, dict[str, int]] = {}
     for topic, partition, offset in sorted(rows):
         starts.setdefault(topic, {})[str(partition)] = offset

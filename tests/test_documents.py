@@ -7,7 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from millrace.functions.text import pair
-from millrace.operators.documents import bulk_lines, event_documents, to_bulk_documents
+from millrace.operators.documents import bulk_lines, event_documents, event_place, to_bulk_documents
 from millrace.operators.events import to_events
 
 
@@ -38,3 +38,10 @@ def test_event_documents_have_a_stable_id(make_messages):
 def test_pairs(spark):
     df = spark.createDataFrame([(None, "v"), ("k", None)], "key string, value string")
     assert [r[0] for r in df.select(pair(F.col("key"), F.col("value"))).collect()] == ["(null,v)", "(k,null)"]
+
+
+def test_null_map_and_null_place(spark):
+    rows = spark.sql("SELECT map('a', 1) AS m UNION ALL SELECT NULL")
+    assert sorted(r["source"] for r in to_bulk_documents(rows, "i").collect()) == ['{"a":1}', "{}"]
+    places = spark.sql("SELECT 't' AS topic, CAST(NULL AS INT) AS partition, 5L AS offset").select(event_place().alias("p"))
+    assert places.first()["p"] == "t-null-5"

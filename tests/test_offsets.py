@@ -15,7 +15,6 @@ from millrace.operators.offsets import (
     offset_ranges,
     resume_from,
 )
-from millrace.sources.messages import stored_messages
 from millrace.sources.offsets import read_ledger, starting_offsets, write_ledger
 
 POINTS = "topic string, partition int, offset bigint"
@@ -54,25 +53,42 @@ def test_round_trip(spark, points):
     assert {tuple(r) for r in out} == set(rows)
 
 
-@pytest.mark.parametrize("filter_rows,broadcast_rows", [(100, 100), (0, 100), (0, 0)])
-def test_resume(spark, make_messages, filter_rows, broadcast_rows):
-    rows = [(t, p, o, o, f"{t}{p}{o}") for t in ("A", "B") for p in (0, 1) for o in range(150)]
+def test_resume(spark, make_messages):
+    rows = [(t, p, o, 1, f"{t}{p}{o}") for t in ("A", "B") for p in (0, 1) for o in range(150)]
     points = spark.createDataFrame([("A", 0, 100), ("A", 1, 0), ("B", 0, 500)], POINTS)
-    out = resume_from(make_messages(rows), points, filter_rows, broadcast_rows)
+    out = resume_from(make_messages(rows), points)
     kept = sorted((r["topic"], r["partition"], r["offset"]) for r in out.collect())
     expected = [("A", 0, o) for o in range(100, 150)] + [(t, 1, o) for t in ("A", "B") for o in range(150)]
     assert kept == sorted(expected)
-    text = out._jdf.queryExecution().optimizedPlan().toString()
-    assert ("Join" in text) == (filter_rows == 0)
-    assert ("broadcast" in text) == (filter_rows == 0 and broadcast_rows > 0)
 
 
-def test_resume_reaches_the_scan(spark, make_messages, tmp_path):
-    make_messages([("A", 0, o, o, "x") for o in range(10)]).write.parquet(f"{tmp_path}/m")
-    points = spark.createDataFrame([("A", 0, 4)], POINTS)
-    out = resume_from(stored_messages(spark, f"{tmp_path}/m", ntz=True), points)
-    assert out.count() == 6
-    assert "GreaterThanOrEqual(offset,4)" in out._jdf.queryExecution().executedPlan().toString()
+_odd_points = st.lists(
+    st.tuples(st.sampled_from(["A", "B", None]), st.sampled_from([0, 1, None]), st.sampled_from([None, 0, 2, 3, 9])), max_size=8
+)
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_resume_with_repeated_and_null_points(spark, make_messages, threshold):
+    rows = [(t, p, o, 1, f"{t}{p}{o}") for t in ("A", "B", None) for p in (0, 1, None) for o in (0, 1, 2, 3, None)]
+    messages = make_messages(rows)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+    @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(_odd_points)
+    def check(points):
+        start = {}
+        for t, p, o in points:
+            if o is not None:
+                start[t, p] = max(o, start.get((t, p), o))
+        expected = [v for t, p, o, _, v in rows if (t, p) not in start or o is None or o >= start[t, p]]
+        out = resume_from(messages, spark.createDataFrame(points, POINTS))
+        assert sorted(r["value"] for r in out.collect()) == sorted(expected)
+
+    try:
+        check()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_resume_without_points_is_everything(spark, make_messages):

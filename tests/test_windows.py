@@ -139,6 +139,20 @@ def test_dense_over_several_blocks(spark):
     assert out.where("count > 0").count() == 2
 
 
+def test_dense_with_a_null_group(spark):
+    rows = [("a", 0), ("a", 3), (None, 1), (None, 1), (None, 4)]
+    df = spark.sql("SELECT * FROM VALUES " + ", ".join(f"({'NULL' if g is None else repr(g)}, timestamp_seconds({s}))" for g, s in rows) + " AS t(g, ts)")
+    out = window_counts(df, "1 second", ts="ts", by=["g"], dense=True).collect()
+    counts = {g: [r["count"] for r in sorted(out, key=lambda r: r["window_start"]) if r["g"] == g] for g in ("a", None)}
+    assert counts == {"a": [1, 0, 0, 1], None: [2, 0, 0, 1]}
+
+
+def test_sliding_plans_have_one_size(spark):
+    df = spark.sql("SELECT timestamp_seconds(id) AS ts FROM range(20)")
+    size = lambda window, slide: len(window_counts(df, window, slide, ts="ts")._jdf.queryExecution().optimizedPlan().toString())
+    assert size("1 day", "1 second") <= size("10 seconds", "4 seconds") + 100
+
+
 def test_dense_of_nothing(spark):
     empty = spark.createDataFrame([], "timestamp timestamp_ntz")
     assert window_counts(empty, "1 second", dense=True).count() == 0
