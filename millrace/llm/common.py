@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written table in the shared folder: like ``cut``, in less space for texts and long arrays."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fresh(df: DataFrame, *stems: str) -> list[str]:
     """Names for helper columns that no column of ``df`` has, whatever its extra columns are called."""
     taken, out = {c.lower() for c in df.columns}, []
@@ -50,28 +58,35 @@ def fresh(df: DataFrame, *stems: str) -> list[str]:
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Rows (id, label): every vertex of ``edges`` with the smallest vertex it can reach.
 
-    Each round takes the smallest label among a vertex and its neighbours, then follows the label
-    once more, so long chains halve. Everything stays in tables: a round is two joins whose hot keys
-    (a vertex with very many neighbours) adaptive execution can split, because both sides are read
-    from a checkpoint, and one combining aggregate. The driver sees one number per round.
+    Each round points every vertex at its smallest neighbour, follows the pointers to their ends (each
+    step doubles how far they reach), and puts both ends of every edge where their pointers lead. Edges
+    inside a part that has met in one vertex vanish, and every part has at most half its vertices left.
+    Everything stays in tables. They are written tables, not checkpoints, because a checkpoint keeps
+    what the planner knew of its origin, which multiplies from round to round. Joins read them on both
+    sides, nothing is broadcast, aggregates combine before they shuffle, and the driver only learns
+    whether anything moved.
     """
-    both = (
-        edges.where(F.col(a) != F.col(b))
-        .select(F.explode(F.array(F.struct(F.col(a).alias("v"), F.col(b).alias("w")), F.struct(F.col(b).alias("v"), F.col(a).alias("w")))).alias("e"))
-        .select("e.v", "e.w")
-        .distinct()
-    )
-    both = cut(both)
-    labels = cut(both.groupBy(F.col("v").alias("id")).agg(F.least(F.min("w"), F.first("v")).alias("label")))
-    before = None
-    while True:
-        total = labels.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
-        if total == before:
-            return labels
-        before = total
-        heard = both.join(labels, F.col("w") == F.col("id")).select(F.col("v").alias("id"), "label")
-        nearer = cut(labels.unionByName(heard).groupBy("id").agg(F.min("label").alias("label")))
-        further = nearer.select(F.col("id").alias("via"), F.col("label").alias("further"))
-        labels = cut(
-            nearer.join(further, F.col("label") == F.col("via")).select("id", F.least("label", "further").alias("label"))
-        )
+
+    def pointed(pointers: DataFrame, key: str, value: str) -> DataFrame:
+        return pointers.select(F.col("id").alias(key), F.col("label").alias(value)).hint("merge")
+
+    def pairs(x: str, y: str) -> list:
+        return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+    left = stored(edges.where(F.col(a) != F.col(b)).select(*pairs(a, b)).distinct(), "edges")
+    rounds: list[DataFrame] = []
+    while not rounds or not left.isEmpty():
+        both = left.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
+        near = stored(both.groupBy(F.col("e.a").alias("id")).agg(F.min("e.b").alias("w")).select("id", F.least("id", "w").alias("label")), "pointers")
+        moved = True
+        while moved:
+            further = near.join(pointed(near, "label", "further"), "label")
+            near = stored(further.select("id", F.col("further").alias("label"), (F.col("further") != F.col("label")).alias("moved")), "pointers")
+            moved = not near.where("moved").isEmpty()
+        rounds.append(near.select("id", "label"))
+        placed = left.join(pointed(near, "a", "x"), "a").join(pointed(near, "b", "y"), "b").where(F.col("x") != F.col("y"))
+        left = stored(placed.select(*pairs("x", "y")).distinct(), "edges")
+    labels = rounds[0]
+    for near in rounds[1:]:
+        labels = labels.join(pointed(near, "label", "further"), "label", "left").select("id", F.coalesce("further", "label").alias("label"))
+    return labels

@@ -48,6 +48,11 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().translate(_FOLD).split()
 
 
+def places_of_words(text: str) -> list[tuple[int, int]]:
+    """Where the words of a text start and end."""
+    return [m.span() for m in re.finditer(_WORD_AS_WRITTEN, text)]
+
+
 class Automaton:
     """Generalised suffix automaton of word sequences, with the windows it has to report."""
 
@@ -273,12 +278,12 @@ def contaminated(one_in: int = ONE_IN) -> Column:
 
 @F.pandas_udf(T.StringType())
 def _without(texts: pd.Series, spans: pd.Series) -> pd.Series:
-    word, out = re.compile(_WORD_AS_WRITTEN), []
+    out = []
     for text, gone in zip(texts, spans):
         if text is None or not len(gone):
             out.append(text)
             continue
-        places = [m.span() for m in word.finditer(text)]
+        places = places_of_words(text)
         kept, at = [], 0
         for s in gone:
             kept.append(text[at : places[s["start"]][0]])

@@ -21,7 +21,6 @@ classes            connected components of the links, as tables
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 from itertools import groupby
 
@@ -31,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import components, cut, fresh, shared_folder
+from millrace.llm.common import components, cut, fresh, stored
 from millrace.llm.decontaminate import words_of
 
 SHINGLE = 5
@@ -51,7 +50,7 @@ CHUNK_DOCS, CANDIDATES = 4_000, 1_000_000
 
 _MIX_A, _MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
-_word_hashes: dict[bytes, int] = {}
+word_hashes: dict[bytes, int] = {}
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -60,12 +59,12 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _word_hash(word: bytes) -> int:
-    found = _word_hashes.get(word)
+def word_hash(word: bytes) -> int:
+    found = word_hashes.get(word)
     if found is None:
-        if len(_word_hashes) > 300_000:
-            _word_hashes.clear()
-        found = _word_hashes[word] = xxhash.xxh64_intdigest(word)
+        if len(word_hashes) > 300_000:
+            word_hashes.clear()
+        found = word_hashes[word] = xxhash.xxh64_intdigest(word)
     return found
 
 
@@ -73,14 +72,14 @@ def shingles(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The different shingles of a text, as rising numbers, and their counts. Fewer words than a shingle are one."""
     if not words:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    hashes = np.fromiter(map(_word_hash, words), dtype=np.uint64, count=len(words))
+    hashes = np.fromiter(map(word_hash, words), dtype=np.uint64, count=len(words))
     size = min(SHINGLE, len(words))
     many = len(words) - size + 1
     with np.errstate(over="ignore"):
         total = np.full(many, size, dtype=np.uint64)
         for k in range(size):
-            total += _mixed(hashes[k : k + many] + _PLACES[k])
-            total *= _PLACES[(k + 1) % 5] | np.uint64(1)
+            total *= _PLACES[0]
+            total += hashes[k : k + many]
         return np.unique(_mixed(total), return_counts=True)
 
 
@@ -114,7 +113,9 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 
 
 _GAMMA, _LOG_GAMMA = _tables()
-_SEEDS = _mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) * _PLACES[0])
+#: 1 / r, so that the sampling multiplies instead of dividing.
+_INVERSE = 1 / _GAMMA
+_SEEDS = _mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) * _PLACES[0]) | np.uint64(1)
 
 
 def samples(hashes: np.ndarray, weights: np.ndarray, block: int = 2_048) -> np.ndarray:
@@ -125,11 +126,22 @@ def samples(hashes: np.ndarray, weights: np.ndarray, block: int = 2_048) -> np.n
     for at in range(0, len(hashes), block):
         part = hashes[at : at + block]
         log_w = np.log(weights[at : at + block]).astype(np.float32)[:, None]
-        drawn = _mixed(part[:, None] ^ _SEEDS)
-        r = _GAMMA[drawn & low]
-        beta = ((drawn >> np.uint64(32)) & low).astype(np.float32) / 65536
-        t = np.floor(log_w / r + beta)
-        cost = _LOG_GAMMA[(drawn >> np.uint64(16)) & low] - r * (t - beta + 1)
+        drawn = part[:, None] * _SEEDS  # shingles are mixed well, so this and one more step will do
+        drawn ^= drawn >> np.uint64(29)
+        drawn *= _MIX_A
+        index = (drawn >> np.uint64(48)).astype(np.intp)
+        r = _GAMMA.take(index)
+        beta = ((drawn >> np.uint64(16)) & low).astype(np.float32)
+        beta *= np.float32(1 / 65536)
+        t = _INVERSE.take(index)
+        t *= log_w
+        t += beta
+        np.floor(t, out=t)
+        beta -= t
+        beta -= 1
+        beta *= r
+        beta += _LOG_GAMMA.take(((drawn >> np.uint64(32)) & low).astype(np.intp))
+        cost = beta
         first = cost.argmin(axis=0)
         columns = np.arange(SAMPLES)
         least = cost[first, columns]
@@ -411,25 +423,19 @@ def links(docs: DataFrame, id: str = "doc_id", text: str = "text", least: float
     spark = docs.sparkSession
     rows = docs.where(F.col(id).isNotNull()).select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     weights = spark.sparkContext.broadcast(weigh(rows.select("text")))
-    folder = f"{shared_folder(spark)}/near-copies-{uuid.uuid4().hex}"
-
-    def kept(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{folder}/{name}")
-        return spark.read.parquet(f"{folder}/{name}")
-
-    signed = kept(rows.mapInArrow(_signed(weights), "id long, digest binary, bands array<long>, sign binary"), "signed")
-    firsts = kept(signed.groupBy("digest").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("sign").alias("sign")), "firsts")
+    signed = stored(rows.mapInArrow(_signed(weights), "id long, digest binary, bands array<long>, sign binary"), "signed")
+    firsts = stored(signed.groupBy("digest").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("sign").alias("sign")), "firsts")
     met = _met(firsts)
     groups = _likely_groups(firsts, met)
     fullness = met.groupBy("id").agg(F.sum("n").alias("met"))
     named = groups.join(fullness, "id").join(firsts.select("id", "sign"), "id")
-    members = kept(named.join(rows, "id").dropDuplicates(["id"]), "members")
+    members = stored(named.join(rows, "id").dropDuplicates(["id"]), "members")
     best = F.max(F.struct("met", (-F.col("id")).alias("id")))
     hubs = cut(members.groupBy("group").agg(best.alias("h"), F.count("*").alias("size")).select("group", (-F.col("h.id")).alias("hub"), "size"))
     reached = _from_hubs(members, hubs.select("group", "hub"), weights, least)
     larger = hubs.where(F.col("size") > 2).select("group", "size")
     state = members.join(larger, "group").join(reached.select(F.col("b").alias("id"), F.col("a").alias("hub")), "id", "left")
-    rest = _from_others(kept(state.select("group", "size", "id", "hub", "sign", "text"), "state"), weights, least)
+    rest = _from_others(stored(state.select("group", "size", "id", "hub", "sign", "text"), "state"), weights, least)
     return _copies(signed, firsts).unionByName(reached.where(F.col("a") != F.col("b"))).unionByName(rest)
 
 
