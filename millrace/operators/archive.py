@@ -18,6 +18,9 @@ SEPARATOR = "/n"
 # one Spark string can hold.
 SEGMENT_MESSAGES = 1_000
 
+# Segments of a partition and window for messages that have no offset.
+UNPLACED_SEGMENTS = 4_096
+
 ARCHIVE_COLUMNS = ("topic", "dt", "window_end_ms", "partition", "offset", "value")
 
 
@@ -36,57 +39,31 @@ def window_concat(
     ts: str = "timestamp",
     start_offset: str | int | timedelta = 0,
 ) -> DataFrame:
-    """The messages of each topic and window as one text, in (partition, offset) order.
-
-    A window of up to ``segment_messages`` messages is one row, with null
-    ``partition`` and ``segment``. A larger one, whose text no single task should
-    hold, comes as several rows, one for every ``segment_messages`` offsets of a
-    partition; joined by the separator in (partition, segment) order they are the
-    text. No group ever holds more than ``segment_messages`` messages. On a
-    stream every window comes in segments.
+    """The messages of each topic and window as texts of bounded length, in offset order.
+
+    One row per ``segment_messages`` offsets of a partition, for windows of any
+    size, in a batch and on a stream alike: joined by the separator in
+    (partition, segment) order the rows of a window are its text. Messages without
+    an offset have no order; they go to segments below zero by a hash of their
+    text and time. One scan and one shuffle, by a key that no hot topic or window
+    fills alone.
     """
     layout = Windows.of(window, slide, start_offset)
     ntz = is_ntz(messages, ts)
-    # A row without a place sorts first; the join below must not lose it.
-    offset = F.coalesce(F.col("offset"), F.lit(-1))
+    unplaced = -1 - F.pmod(F.xxhash64("value", ts), F.lit(UNPLACED_SEGMENTS))
+    segment = F.coalesce(F.call_function("div", F.col("offset"), F.lit(segment_messages)), unplaced)
     rows = with_window(messages, layout, ts).select(
         F.coalesce(F.col("topic"), F.lit("")).alias("topic"),
         "window",
         F.coalesce(F.col("partition"), F.lit(-1)).alias("partition"),
-        offset.alias("offset"),
-        F.call_function("div", offset, F.lit(segment_messages)).alias("segment"),
+        F.coalesce(F.col("offset"), F.lit(-1)).alias("offset"),
+        segment.alias("segment"),
         shown(F.col("value")).alias("value"),
     )
-    group = ["topic", "window"]
-    piece = [*group, "partition", "segment"]
-    segments = rows.groupBy(*piece).agg(F.count("*").alias("n"), _joined(separator, "offset").alias("value"))
-    result = ["partition", "segment", "n", "value"]
-    if messages.isStreaming:
-        return segments.select("topic", *bounds(layout, ntz), *result)
-
-    # Sizes come from a second, narrow read that leaves the texts out. The texts
-    # meet them on the segment's own key, which is evenly filled and by which they
-    # are shuffled already; only the sizes are ever grouped by window alone.
-    sizes = rows.groupBy(*piece).agg(F.count("*").alias("_n"))
-    totals = sizes.groupBy(*group).agg((F.sum("_n") > segment_messages).alias("_large"))
-    sizes = sizes.join(totals, group).where(F.col("_n") > 0).drop("_n")
-    return (
-        segments.join(sizes, piece)
-        .groupBy(
-            *group,
-            F.when(F.col("_large"), F.col("partition")).alias("_partition"),
-            F.when(F.col("_large"), F.col("segment")).alias("_segment"),
-        )
-        .agg(F.sum("n").alias("n"), _joined(separator, "partition", "segment").alias("value"))
-        .select(
-            "topic",
-            *bounds(layout, ntz),
-            F.col("_partition").alias("partition"),
-            F.col("_segment").alias("segment"),
-            "n",
-            "value",
-        )
+    segments = rows.groupBy("topic", "window", "partition", "segment").agg(
+        F.count("*").alias("n"), _joined(separator, "offset").alias("value")
     )
+    return segments.select("topic", *bounds(layout, ntz), "partition", "segment", "n", "value")
 
 
 def window_archive(

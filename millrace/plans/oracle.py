@@ -69,11 +69,9 @@ _COUNT_BY_KIND = _counts(_E, "e", "arrived", 10 * _HOUR, 4 * _HOUR, "topic", Tru
 
 
 def _concat(window: int, slide: int, segment: int = 1_000) -> str:
-    return f"""{_M}, {_starts("m", '"timestamp"', window, slide)},
-  g AS (SELECT *, count(*) OVER (PARTITION BY topic, st) > {segment} AS large FROM k)
-SELECT topic, {_span(window)}, CASE WHEN large THEN "partition" END AS "partition",
-  CASE WHEN large THEN "offset" // {segment} END AS segment, count(*) AS n,
-  string_agg(value, '/n' ORDER BY "partition", "offset") AS value FROM g GROUP BY topic, st, 4, 5"""
+    return f"""{_M}, {_starts("m", '"timestamp"', window, slide)}
+SELECT topic, {_span(window)}, "partition", "offset" // {segment} AS segment, count(*) AS n,
+  string_agg(value, '/n' ORDER BY "offset") AS value FROM k GROUP BY topic, st, 4, 5"""
 
 
 def _archive(window: int, slide: int, columns: str = '"partition", "offset", value') -> str:
