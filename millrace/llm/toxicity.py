@@ -85,17 +85,18 @@ def _matrix(rows: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
 
 def _choose(confirmed: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, size: int) -> np.ndarray:
     """The features that most set confirmed texts apart: likely, by a cautious estimate, to mean a toxic text."""
-    rows = np.concatenate([*confirmed, *unlabelled]) if confirmed else np.zeros(0, np.int64)
-    names, number = np.unique(rows, return_inverse=True)
-    split = sum(map(len, confirmed))
-    with_c = np.bincount(number[:split], minlength=len(names))
-    with_u = np.bincount(number[split:], minlength=len(names))
+    names, with_c = np.unique(np.concatenate(confirmed), return_counts=True)
+    names, with_c = names[with_c >= 3], with_c[with_c >= 3]
+    with_u = np.zeros(len(names), np.int64)
+    for row in unlabelled if len(names) else []:
+        at = np.minimum(np.searchsorted(names, row), len(names) - 1)
+        with_u[at[names[at] == row]] += 1
     c, u = max(len(confirmed), 1), max(len(unlabelled), 1)
     share_c, share_u = (with_c + 0.1) / (c + 1), (with_u + 0.5) / (u + 1)
     gain = with_c * np.log(share_c / share_u)
     cautious = np.maximum(with_c - CAUTION * np.sqrt(with_c), 0) / c
     by_chance = c * share_u + CHANCE * np.sqrt(c * share_u)
-    good = np.flatnonzero((with_c >= 3) & (with_c > by_chance) & (prior * cautious >= LEAST * share_u))
+    good = np.flatnonzero((with_c > by_chance) & (prior * cautious >= LEAST * share_u))
     best = good[np.argsort(-gain[good], kind="stable")[:size]]
     return np.sort(names[best])
 
@@ -134,16 +135,17 @@ def fit(confirmed: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     return ToxicModel({int(f): float(v) for f, v in zip(chosen, w[:-1])}, float(w[-1]))
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
+@F.pandas_udf(T.BinaryType())
 def _features(texts: pd.Series) -> pd.Series:
-    return pd.Series([np.fromiter(features_of(t), dtype=np.int64) for t in texts], dtype=object)
+    """Rising feature numbers, four bytes each."""
+    return pd.Series([np.sort(np.fromiter(features_of(t), dtype=np.uint32)).tobytes() for t in texts], dtype=object)
 
 
 def _gathered(texts: DataFrame, text: str, most: int) -> list[np.ndarray]:
     """Features of at most ``most`` texts, the first by a hash of the text."""
     order = F.xxhash64(text)
     rows = texts.orderBy(order, text).limit(most).select(_features(F.col(text)).alias("f"))
-    return [np.sort(np.asarray(v, dtype=np.int64)) for v in rows.toArrow()["f"].to_pylist()]
+    return [np.frombuffer(v, dtype=np.uint32) for v in rows.toArrow()["f"].to_pylist()]
 
 
 def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", toxic: str = "toxic", prior: float | None = None) -> ToxicModel:
