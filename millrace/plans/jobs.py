@@ -114,13 +114,15 @@ def counts_job(
     counted_topic: str = "PassportEvents",
     window: str | int = COUNT_WINDOW,
     slide: str | int = COUNT_SLIDE,
-    watermark: str | None = "1 minute",
+    watermark: str | None = None,
     trigger: str = "2 seconds",
 ) -> Queries:
     """Sliding counts per topic, first rows on the console and a raw dump.
 
+    By default windows are counted in update mode and kept, so no late row is lost.
     With a ``watermark`` finished windows are emitted once and their state goes;
-    None counts in update mode and keeps every window.
+    rows later than that are dropped, and the progress of the query counts them
+    as ``numRowsDroppedByWatermark``.
     """
     chosen = subscribe(messages, [counted_topic])
     if watermark:

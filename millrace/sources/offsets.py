@@ -15,16 +15,16 @@ EARLIEST = -2
 
 LEDGER_SCHEMA = "topic string, partition int, from_offset bigint, until_offset bigint, n bigint, batch_id bigint"
 
-
 # Topic partitions that one start option may name by default, far more than a cluster has.
 MOST_PARTITIONS = 100_000
 
 
 def write_ledger(batch: DataFrame, batch_id: int, path: str) -> None:
     """Record a batch. Call it after the batch's data is written; a repeat replaces it."""
+    # One file a batch; the exchange keeps the aggregate itself spread over tasks.
     (
         offset_ranges(batch)
-        .coalesce(1)
+        .repartition(1)
         .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -72,6 +72,11 @@ def _gathered(rows: DataFrame, folders: Sequence[str], rows_per_file: int | None
     return rows.repartition(*folders, "partition", F.call_function("div", F.col("offset"), F.lit(rows_per_file)))
 
 
+def _bounded(rows_per_file: int | None) -> dict[str, str]:
+    """Gathering sends rows together but bounds no file, as hash partitions merge; this option does."""
+    return {} if rows_per_file is None else {"maxRecordsPerFile": str(rows_per_file)}
+
+
 def skip_empty(sink: Sink) -> Sink:
     """``sink`` for batches with rows; an empty one leaves no folder behind."""
 
@@ -121,10 +126,10 @@ def archive_sink(
         if fmt == "text":
             folders = ["topic", "dt", "window_end_ms"]
             lines = _gathered(rows, folders, rows_per_file).sortWithinPartitions(*order).select(*folders, "value")
-            replace_batch(lines, batch_id, root, folders, "text", lineSep=separator)
+            replace_batch(lines, batch_id, root, folders, "text", lineSep=separator, **_bounded(rows_per_file))
         else:
             rows = _gathered(rows, ["topic", "dt"], rows_per_file).sortWithinPartitions(*order)
-            replace_batch(rows, batch_id, root, ["topic", "dt"])
+            replace_batch(rows, batch_id, root, ["topic", "dt"], **_bounded(rows_per_file))
 
     return skip_empty(run)
 
@@ -239,18 +244,25 @@ def snapshot_sink(path: str) -> Sink:
     """The whole result of a complete-mode query, after each batch.
 
     Two folders take turns, so the last finished snapshot stays whole while the
-    next one is being written.
+    next one is being written. A note beside each, written after it, says that it
+    is finished.
     """
 
     def run(result: DataFrame, batch_id: int) -> None:
+        slot = batch_id % 2
         stamped = result.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        stamped.write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
+        stamped.write.mode("overwrite").parquet(f"{path}/data/slot={slot}")
+        note = result.sparkSession.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id"))
+        note.write.mode("overwrite").parquet(f"{path}/finished/slot={slot}")
 
     return run
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The newest snapshot."""
-    snapshots = spark.read.parquet(path)
-    newest = snapshots.agg(F.max("batch_id")).first()[0]
-    return snapshots.where(F.col("batch_id") == F.lit(newest)).drop("batch_id", "slot")
+    """The newest finished snapshot; one that is only half written is not read."""
+    notes = spark.read.schema("batch_id bigint, slot int").parquet(f"{path}/finished")
+    newest = notes.agg(F.max("batch_id")).first()[0]
+    if newest is None:
+        raise ValueError(f"no finished snapshot below {path}")
+    rows = spark.read.parquet(f"{path}/data/slot={newest % 2}")
+    return rows.where(F.col("batch_id") == F.lit(newest)).drop("batch_id")

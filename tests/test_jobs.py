@@ -79,7 +79,7 @@ def test_counts_job(spark, inbox, tmp_path):
         collected.update({(r["topic"], r["window_start"]): r for r in batch.collect()})
 
     queries = jobs.counts_job(
-        inbox.stream(), f"{tmp_path}/ck", dump_path=f"{tmp_path}/dump", counts_sink=keep, watermark=None
+        inbox.stream(), f"{tmp_path}/ck", dump_path=f"{tmp_path}/dump", counts_sink=keep
     )
     assert set(queries) == {"counts", "first", "dump"}
     finish(queries)
@@ -97,7 +97,7 @@ def test_counts_job_with_watermark(spark, inbox, tmp_path):
     out = []
     finish(
         jobs.counts_job(
-            inbox.stream(), f"{tmp_path}/ck", dump_path=f"{tmp_path}/dump",
+            inbox.stream(), f"{tmp_path}/ck", dump_path=f"{tmp_path}/dump", watermark="1 minute",
             counts_sink=lambda b, i: out.extend(b.select("window_start", "topic").collect()),
         )
     )

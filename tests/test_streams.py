@@ -111,11 +111,12 @@ def test_concatenation_in_segments(spark, inbox, tmp_path):
         inbox.deliver(rows(start, start + 30))
     live = window_concat(inbox.stream(), 30, segment_messages=8)
     run_to_end(live, sinks.snapshot_sink(f"{tmp_path}/out"), f"{tmp_path}/ck", mode="complete")
-    parts = sinks.read_snapshot(spark, f"{tmp_path}/out").orderBy("partition", "segment").collect()
-    whole = window_concat(inbox.table(), 30).collect()
-    for row in whole:
-        mine = [p["value"] for p in parts if (p["topic"], p["window_end"]) == (row["topic"], row["window_end"])]
-        assert "/n".join(mine) == row["value"]
+    same(sinks.read_snapshot(spark, f"{tmp_path}/out"), window_concat(inbox.table(), 30, segment_messages=8))
+    window = lambda df: {
+        (t, e): "/n".join(v for _, _, v in sorted(parts))
+        for t, e, parts in df.groupBy("topic", "window_end").agg(F.collect_list(F.struct("partition", "segment", "value"))).collect()
+    }
+    assert window(sinks.read_snapshot(spark, f"{tmp_path}/out")) == window(window_concat(inbox.table(), 30))
 
 
 @pytest.mark.parametrize("rows_per_file", [None, 16])
@@ -237,3 +238,36 @@ def test_built_in_sinks(spark, inbox, tmp_path):
     assert spark.table("seen").count() == 4
     with pytest.raises(ValueError):
         run_stream(inbox.stream(), "noop", "")
+
+
+def test_half_written_snapshot_is_not_read(spark, tmp_path):
+    sink = sinks.snapshot_sink(f"{tmp_path}/out")
+    sink(spark.range(10), 0)
+    sink(spark.range(20), 1)
+    half = spark.range(3).selectExpr("id", "2L AS batch_id")
+    half.write.mode("overwrite").parquet(f"{tmp_path}/out/data/slot=0")
+    assert sinks.read_snapshot(spark, f"{tmp_path}/out").count() == 20
+    sink(spark.range(7), 2)
+    assert sinks.read_snapshot(spark, f"{tmp_path}/out").count() == 7
+
+
+def test_files_are_bounded_with_adaptive_execution(spark, make_messages, tmp_path):
+    sinks.archive_sink(f"{tmp_path}/a", "1 day", rows_per_file=5)(make_messages([("A", 0, o, 1, "x") for o in range(52)]), 0)
+    files = list((tmp_path / "a").rglob("*.parquet"))
+    assert len(files) >= 11 and sinks.read_archive(spark, f"{tmp_path}/a").count() == 52
+
+
+def test_streams_read_folder_tables_in_several_batches(spark, tmp_path, monkeypatch):
+    from millrace.plans import catalog
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(5).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(catalog, "FILES_PER_BATCH", 2)
+    live = catalog.stream(spark, str(tmp_path), "events")
+    batches = []
+    run_to_end(live, lambda batch, batch_id: batches.append(batch.count()), f"{tmp_path}/ck")
+    assert sum(batches) == events.count() and len(batches) == 3
+    one = catalog.stream(spark, "/root/testdata/sf0.001", "events")
+    total = []
+    run_to_end(one, lambda batch, batch_id: total.append(batch.count()), f"{tmp_path}/ck1")
+    assert sum(total) == events.count()
