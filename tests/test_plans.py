@@ -45,8 +45,8 @@ def test_counts_read_only_the_time(spark):
 
 def test_overlapping_windows_are_counted_before_they_are_repeated(spark):
     text = plan(windows.window_counts(sample(spark, SF), "10 hours", "4 hours"))
-    expand = text.index("Expand")
-    assert text.index("partial_count", expand) > expand
+    repeated = text.index("Generate explode")
+    assert text.index("partial_count", repeated) > repeated and "Expand" not in text
     assert len(re.findall("Exchange hashpartitioning", text)) == 2
     tumbling = plan(windows.window_counts(sample(spark, SF), "10 hours"))
     assert len(re.findall("Exchange hashpartitioning", tumbling)) == 1
@@ -63,8 +63,6 @@ def test_filling_gaps_reads_the_input_once(spark):
 
 def test_concatenation_never_groups_texts_by_window_alone(spark):
     text = plan(archive.window_concat(sample(spark, SF), "1 day"))
-    by_window = [line for line in text.splitlines() if re.search(r"Exchange hashpartitioning\(topic#\d+, window#\d+, \d", line)]
-    for line in by_window:
-        assert "listagg" not in line
-    # the sizes are read without the texts
-    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in text
+    assert text.count("FileScan") == 1
+    (exchange,) = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert re.search(r"segment#\d+", exchange)
