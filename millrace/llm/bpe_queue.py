@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from millrace.llm.common import fresh
 
 #: Pre-tokens in each of the two generations that a worker remembers. A matter of speed alone.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Rank files above this size are refused: they are broadcast.
 MAX_VOCABULARY = 2_000_000
 

@@ -33,7 +33,7 @@ SAMPLE_BYTES = 4_096
 #: Languages that a model may have.
 MAX_LANGUAGES = 1_000
 #: Bytes that one numpy step handles.
-STEP_BYTES = 1 << 18
+STEP_BYTES = 1 << 17
 UNDETERMINED = "und"
 #: The chance below which ``accept`` calls a language not determined.
 LEAST = 0.3

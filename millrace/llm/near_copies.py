@@ -62,7 +62,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def word_hash(word: bytes) -> int:
     found = word_hashes.get(word)
     if found is None:
-        if len(word_hashes) > 300_000:
+        if len(word_hashes) > 100_000:
             word_hashes.clear()
         found = word_hashes[word] = xxhash.xxh64_intdigest(word)
     return found

@@ -46,7 +46,7 @@ def features_of_word(word: bytes) -> tuple[int, ...]:
     """Numbers of a word and of its beginnings."""
     found = _known.get(word)
     if found is None:
-        if len(_known) > 300_000:
+        if len(_known) > 100_000:
             _known.clear()
         text = word.decode()
         parts = [f"={text}", *(f"{n}{text[:n]}" for n in BEGINNINGS if len(text) >= n)]
