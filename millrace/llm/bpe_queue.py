@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import fresh
+from millrace.llm.common import fresh, hold_only
 
 #: Pre-tokens in each of the two generations that a worker remembers. A matter of speed alone.
 REMEMBERED = 200_000
@@ -139,10 +139,14 @@ class Remembering(dict):
         if len(piece) <= 64:
             if len(self) >= REMEMBERED:
                 self.older = dict(self)
-                self.clear()
+                super().clear()
             self[piece] = ids
         return ids
 
+    def clear(self) -> None:
+        super().clear()
+        self.older = {}
+
 
 class Codec:
     """Text to ids and ids to bytes for one vocabulary and one pre-token pattern."""
@@ -166,6 +170,7 @@ def worker_codec(key: str, shared, pattern: str) -> Codec:
     """The codec of this Python worker; it outlives the task, so later tasks find its pre-tokens."""
     if key not in _codecs:
         _codecs[key] = Codec(shared.value, pattern)
+    hold_only(f"codec {key}", _codecs[key].ids)
     return _codecs[key]
 
 

@@ -43,6 +43,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_held: dict[str, tuple[dict, ...]] = {}
+
+
+def hold_only(owner: str, *tables: dict) -> None:
+    """Called where a task starts in a Python worker: what other operators remember there is forgotten.
+
+    Workers outlive tasks, so without this their tables of remembered words would add up over a pipeline.
+    """
+    for name, others in _held.items():
+        if name != owner:
+            for held in others:
+                held.clear()
+    _held[owner] = tables
+
+
 def fresh(df: DataFrame, *stems: str) -> list[str]:
     """Names for helper columns that no column of ``df`` has, whatever its extra columns are called."""
     taken, out = {c.lower() for c in df.columns}, []

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import cut, fresh
+from millrace.llm.common import cut, fresh, hold_only
 
 WINDOW = 13
 BLOCK_WORDS = 200_000
@@ -215,6 +215,7 @@ _STATE = T.StructType(
 def _search(key: str, shared, window: int):
     @F.pandas_udf(_STATE)
     def search(batches: Iterator[tuple[pd.Series, pd.DataFrame]]) -> Iterator[pd.DataFrame]:
+        hold_only("automata")
         automaton = worker_automaton(key, shared, window)
         for texts, before in batches:
             counts, spans, items = [], [], []

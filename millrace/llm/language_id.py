@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import fresh
+from millrace.llm.common import fresh, hold_only
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -243,6 +243,7 @@ def predict(df: DataFrame, model: ByteCnn | None, text: str = "text", lang_pred:
 
         @F.pandas_udf(kind)
         def ask(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            hold_only("language")
             for batch in batches:
                 languages, chances = _answers(model, list(batch))
                 yield pd.DataFrame({"lang": languages, "score": chances})

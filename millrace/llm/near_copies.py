@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import components, cut, fresh, stored
+from millrace.llm.common import components, cut, fresh, hold_only, stored
 from millrace.llm.decontaminate import words_of
 
 SHINGLE = 5
@@ -167,6 +167,7 @@ def similarity(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> float:
 
 def _chunk_candidates(share: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_only("words", word_hashes)
         held: list[np.ndarray] = []
 
         def named() -> Iterator[pa.RecordBatch]:
@@ -188,6 +189,7 @@ def _chunk_candidates(share: float) -> Callable:
 
 def _counted(shared) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_only("words", word_hashes)
         wanted = shared.value
         counts = np.zeros(len(wanted), np.int64)
         for batch in batches:
@@ -224,6 +226,7 @@ def weigh(texts: DataFrame) -> Weights:
 
 def _signed(shared) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_only("words", word_hashes)
         weights = shared.value
         for batch in batches:
             ids, digests, bands, signs = [], [], [], []
