@@ -3,7 +3,8 @@
 A document is a weighted set of shingles (``SHINGLE`` consecutive words): the count of a shingle
 times 1 for one that all documents have, up to 2 for a rare one. Improved consistent weighted
 sampling draws (shingle, level) pairs that two documents share with a chance equal to their weighted
-Jaccard similarity; bands of samples propose, exact similarities decide.
+Jaccard similarity; bands of samples propose, exact similarities decide. A second set of samples, drawn
+with all weights equal, does the same for the plain Jaccard similarity of the different shingles.
 
 =================  ====================================================================================
 frequent shingles  two exact passes: a shingle in a share of all documents is in that share of some
@@ -39,6 +40,8 @@ BANDS, ROWS = 14, 4
 SAMPLES = BANDS * ROWS
 #: Share of equal samples below which two documents are not compared exactly; a pair at the similarity of 0.8 is below it once in 10,000 times.
 LIKELY = 0.6
+#: The weight of every shingle where plain similarities are sampled.
+EVEN = 2.0
 #: Rows of one side of a tile.
 TILE = 128
 #: Share of documents from which a shingle's frequency is told; rarer ones weigh alike.
@@ -235,10 +238,14 @@ def _signed(shared) -> Callable:
                 if not words:
                     continue
                 hashes, counts = shingles(words)
-                drawn = samples(hashes, weights.of(hashes, counts))
+                weighed = weights.of(hashes, counts)
+                drawn = samples(hashes, weighed)
+                # Even weights are those of rare shingles that come once, so most texts are drawn from once.
+                plain = drawn if (weighed == EVEN).all() else samples(hashes, np.full(len(hashes), EVEN))
+                drawn = np.concatenate([drawn, plain])
                 ids.append(key)
                 digests.append(xxhash.xxh3_128_digest(b" ".join(words)))
-                keys = drawn.reshape(BANDS, ROWS)
+                keys = drawn.reshape(2 * BANDS, ROWS)
                 with np.errstate(over="ignore"):
                     bands.append(_mixed((keys * _PLACES[:ROWS]).sum(axis=1)).view(np.int64))
                 signs.append((drawn & np.uint64(0xFFFF)).astype(np.uint16).tobytes())
@@ -268,12 +275,14 @@ class _Sets:
 
 
 def _agreement(a: list[bytes], b: list[bytes]) -> np.ndarray:
-    left = np.frombuffer(b"".join(a), np.uint16).reshape(-1, SAMPLES)
-    right = np.frombuffer(b"".join(b), np.uint16).reshape(-1, SAMPLES)
-    out = np.zeros((len(a), len(b)), np.uint8)
-    for k in range(SAMPLES):
-        out += left[:, k, None] == right[None, :, k]
-    return out
+    """Equal samples of every pair, weighted or plain ones, whichever are more."""
+    left = np.frombuffer(b"".join(a), np.uint16).reshape(-1, 2, SAMPLES)
+    right = np.frombuffer(b"".join(b), np.uint16).reshape(-1, 2, SAMPLES)
+    out = np.zeros((2, len(a), len(b)), np.uint8)
+    for kind in range(2):
+        for k in range(SAMPLES):
+            out[kind] += left[:, kind, k, None] == right[None, :, kind, k]
+    return out.max(axis=0)
 
 
 def _groups(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[tuple]]]:

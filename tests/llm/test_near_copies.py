@@ -114,3 +114,14 @@ def test_components(spark):
     path = [(i, i + 1) for i in range(70)] + [(100, 200), (200, 300), (5, 5), (400, 300)]
     got = {r["id"]: r["label"] for r in components(spark.createDataFrame(path, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(71)}, **{i: 100 for i in (100, 200, 300, 400)}}
+
+
+def test_plain_similarity_proposes_too(spark):
+    rng = random.Random(8)
+    say = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    docs = []
+    for n in range(20):  # the same shingles, one line much more often in one text than in the other
+        before, line, after = say(60), say(8), say(60)
+        docs += [(2 * n + k, " ".join([before, *[line] * often, after])) for k, often in enumerate((20, 400))]
+    got = {r["doc_id"]: r["class_id"] for r in N.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == brute_classes(docs) == {i: i - i % 2 for i in range(40)}
