@@ -44,6 +44,7 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     return tempfile.mkdtemp(prefix=f"millrace-{purpose}-")
