@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe_queue, decontaminate, language_id, main_text, near_copies, personal_data, repeated_passages, toxicity, url_lists, vector_tiles
+from millrace.llm import bpe_queue, decontaminate, filter_audit, language_id, main_text, mixing, near_copies, personal_data, repeated_passages, token_alignment, toxicity, url_lists, vector_tiles
 from millrace.llm.common import table
 
 
@@ -176,6 +176,106 @@ def op10_vector_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_tiles.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in each of their 120 orders, per language."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return filter_audit.interactions(docs, table(spark, sf_dir, "labels"))
+
+
+OP11_SQL = r"""
+WITH l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS words,
+    min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id
+  FROM documents),
+f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    [len(words) < 100, 100 * len(list_distinct(words)) < 80 * len(words),
+     100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text),
+     regexp_matches(text, '[#$%&*|]'), coalesce(first_id < doc_id, false)] AS fails
+  FROM d LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, good, toxic, fails, count(*) AS n FROM f GROUP BY ALL),
+k AS (SELECT unnest(range(1, 6)) AS k),
+o AS (
+  SELECT [a.k, b.k, c.k, d.k, e.k] AS o FROM k a, k b, k c, k d, k e
+  WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5),
+s AS (
+  SELECT array_to_string(list_transform(o, lambda x: substr('ABCDE', x, 1)), '') AS filter_order, k.k AS step, o[k.k] AS own,
+    o[1:k.k - 1] AS before FROM o, k),
+j AS (
+  SELECT part, filter_order, step, own, n, good, toxic, fails[own] AS failing,
+    len(list_filter(before, lambda x: fails[x])) = 0 AS reached, len(list_filter(fails, lambda x: x)) AS n_fails
+  FROM s, c),
+r AS (
+  SELECT part, filter_order, step, own,
+    coalesce(sum(n) FILTER (reached AND NOT failing), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (reached AND failing), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (failing AND NOT reached), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (failing AND n_fails = 1), 0)::BIGINT AS unique_fails,
+    coalesce(sum(n) FILTER (reached AND failing AND good), 0)::BIGINT AS good_lost,
+    coalesce(sum(n) FILTER (reached AND failing AND toxic), 0)::BIGINT AS toxic_lost
+  FROM j GROUP BY ALL)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM r
+"""
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers line up in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = token_alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document go into a mix of sources by weight."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::BIGINT AS size,
+    md5(concat(coalesce(doc_id::VARCHAR, ''), ':', coalesce(text, ''))) AS key
+  FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank
+  FROM d GROUP BY source),
+w AS (
+  SELECT *, [5, 2, 1][((rank - 1) % 3 + 1)::INT] AS weight, 3 * source_size AS cap,
+    sum(source_size) OVER () AS all_words
+  FROM s),
+l AS (
+  SELECT *, all_words - coalesce(sum(cap) OVER before, 0) AS words_left,
+    sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS weight_left
+  FROM w WINDOW before AS (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+c AS (SELECT *, cap::HUGEINT * weight_left <= words_left::HUGEINT * weight AS capped FROM l),
+t AS (
+  SELECT source, rank, source_size, all_words, CASE WHEN capped THEN cap::DOUBLE
+    ELSE weight * ((all_words - coalesce(sum(cap) FILTER (capped) OVER (), 0))::DOUBLE
+      / (sum(weight) OVER () - coalesce(sum(weight) FILTER (capped) OVER (), 0))::DOUBLE) END AS target
+  FROM c),
+p AS (
+  SELECT d.*, rank, source_size, all_words, target, sum(size) OVER (
+    PARTITION BY rank ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS place
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+q AS (SELECT *, unnest([0, 1, 2]) AS copy FROM p),
+f AS (SELECT *, CASE WHEN size > 0 THEN (copy * source_size + place)::DOUBLE / target END AS finish FROM q),
+o AS (
+  SELECT *, sum(CASE WHEN size > 0 THEN size ELSE 0 END) OVER (
+    ORDER BY finish NULLS LAST, rank, copy, place ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS spent
+  FROM f),
+x AS (
+  SELECT doc_id, key, size, source_size, target, rank, place, count(*) / 3 AS alike,
+    (sum(CASE WHEN size > 0 AND spent <= all_words THEN size ELSE 0 END))::BIGINT AS taken
+  FROM o GROUP BY ALL)
+SELECT doc_id, size, source_size, target, CASE WHEN size = 0 THEN 0 ELSE taken END AS taken
+FROM x, range(CASE WHEN size = 0 THEN alike::BIGINT ELSE 1 END)
+"""
+
+
 QUERIES = {
     "op1_main_text": op1_main_text,
     "op2_byte_bpe": op2_byte_bpe,
@@ -187,7 +287,10 @@ QUERIES = {
     "op8_repeated_passages": op8_repeated_passages,
     "op9_personal_data": op9_personal_data,
     "op10_vector_tiles": op10_vector_tiles,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_source_mix": op13_source_mix,
 }
 
 #: What DuckDB can say as well.
-SQL: dict[str, str] = {"op5_url_lists": OP5_SQL}
+SQL: dict[str, str] = {"op5_url_lists": OP5_SQL, "op11_filter_audit": OP11_SQL, "op13_source_mix": OP13_SQL}

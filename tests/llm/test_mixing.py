@@ -1,0 +1,136 @@
+"""Mixes against serving the queue one document after the other."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import defaultdict
+from fractions import Fraction
+
+import duckdb
+import pytest
+
+from millrace.llm import mixing as M
+from millrace.llm import queries
+
+SCHEMA = "doc_id long, text string, source string, size string, rank int, taken int"
+
+
+def size_of(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+def shares(sizes, weights=(5, 2, 1), most=3, budget=None):
+    """Targets by resharing until none is above its cap."""
+    names = sorted(sizes, key=lambda n: (n is None, n or ""))
+    weight = {n: weights[k % len(weights)] for k, n in enumerate(names)}
+    total, capped = sum(sizes.values()) if budget is None else budget, set()
+    while True:
+        left = total - sum(most * sizes[n] for n in capped)
+        open_ = [n for n in names if n not in capped]
+        level = Fraction(left, sum(weight[n] for n in open_)) if open_ else 0
+        above = [n for n in open_ if level * weight[n] > most * sizes[n]]
+        if not above:
+            return {n: Fraction(most * sizes[n]) if n in capped else level * weight[n] for n in names}
+        capped.update(above)
+
+
+def brute(rows, most=3, budget=None, **kwargs):
+    """Documents served in order of finish times, as exact fractions."""
+    sizes = defaultdict(int)
+    for _, text, source in rows:
+        sizes[source] += size_of(text)
+    target = shares(sizes, most=most, budget=budget, **kwargs)
+    names = sorted(sizes, key=lambda n: (n is None, n or ""))
+    line = []
+    for rank, name in enumerate(names):
+        mine = [k for k, r in enumerate(rows) if r[2] == name and size_of(r[1])]
+        mine.sort(key=lambda k: hashlib.md5(f"{'' if rows[k][0] is None else rows[k][0]}:{rows[k][1]}".encode()).hexdigest())
+        for copy in range(most):
+            place = copy * sizes[name]
+            for k in mine:
+                place += size_of(rows[k][1])
+                line.append((place / float(target[name]), rank, place, k))
+    taken, spent = defaultdict(int), 0
+    for _, _, _, k in sorted(line):
+        spent += size_of(rows[k][1])
+        if spent > (sum(sizes.values()) if budget is None else budget):
+            break
+        taken[k] += size_of(rows[k][1])
+    return sorted(
+        (-1 if i is None else i, size_of(t), sizes[s], pytest.approx(float(target[s])), taken[k]) for k, (i, t, s) in enumerate(rows)
+    )
+
+
+def found(spark, rows, **options):
+    docs = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], SCHEMA).repartition(3)
+    out = M.mix(docs, **options)
+    assert out.columns == ["id", "source", "size", "source_size", "target", "copies", "taken"]
+    rows = out.collect()
+    assert all(r["copies"] * r["size"] == r["taken"] for r in rows)
+    return sorted((-1 if r["id"] is None else r["id"], r["size"], r["source_size"], r["target"], r["taken"]) for r in rows)
+
+
+def texts(n):
+    return " ".join(f"w{k}" for k in range(n))
+
+
+ROWS = [(n, texts(1 + n * 7 % 23), ("hot" if n % 3 else "b", "a", "c", "é", "z", None)[n % 6 if n % 5 == 0 else 0]) for n in range(300)]
+ODD = [(900, None, "a"), (901, "", "empty"), (902, " \t\x0b ", None), (None, "x y", "a"), (None, "x z", None), (7, ROWS[7][1], ROWS[7][2]), (903, texts(5_000), "c"), (904, texts(2), "tiny"), (900, "one", "a")]
+
+
+def test_queue_against_serving_one_by_one(spark):
+    assert found(spark, ROWS + ODD) == brute(ROWS + ODD)
+    assert found(spark, ROWS + ODD, weights=(1, 9), most=2) == brute(ROWS + ODD, weights=(1, 9), most=2)
+    assert found(spark, ROWS + ODD, budget=777) == brute(ROWS + ODD, budget=777)
+
+
+def test_targets_are_met(spark):
+    out = found(spark, ROWS)
+    by_source = defaultdict(list)
+    for _, size, total, target, taken in out:
+        by_source[total, target].append((size, taken))
+    longest = max(size for _, size, *_ in out)
+    assert sum(r[4] for r in out) > sum(r[1] for r in out) - len(by_source) * longest
+    for (_, target), docs in by_source.items():
+        assert abs(sum(t for _, t in docs) - target) <= longest * len(by_source)
+        assert all(taken <= 3 * size for size, taken in docs)
+
+
+def test_reruns_agree_however_rows_are_dealt(spark):
+    docs = spark.createDataFrame([(*r, "x", 1, 2) for r in ROWS + ODD], SCHEMA)
+    first = sorted(map(str, M.mix(docs.repartition(7)).collect()))
+    assert first == sorted(map(str, M.mix(docs.orderBy("text").coalesce(2)).collect()))
+
+
+def test_resharing_in_closed_form(spark):
+    for sizes in ({"a": 10, "b": 1_000, "c": 4}, {"a": 1, "b": 1, "c": 1}, {"a": 0, "b": 5}, {str(n): n * n % 97 for n in range(40)}, {"a": 8, None: 800}):
+        frame = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+        got = {r["source"]: r["target"] for r in M.targets(frame, sum(sizes.values())).collect()}
+        assert got == {n: pytest.approx(float(x)) for n, x in shares(sizes).items()}
+
+
+def test_empty_tables_and_options(spark):
+    assert found(spark, []) == []
+    assert found(spark, [(1, None, None), (2, " ", "a")]) == [(1, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0)]
+    for wrong in ({"weights": ()}, {"weights": (0, 1)}, {"most": 0}, {"budget": 0}):
+        with pytest.raises(ValueError):
+            found(spark, ROWS, **wrong)
+
+
+def test_plan_has_no_python_and_no_product(spark):
+    docs = spark.createDataFrame([(*r, "x", 1, 2) for r in ROWS], SCHEMA)
+    plan = M.mix(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_and_twin(spark, sf):
+    folder = f"/root/testdata/{sf}"
+    found = queries.op13_source_mix(spark, folder)
+    with duckdb.connect() as duck:
+        duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+        result = duck.execute(queries.SQL["op13_source_mix"])
+        assert [c[0] for c in result.description] == found.columns
+        expected = sorted(result.fetchall())
+    assert sorted(map(tuple, found.collect())) == expected and any(row[4] for row in expected)
