@@ -32,6 +32,11 @@ def to_micros(duration: str | int | timedelta) -> int:
     return sum(int(number) * _UNIT_MICROS[unit] for number, unit in parts)
 
 
+def floor_div(number: Column, by: int) -> Column:
+    """``number`` divided and rounded down, in whole numbers, so that no large one is off by rounding."""
+    return F.call_function("div", number - F.pmod(number, F.lit(by)), F.lit(by))
+
+
 def is_ntz(df: DataFrame, column: str) -> bool:
     """Whether ``column`` is a wall-clock timestamp; anything but a timestamp is an error."""
     kind = df.schema[column].dataType
@@ -70,6 +75,11 @@ def epoch_micros(ts: Column, ntz: bool) -> Column:
     return _wall_clock_epoch(ts, 1_000_000) if ntz else F.unix_micros(ts)
 
 
+def from_micros(micros: Column, ntz: bool) -> Column:
+    """The reverse of ``epoch_micros``."""
+    return shift(F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), micros, True) if ntz else F.timestamp_micros(micros)
+
+
 def epoch_millis(ts: Column, ntz: bool) -> Column:
     """Milliseconds since 1970, rounded down: the number that names an archive folder."""
     return _wall_clock_epoch(ts, 1_000) if ntz else F.unix_millis(ts)

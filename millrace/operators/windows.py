@@ -9,7 +9,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.durations import epoch_micros, is_ntz, shift, to_micros
+from millrace.functions.durations import epoch_micros, floor_div, from_micros, is_ntz, shift, to_micros
 
 # The window and slide of the counts job, the kinds it counts and
 # the labels it prints in front of each count.
@@ -21,6 +21,9 @@ COUNT_LABELS = {
     "track_event": "Eventos track_device: ",
 }
 
+# Why a message is in no window.
+NO_TIME = "NO_TIME"
+
 # Windows per block when gaps are filled.
 _BLOCK = 10_000
 
@@ -68,29 +71,32 @@ class Windows:
         return F.window(ts, f"{self.slide} microseconds", f"{self.slide} microseconds", f"{self.offset} microseconds")
 
 
-def _all_windows(layout: Windows, at: Column, ntz: bool) -> Column:
-    """Every window a time falls in, as an array of (start, end); null for a null time."""
-    micros = epoch_micros(at, ntz) - layout.offset
-    floor = lambda x: F.call_function("div", x - F.pmod(x, F.lit(layout.slide)), F.lit(layout.slide))
-    numbers = F.sequence(floor(micros - layout.window) + 1, floor(micros))
-
-    def window(k: Column) -> Column:
-        start = k * layout.slide - micros
-        return F.struct(shift(at, start, ntz).alias("start"), shift(at, start + layout.window, ntz).alias("end"))
+def _in_windows(df: DataFrame, layout: Windows, ts: str, ntz: bool) -> DataFrame:
+    """Each row once per window its time falls in, with the column ``window``; a null time falls in none.
 
-    return F.transform(numbers, window)
+    The numbers of the windows are exploded and only then turned into times: a projection of plain
+    arithmetic, which is generated code and has one size for any number of windows.
+    """
+    timed = df.withColumn("_micros", epoch_micros(F.col(ts), ntz) - layout.offset)
+    first = floor_div(F.col("_micros") - layout.window, layout.slide) + 1
+    numbers = F.sequence(first, floor_div(F.col("_micros"), layout.slide))
+    numbered = timed.withColumn("_number", F.explode(numbers))
+    start = F.col("_number") * layout.slide + layout.offset
+    window = F.struct(from_micros(start, ntz).alias("start"), from_micros(start + layout.window, ntz).alias("end"))
+    return numbered.withColumn("window", window).drop("_micros", "_number")
 
 
 def with_window(df: DataFrame, layout: Windows, ts: str = "timestamp") -> DataFrame:
     """Each row once per window it falls in, with the column ``window``.
 
     A projection: no shuffle, no state, and it runs on a stream as it is. Rows in
-    the gaps of a sampled layout belong to no window and go. Overlapping windows
-    of a table are numbered and exploded, so the plan has one size for any number
-    of them; a stream keeps Spark's own window, which carries the watermark.
+    the gaps of a sampled layout belong to no window and go, and so do rows without
+    a time, which ``untimed`` keeps. Overlapping windows of a table are numbered and
+    exploded, so the plan has one size for any number of them; a stream keeps
+    Spark's own window, which carries the watermark.
     """
     if layout.sliding and not df.isStreaming:
-        return df.withColumn("window", F.explode(_all_windows(layout, F.col(ts), is_ntz(df, ts))))
+        return _in_windows(df, layout, ts, is_ntz(df, ts))
     rows = df.withColumn("window", layout.column(ts))
     if not layout.sampled:
         return rows
@@ -98,6 +104,15 @@ def with_window(df: DataFrame, layout: Windows, ts: str = "timestamp") -> DataFr
     return rows.where(F.col(ts) >= opens)
 
 
+def untimed(df: DataFrame, ts: str = "timestamp") -> DataFrame:
+    """The rows that belong to no window because they have no time, each with its ``reason``.
+
+    What ``with_window`` and everything made of it leaves out for want of a time, so that
+    no message goes unseen. A filter on one column: no shuffle, on a table and on a stream.
+    """
+    return df.where(F.col(ts).isNull()).withColumn("reason", F.lit(NO_TIME))
+
+
 def bounds(layout: Windows, ntz: bool) -> list[Column]:
     """``window_start`` and ``window_end`` from the column ``window``."""
     end = F.col("window.end")
@@ -165,7 +180,7 @@ def _shared_panes(
     panes = rows.groupBy(*pane).agg(
         F.min(ts).alias("_at"), *[total.alias(name) for name, total in counts.items()]
     )
-    windows = panes.withColumn("window", F.explode(_all_windows(layout, F.col("_at"), ntz)))
+    windows = _in_windows(panes, layout, "_at", ntz)
     return windows.groupBy(*by, "window").agg(*[F.sum(name).alias(name) for name in counts])
 
 

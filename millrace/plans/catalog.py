@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.text import pair
-from millrace.operators import archive, documents, events, offsets, tokens, windows
+from millrace.operators import archive, documents, events, offsets, pairs, running, tokens, windows
 from millrace.plans.oracle import SQL
 from millrace.session import work_dir
 from millrace.sources import messages as source
 from millrace.sources.offsets import read_ledger
-from millrace.streaming import sinks
-from millrace.streaming.run import run_to_end
+from millrace.streaming import sinks, state
+from millrace.streaming.run import ROCKSDB, run_to_end
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -105,6 +106,22 @@ def resume_from(spark, sf_dir):
     return offsets.resume_from(messages, points).select("topic", "partition", "offset", "value")
 
 
+@query
+def offset_islands(spark, sf_dir):
+    """Blocks small enough that stretches end inside them and go on beyond them."""
+    return offsets.offset_islands(sample(spark, sf_dir), block_offsets=16)
+
+
+@query
+def offset_gaps(spark, sf_dir):
+    return offsets.offset_gaps(sample(spark, sf_dir), block_offsets=16)
+
+
+@query
+def safe_offsets(spark, sf_dir):
+    return offsets.safe_offsets(offsets.offset_islands(sample(spark, sf_dir)))
+
+
 # Events
 
 
@@ -212,6 +229,30 @@ def count_labels(spark, sf_dir):
     return windows.label_counts(counted)
 
 
+@query
+def window_runs(spark, sf_dir):
+    """Messages and characters of the last day per topic, for a window that moves by a second."""
+    rows = sample(spark, sf_dir).withColumn("chars", F.length("value").cast("bigint"))
+    return running.window_runs(rows, "1 day", "1 second", {"chars": "chars"}, by=["topic"], block_windows=100_000)
+
+
+@query
+def window_sums(spark, sf_dir):
+    """The same for ten minutes every four, each window by itself."""
+    rows = sample(spark, sf_dir).withColumn("chars", F.length("value").cast("bigint"))
+    runs = running.window_runs(rows, "10 minutes", "4 minutes", {"chars": "chars"}, by=["topic"])
+    return running.each_window(runs, "10 minutes", "4 minutes")
+
+
+@query
+def cogroup_topics(spark, sf_dir):
+    """Requests and responses of each user side by side, in segments of 64 offsets."""
+    rows = events.to_events(sample(spark, sf_dir))
+    sides = [rows.where(F.col("topic") == topic) for topic in (ASKED, ANSWERED)]
+    grouped = pairs.cogroup(*sides, "userId", "eid", segment_rows=64)
+    return grouped.withColumns({c: F.array_join(c, ",", "null") for c in ("left_values", "right_values")})
+
+
 # Tokens
 
 
@@ -370,23 +411,196 @@ def ledger_stream(spark, sf_dir):
     return offsets.latest_offsets(read_ledger(spark, f"{work}/offsets"))
 
 
+# Streams in several deliveries
+
+# Days at which a delivery ends, and how late a message may be: a delivery's files come in any order.
+DELIVERIES = ("2000-01-01", "2024-01-11", "2024-01-21", "2100-01-01")
+LATE = timedelta(days=11)
+
+
+def deliver(spark, sf_dir, work, run, *, messages=None, close: Callable[[datetime], datetime] | None = None) -> None:
+    """The sample's messages in three deliveries, each read to its end before the next comes.
+
+    ``run`` is given the stream. With ``close`` closing messages follow, ``LATE`` after the time that
+    ``close`` makes of the latest message's; they move the watermark to that time and are in no result.
+    """
+    folder = f"{work}/messages"
+    rows = source.with_event_time(sample(spark, sf_dir) if messages is None else messages)
+    latest = rows.agg(F.max(F.unix_micros("timestamp"))).first()[0] if close else None
+    end = None
+    if latest is not None:
+        at = close(datetime(1970, 1, 1) + timedelta(microseconds=latest)) + LATE
+        end = F.timestamp_micros(F.lit((at - datetime(1970, 1, 1)) // timedelta(microseconds=1)))
+
+    def read() -> None:
+        arrived = source.stored_messages(spark, folder, streaming=True, max_files_per_trigger=FILES_PER_BATCH)
+        if close:
+            arrived = arrived.withWatermark("timestamp", f"{LATE.days} days")
+            arrived = arrived if end is None else source.before(arrived, end)
+        run(arrived)
+
+    days = F.col("timestamp").cast("date")
+    for first, last in zip(DELIVERIES, DELIVERIES[1:]):
+        rows.where((days >= F.lit(first).cast("date")) & (days < F.lit(last).cast("date"))).write.mode("append").parquet(folder)
+        read()
+    if end is not None:
+        source.closing_messages(spark, end).write.mode("append").parquet(folder)
+        read()
+
+
+def wall_clock(df: DataFrame) -> DataFrame:
+    """Zoned times, which a stream needs, as the wall clock times of the tables."""
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c, t in df.dtypes if t == "timestamp"})
+
+
+def appended(spark, path: str) -> DataFrame:
+    return wall_clock(spark.read.parquet(path).drop("batch_id"))
+
+
+def window_end(at: datetime, window: timedelta, slide: timedelta) -> datetime:
+    """The end of the last window that holds ``at``."""
+    start = datetime(1970, 1, 1) + (at - datetime(1970, 1, 1)) // slide * slide
+    return start + window
+
+
 @query
 def restart_no_duplicates(spark, sf_dir):
     """Archive the month in three deliveries, stopping and starting again in between."""
     work = work_dir(spark, "restart")
-    messages = sample(spark, sf_dir)
     sink = sinks.archive_sink(f"{work}/archive", "1 day")
-    for first, last in (("2000-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2100-01-01")):
-        days = F.col("timestamp").cast("date")
-        part = messages.where((days >= F.lit(first).cast("date")) & (days < F.lit(last).cast("date")))
-        part.write.mode("append").parquet(f"{work}/messages")
-        arrived = source.stored_messages(
-            spark, f"{work}/messages", streaming=True, ntz=True, max_files_per_trigger=FILES_PER_BATCH
-        )
-        run_to_end(arrived, sink, f"{work}/checkpoint")
+    deliver(spark, sf_dir, work, lambda arrived: run_to_end(arrived, sink, f"{work}/checkpoint"))
     return sinks.read_archive(spark, f"{work}/archive").drop("batch_id")
 
 
+@query
+def count_dense_stream(spark, sf_dir):
+    """``count_dense_sliding`` as a stream: each window once, empty ones too, when it closes."""
+    work = work_dir(spark, "dense")
+    window, slide = timedelta(minutes=10), timedelta(minutes=4)
+
+    def run(arrived):
+        rows = events.to_events(arrived)
+        dense = state.dense_window_counts(rows, window, slide, ts="arrived", kinds=windows.COUNT_KINDS)
+        sink = lambda batch, batch_id: sinks.replace_batch(batch, batch_id, f"{work}/counts")
+        run_to_end(dense, sink, f"{work}/checkpoint", state_store=ROCKSDB)
+
+    deliver(spark, sf_dir, work, run, close=lambda at: window_end(at, window, slide))
+    return appended(spark, f"{work}/counts")
+
+
+@query
+def running_sessions_stream(spark, sf_dir):
+    """Each session's number of events and its first and last kind, kept up to date over the deliveries."""
+    work = work_dir(spark, "running")
+
+    def run(arrived):
+        updates = state.running_values(events.to_events(arrived), "sessionId", "eid", ts="arrived")
+        run_to_end(updates, sinks.updates_sink(f"{work}/parts"), f"{work}/checkpoint", mode="update", state_store=ROCKSDB)
+
+    deliver(spark, sf_dir, work, run)
+    whole = state.whole_keys(sinks.read_updates(spark, f"{work}/parts", ["key", "part"]))
+    return wall_clock(whole.withColumnRenamed("key", "sessionId"))
+
+
+ASKED, ANSWERED, ANSWER_TIME = "RecommendationReq", "RecommendationRes", "12 hours"
+
+
+def _answers(rows: DataFrame, how: str) -> DataFrame:
+    sides = [rows.where(F.col("topic") == topic) for topic in (ASKED, ANSWERED)]
+    return pairs.answers(*sides, "userId", ANSWER_TIME, how=how, ts="arrived")
+
+
+@query
+def answers_inner(spark, sf_dir):
+    """Recommendation requests with the responses of the same user within half a day."""
+    return _answers(events.to_events(sample(spark, sf_dir)), "inner")
+
+
+@query
+def answers_outer(spark, sf_dir):
+    """The same with the requests that nothing answers."""
+    return _answers(events.to_events(sample(spark, sf_dir)), "left")
+
+
+def _answers_stream(spark, sf_dir, how):
+    work = work_dir(spark, f"answers-{how}")
+
+    def run(arrived):
+        sink = lambda batch, batch_id: sinks.replace_batch(batch, batch_id, f"{work}/pairs")
+        run_to_end(_answers(events.to_events(arrived), how), sink, f"{work}/checkpoint")
+
+    deliver(spark, sf_dir, work, run, close=lambda at: at + timedelta(days=2))
+    return appended(spark, f"{work}/pairs")
+
+
+@query
+def answers_inner_stream(spark, sf_dir):
+    """Two streams joined, each remembering half a day of the other."""
+    return _answers_stream(spark, sf_dir, "inner")
+
+
+@query
+def answers_outer_stream(spark, sf_dir):
+    """The same, with unanswered requests once their time is over."""
+    return _answers_stream(spark, sf_dir, "left")
+
+
+@query
+def concat_append_stream(spark, sf_dir):
+    """Concatenation in append mode: each window's texts once it is closed, then its state goes."""
+    work = work_dir(spark, "append")
+
+    def run(arrived):
+        sink = lambda batch, batch_id: sinks.replace_batch(batch, batch_id, f"{work}/texts")
+        run_to_end(archive.window_concat(arrived, "1 day", segment_messages=32), sink, f"{work}/checkpoint")
+
+    deliver(spark, sf_dir, work, run, close=lambda at: at + timedelta(days=1))
+    return appended(spark, f"{work}/texts")
+
+
+@query
+def redelivered_stream(spark, sf_dir):
+    """A third of the messages comes twice, once more in a later delivery; each stays once."""
+    work = work_dir(spark, "again")
+    messages = source.with_event_time(sample(spark, sf_dir))
+    again = messages.where(F.col("offset") % 3 == 0)
+    rows = messages.unionByName(again)
+
+    def run(arrived):
+        kept = source.once(arrived, f"{LATE.days} days").select("topic", "partition", "offset", "value")
+        sink = lambda batch, batch_id: sinks.replace_batch(batch, batch_id, f"{work}/kept")
+        run_to_end(kept, sink, f"{work}/checkpoint")
+
+    deliver(spark, sf_dir, work, run, messages=rows)
+    # The last delivery comes whole once more.
+    days = F.col("timestamp").cast("date")
+    messages.where(days >= F.lit(DELIVERIES[-2]).cast("date")).write.mode("append").parquet(f"{work}/messages")
+    run(source.stored_messages(spark, f"{work}/messages", streaming=True, max_files_per_trigger=FILES_PER_BATCH))
+    return appended(spark, f"{work}/kept")
+
+
+@query
+def archive_untimed_stream(spark, sf_dir):
+    """Messages without a time are in no window, and are kept beside the archive."""
+    work = work_dir(spark, "untimed")
+    at = F.when(F.col("offset") % 7 != 0, F.col("timestamp"))
+    messages = source.with_event_time(sample_stream(spark, sf_dir).withColumn("timestamp", at))
+    sink = sinks.archive_sink(f"{work}/archive", "1 day", rejects=f"{work}/rejects")
+    run_to_end(messages, sink, f"{work}/checkpoint")
+    columns = ["topic", "partition", "offset", "value", "reason"]
+    kept = sinks.read_archive(spark, f"{work}/archive").withColumn("reason", F.lit(None).cast("string"))
+    return kept.select(*columns).unionByName(sinks.read_rejects(spark, f"{work}/rejects").select(*columns))
+
+
+@query
+def ledger_islands_stream(spark, sf_dir):
+    """What the deliveries of a run cover together, without hiding what never came."""
+    work = work_dir(spark, "islands")
+    sink = sinks.ledger_sink(f"{work}/offsets", islands=True)
+    deliver(spark, sf_dir, work, lambda arrived: run_to_end(arrived, sink, f"{work}/checkpoint"))
+    return offsets.merge_ranges(read_ledger(spark, f"{work}/offsets"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages to events to sliding counts: the product's main path in one query."""
     rows = events.to_events(sample(spark, sf_dir))

@@ -44,10 +44,15 @@ def archive_job(
     rows_per_file: int | None = None,
     trigger: str | None = None,
 ) -> Queries:
-    """All topics to the archive, the events of some to Parquet, from one read."""
+    """All topics to the archive, the events of some to Parquet, from one read.
+
+    Messages without a time go to ``untimed``, those that are no events to ``rejects``.
+    """
     store_events = sinks.events_sink(f"{root}/events", f"{root}/rejects", rows_per_file=rows_per_file)
     sink = sinks.fan_out(
-        sinks.archive_sink(f"{root}/archive", window, slide, fmt=fmt, rows_per_file=rows_per_file),
+        sinks.archive_sink(
+            f"{root}/archive", window, slide, fmt=fmt, rows_per_file=rows_per_file, rejects=f"{root}/untimed"
+        ),
         lambda batch, batch_id: store_events(subscribe(batch, event_topics), batch_id),
         sinks.ledger_sink(f"{root}/offsets"),
     )
@@ -98,7 +103,9 @@ def resume_job(
     new checkpoint and a new root.
     """
     sink = sinks.fan_out(
-        sinks.archive_sink(f"{root}/archive", window, slide, fmt=fmt, rows_per_file=rows_per_file),
+        sinks.archive_sink(
+            f"{root}/archive", window, slide, fmt=fmt, rows_per_file=rows_per_file, rejects=f"{root}/untimed"
+        ),
         sinks.ledger_sink(f"{root}/offsets"),
     )
     trigger = trigger or every_slide(window, slide)

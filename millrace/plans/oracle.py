@@ -90,6 +90,25 @@ _RANGES = """r AS (SELECT topic, "partition", min("offset") AS from_offset, max(
 _EVENT_SOURCE = """concat('{"eid":', to_json(eid), ',"email":null,"name":null,"sessionId":', to_json("sessionId"),
   ',"timestamp":null,"type":null,"userId":', coalesce(CAST(to_json("userId") AS VARCHAR), 'null'), '}')"""
 
+_ISLANDS = """i AS (SELECT topic, "partition", min("offset") AS from_offset, max("offset") + 1 AS until_offset,
+  count(*) AS n FROM (SELECT *, "offset" - row_number() OVER (PARTITION BY topic, "partition" ORDER BY "offset") AS g FROM m)
+  GROUP BY topic, "partition", g)"""
+
+# Each message with the first and last window it is in (x), and the windows at which something changes (r).
+_CHANGES = """x AS (SELECT topic, length(value) AS chars, (epoch_us("timestamp") - {window}) // {slide} + 1 AS k0,
+    epoch_us("timestamp") // {slide} AS k1 FROM m),
+  r AS (SELECT topic, k, lead(k) OVER (PARTITION BY topic ORDER BY k) AS until_k FROM
+    (SELECT topic, k0 AS k FROM x UNION SELECT topic, k1 + 1 FROM x))"""
+
+
+def _answers(join: str) -> str:
+    side = "SELECT \"userId\", arrived, \"partition\", \"offset\" FROM e WHERE topic = '{}'"
+    return f"""{_E}, a AS ({side.format("RecommendationReq")}), b AS ({side.format("RecommendationRes")})
+SELECT a."userId", a.arrived AS request_at, a."partition" AS request_partition, a."offset" AS request_offset,
+  b.arrived AS response_at, b."partition" AS response_partition, b."offset" AS response_offset
+FROM a {join} b ON a."userId" = b."userId" AND b.arrived BETWEEN a.arrived AND a.arrived + INTERVAL 12 HOUR"""
+
+
 SQL: dict[str, str] = {
     "message_values": f'{_M} SELECT topic, "partition", "offset", value FROM m',
     "messages_by_topic": f"{_M} SELECT topic, count(*) AS n FROM m GROUP BY topic",
@@ -178,4 +197,39 @@ SELECT topic, {_span(_DAY)}, "partition", "offset" // 32 AS segment, count(*) AS
     "dump_stream": f"{_M} SELECT concat('(null,', value, ')') AS line FROM m",
     "ledger_stream": f'{_M}, {_RANGES} SELECT topic, "partition", until_offset AS "offset" FROM r',
     "restart_no_duplicates": _archive(_DAY, _DAY),
+    "offset_islands": f"{_M}, {_ISLANDS} SELECT * FROM i",
+    "offset_gaps": f"""{_M}, g AS (SELECT topic, "partition", "offset" + 1 AS from_offset,
+    lead("offset") OVER (PARTITION BY topic, "partition" ORDER BY "offset") AS until_offset FROM m)
+SELECT *, until_offset - from_offset AS n FROM g WHERE until_offset > from_offset""",
+    "safe_offsets": f"""{_M}, {_ISLANDS}
+SELECT topic, "partition", arg_min(until_offset, from_offset) AS "offset" FROM i GROUP BY ALL""",
+    "ledger_islands_stream": f"{_M}, {_ISLANDS} SELECT * FROM i",
+    "window_runs": f"""{_M}, {_CHANGES.format(window=_DAY, slide=_SECOND)}
+SELECT r.topic, make_timestamp(r.k * {_SECOND}) AS first_start, make_timestamp((until_k - 1) * {_SECOND}) AS last_start,
+  until_k - r.k AS windows, count(*) AS count, sum(chars)::BIGINT AS chars
+FROM r JOIN x ON r.topic = x.topic AND r.k BETWEEN x.k0 AND x.k1 GROUP BY r.topic, r.k, until_k""",
+    "window_sums": f"""WITH {_messages()}, {_starts("m", '"timestamp"', 10 * _MINUTE, 4 * _MINUTE)}
+SELECT topic, {_span(10 * _MINUTE)}, count(*) AS count, sum(length(value))::BIGINT AS chars FROM k GROUP BY topic, st""",
+    "cogroup_topics": f"""{_E}, s AS (SELECT "userId", "offset" // 64 AS segment, topic, eid, "partition", "offset"
+    FROM e WHERE topic IN ('RecommendationReq', 'RecommendationRes')),
+  a AS (SELECT "userId", segment, count(*) AS n, string_agg(eid, ',' ORDER BY "partition", "offset") AS v FROM s
+    WHERE topic = 'RecommendationReq' GROUP BY ALL),
+  b AS (SELECT "userId", segment, count(*) AS n, string_agg(eid, ',' ORDER BY "partition", "offset") AS v FROM s
+    WHERE topic = 'RecommendationRes' GROUP BY ALL)
+SELECT CASE WHEN a.n IS NULL THEN b."userId" ELSE a."userId" END AS "userId", coalesce(a.segment, b.segment) AS segment,
+  coalesce(a.n, 0) AS n_left, coalesce(b.n, 0) AS n_right, coalesce(a.v, '') AS left_values, coalesce(b.v, '') AS right_values
+FROM a FULL JOIN b ON a."userId" IS NOT DISTINCT FROM b."userId" AND a.segment = b.segment""",
+    "running_sessions_stream": f"""{_E}, o AS (SELECT *, row(arrived, concat(topic, ':', "partition", ':',
+    lpad(CAST("offset" AS VARCHAR), 20, '0'))) AS place FROM e)
+SELECT "sessionId", count(*) AS n, min(arrived) AS first_at, arg_min(eid, place) AS first, max(arrived) AS last_at,
+  arg_max(eid, place) AS last FROM o GROUP BY ALL""",
+    "answers_inner": _answers("JOIN"),
+    "answers_outer": _answers("LEFT JOIN"),
+    "answers_inner_stream": _answers("JOIN"),
+    "answers_outer_stream": _answers("LEFT JOIN"),
+    "redelivered_stream": f'{_M} SELECT topic, "partition", "offset", value FROM m',
+    "archive_untimed_stream": f"""{_M} SELECT topic, "partition", "offset", value,
+  CASE WHEN "offset" % 7 = 0 THEN 'NO_TIME' END AS reason FROM m""",
 }
+SQL["count_dense_stream"] = SQL["count_dense_sliding"]
+SQL["concat_append_stream"] = SQL["concat_stream"]

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -118,6 +118,44 @@ def with_event_time(messages: DataFrame, column: str = "timestamp") -> DataFrame
     return messages.withColumn(column, F.col(column).cast("timestamp"))
 
 
+def once(messages: DataFrame, delay: str, *, ts: str = "timestamp", place: Iterable[str] = ("topic", "partition", "offset")) -> DataFrame:
+    """Each message once, however often it was delivered.
+
+    A message is its place. On a stream a place is remembered until the watermark, ``delay`` behind the
+    latest ``ts``, has passed its message, so a copy that comes within that time goes and state stays
+    bounded; one that comes later counts as late. A table needs no delay. Messages without a time or an
+    offset cannot be told apart and all stay on a table; on a stream those without a time go, as nothing
+    can say when to forget them.
+    """
+    place = list(place)
+    if messages.isStreaming:
+        return messages.withWatermark(ts, delay).dropDuplicatesWithinWatermark(place)
+    told = F.col("offset").isNotNull()
+    return messages.where(told).dropDuplicates(place).unionByName(messages.where(~told))
+
+
+# What a closing message says: a whole event, so that it goes wherever events go.
+CLOSING = '{"eid":"closing","userId":"closing"}'
+
+
+def closing_messages(spark: SparkSession, at: Column, topics: str | Iterable[str] = TOPICS) -> DataFrame:
+    """A message on each topic whose time moves the watermark of a stream that ends.
+
+    Windows close and outer rows come when later messages arrive; after the last one nothing does.
+    Spark moves filters on topics and keys below a watermark, so each topic has its own message
+    and it is a whole event. ``before`` keeps them out of results.
+    """
+    topic = F.explode(F.array(*[F.lit(name) for name in topic_list(topics)]))
+    values = {"key": F.lit(None).cast("string"), "value": F.lit(CLOSING), "topic": topic}
+    place = {"partition": F.lit(0), "offset": F.lit(None).cast("bigint"), "timestamp": at}
+    return spark.range(1).select(*[c.alias(name) for name, c in {**values, **place}.items()])
+
+
+def before(messages: DataFrame, at: Column, ts: str = "timestamp") -> DataFrame:
+    """The messages earlier than ``at``. After ``withWatermark`` later ones still move the watermark."""
+    return messages.where(F.col(ts) < at)
+
+
 def messages_from_events(events: DataFrame, dirty: bool = False) -> DataFrame:
     """The sample event table as messages on the nine topics.
 

@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.offsets import offset_ranges
+from millrace.operators.offsets import offset_islands, offset_ranges
 
 # Fixed value: the offset by which a Kafka read names the beginning of a partition.
 EARLIEST = -2
@@ -19,11 +19,16 @@ LEDGER_SCHEMA = "topic string, partition int, from_offset bigint, until_offset b
 MOST_PARTITIONS = 100_000
 
 
-def write_ledger(batch: DataFrame, batch_id: int, path: str) -> None:
-    """Record a batch. Call it after the batch's data is written; a repeat replaces it."""
+def write_ledger(batch: DataFrame, batch_id: int, path: str, islands: bool = False) -> None:
+    """Record a batch. Call it after the batch's data is written; a repeat replaces it.
+
+    With ``islands`` a row is a stretch of offsets without a gap, of which a topic partition may have
+    several; ``merge_ranges`` of the ledger is then what all batches cover, and nothing that is missing
+    is hidden. Without, a row goes from the first offset to the last.
+    """
     # One file a batch; the exchange keeps the aggregate itself spread over tasks.
     (
-        offset_ranges(batch)
+        (offset_islands(batch) if islands else offset_ranges(batch))
         .repartition(1)
         .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")

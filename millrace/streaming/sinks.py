@@ -23,6 +23,7 @@ from millrace.functions.text import pair
 from millrace.operators.archive import ARCHIVE_COLUMNS, SEPARATOR, window_archive
 from millrace.operators.documents import bulk_lines, event_documents, event_place
 from millrace.operators.events import EVENT_COLUMNS, classify, events_of, rejects_of
+from millrace.operators.windows import untimed
 from millrace.sources.offsets import write_ledger
 
 Sink = Callable[[DataFrame, int], None]
@@ -110,9 +111,12 @@ def archive_sink(
     fmt: str = "parquet",
     separator: str = SEPARATOR,
     rows_per_file: int | None = None,
+    rejects: str | None = None,
 ) -> Sink:
     """Messages by topic, date, window end and batch.
 
+    Messages without a time are in no window; given ``rejects`` they are kept there, whole.
+
     ``parquet`` keeps the window end as a sorted column: a folder for each window
     would be millions of small ones. ``text`` is the historic layout, a folder for
     each window with the messages of a file joined by ``separator``.
@@ -130,6 +134,9 @@ def archive_sink(
         else:
             rows = _gathered(rows, ["topic", "dt"], rows_per_file).sortWithinPartitions(*order)
             replace_batch(rows, batch_id, root, ["topic", "dt"], **_bounded(rows_per_file))
+        if rejects:
+            left = untimed(batch)
+            replace_batch(left.withColumn("timestamp", F.col("timestamp").cast("timestamp")), batch_id, rejects)
 
     return skip_empty(run)
 
@@ -231,15 +238,35 @@ def dump_sink(path: str) -> Sink:
     return skip_empty(run)
 
 
-def ledger_sink(path: str) -> Sink:
-    """The offsets the batch covered. Put it last, after the data."""
+def ledger_sink(path: str, islands: bool = False) -> Sink:
+    """The offsets the batch covered, as ranges or as stretches without gaps. Put it last, after the data."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        write_ledger(batch, batch_id, path)
+        write_ledger(batch, batch_id, path, islands)
 
     return skip_empty(run)
 
 
+def updates_sink(path: str) -> Sink:
+    """The rows an update-mode query changed, a folder per batch; ``read_updates`` has the newest of each key.
+
+    A batch writes what it touched, not the whole result as a snapshot does.
+    """
+
+    def run(changed: DataFrame, batch_id: int) -> None:
+        replace_batch(changed, batch_id, path)
+
+    return run
+
+
+def read_updates(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """The newest row of each key, combined before the shuffle."""
+    rows = spark.read.parquet(path)
+    values = [c for c in rows.columns if c not in (*keys, "batch_id")]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_newest"))
+    return newest.select(*keys, *[F.col(f"_newest.`{c}`").alias(c) for c in values])
+
+
 def snapshot_sink(path: str) -> Sink:
     """The whole result of a complete-mode query, after each batch.
 
