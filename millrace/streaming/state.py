@@ -135,6 +135,10 @@ class _Running(StatefulProcessor):
             self.handle.registerTimer(max(state[4] // 1_000 + self.idle_ms, timerValues.getCurrentWatermarkInMs() + 1))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        # Rows come before timers: a state that is due to go is gone for a row of the same batch, too.
+        if self.idle_ms is not None and self.state.exists():
+            if timerValues.getCurrentWatermarkInMs() >= self.state.get()[4] // 1_000 + self.idle_ms:
+                self.state.clear()
         for part in rows:
             part = part.sort_values(["at", "place"])
             first, last = ((r["at"], r["place"], r["value"]) for r in (part.iloc[0], part.iloc[-1]))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -12,8 +13,12 @@ from millrace.operators.offsets import (
     decode_offsets,
     encode_offsets,
     latest_offsets,
+    merge_ranges,
+    offset_gaps,
+    offset_islands,
     offset_ranges,
     resume_from,
+    safe_offsets,
 )
 from millrace.sources.offsets import read_ledger, starting_offsets, write_ledger
 
@@ -108,3 +113,61 @@ def test_ledger(spark, make_messages, tmp_path):
     assert {tuple(r) for r in latest_offsets(ledger).collect()} == {("A", 0, 8), ("A", 1, 1)}
     both = first.union(second)
     assert resume_from(both, latest_offsets(ledger)).count() == 0
+
+
+def looped_islands(offsets):
+    """Stretches without a gap as (first, one past the last, messages)."""
+    out = []
+    for offset in sorted(offsets):
+        if out and offset <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], offset + 1), out[-1][2] + 1)
+        else:
+            out.append((offset, offset + 1, 1))
+    return out
+
+
+@pytest.mark.parametrize("block", [1, 2, 7, 64, 10**6])
+def test_islands_and_gaps_against_a_loop(spark, make_messages, block):
+    rng = random.Random(block)
+    places = {("A", 0): [rng.randrange(300) for _ in range(250)], ("A", 1): list(range(500)), ("B", 0): [0, 2, 2, 2, 9, 700], (None, None): [5, 6]}
+    rows = [(t, p, o, 0, "x") for (t, p), offsets in places.items() for o in offsets]
+    rng.shuffle(rows)
+    messages = make_messages([*rows, ("A", 0, None, 0, "x")])
+    islands = offset_islands(messages, block)
+    got, missing = {}, {}
+    for r in islands.collect():
+        got.setdefault((r["topic"], r["partition"]), []).append((r["from_offset"], r["until_offset"], r["n"]))
+    expected = {place: looped_islands(offsets) for place, offsets in places.items()}
+    assert {k: sorted(v) for k, v in got.items()} == expected
+    for r in offset_gaps(messages, block).collect():
+        assert r["n"] == r["until_offset"] - r["from_offset"]
+        missing.setdefault((r["topic"], r["partition"]), []).append((r["from_offset"], r["until_offset"]))
+    holes = {k: [(a[1], b[0]) for a, b in zip(v, v[1:])] for k, v in expected.items()}
+    assert {k: sorted(v) for k, v in missing.items()} == {k: v for k, v in holes.items() if v}
+    safe = {(r["topic"], r["partition"]): r["offset"] for r in safe_offsets(islands).collect()}
+    assert safe == {k: v[0][1] for k, v in expected.items()}
+
+
+def test_islands_of_batches_become_those_of_all(spark, make_messages, tmp_path):
+    rng = random.Random(2)
+    rows = [("A", p, o, 0, "x") for p in (0, 1) for o in range(200) if rng.random() < 0.8]
+    rng.shuffle(rows)
+    for batch in range(5):
+        write_ledger(make_messages(rows[batch::5]), batch, f"{tmp_path}/ledger", islands=True)
+    write_ledger(make_messages(rows[0::5]), 0, f"{tmp_path}/ledger", islands=True)  # run again
+    merged = merge_ranges(read_ledger(spark, f"{tmp_path}/ledger"))
+    whole = offset_islands(make_messages(rows))
+    assert sorted(map(tuple, merged.select(whole.columns).collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_a_busy_partition_is_many_groups_in_one_shuffle_of_messages(spark, make_messages):
+    plan = offset_islands(make_messages([("A", 0, 1, 0, "x")]))._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert all("_block" in line for line in exchanges[-1:]) and "SinglePartition" not in plan
+
+
+def test_overlapping_ranges_merge(spark):
+    rows = [("A", 0, 0, 5, 5), ("A", 0, 3, 4, 1), ("A", 0, 5, 8, 3), ("A", 0, 9, 10, 1), ("A", 1, 0, 1, 1)]
+    ranges = spark.createDataFrame(rows, "topic string, partition int, from_offset long, until_offset long, n long")
+    got = sorted(tuple(r) for r in merge_ranges(ranges).collect())
+    assert got == [("A", 0, 0, 8, 9), ("A", 0, 9, 10, 1), ("A", 1, 0, 1, 1)]

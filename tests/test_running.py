@@ -1,0 +1,83 @@
+"""Moving sums against summing each window."""
+
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.operators.running import each_window, window_runs
+from millrace.operators.windows import window_counts
+
+BASE = datetime(2024, 1, 1)
+SCHEMA = "g string, timestamp timestamp_ntz, v long, d decimal(10,2)"
+
+
+def rows(n, seed=1):
+    rng = random.Random(seed)
+    out = []
+    for _ in range(n):
+        at = BASE + timedelta(seconds=rng.randrange(0, 400) if rng.random() < 0.7 else rng.random() * 400)
+        v = None if rng.random() < 0.1 else rng.randrange(-50, 50)
+        out.append((rng.choice(["a", "b", None]), at, v, None if v is None else Decimal(v) / 4))
+    return out
+
+
+def summed(data, window, slide):
+    """(group, window start) to (count, sum, decimal sum), window by window."""
+    out = {}
+    for g, at, v, d in data:
+        us = (at - datetime(1970, 1, 1)) // timedelta(microseconds=1)
+        k = us // (slide * 10**6)
+        while k * slide * 10**6 + window * 10**6 > us:
+            n, s, t = out.get((g, k * slide), (0, 0, Decimal(0)))
+            out[g, k * slide] = (n + 1, s + (v or 0), t + (d or 0))
+            k -= 1
+    return out
+
+
+@pytest.mark.parametrize("block", [1, 7, 86_400])
+@pytest.mark.parametrize("window,slide", [(10, 4), (60, 1), (5, 5), (7, 3)])
+def test_runs_against_each_window(spark, window, slide, block):
+    data = rows(120)
+    df = spark.createDataFrame([*data, ("a", None, 5, None)], SCHEMA)
+    runs = window_runs(df, window, slide, {"v": "v", "d": "d"}, by=["g"], block_windows=block)
+    single = each_window(runs, window, slide).collect()
+    got = {(r["g"], int((r["window_start"] - datetime(1970, 1, 1)).total_seconds())): (r["count"], r["v"], r["d"]) for r in single}
+    assert got == summed(data, window, slide) and len(got) == len(single)
+    assert all(r["window_end"] - r["window_start"] == timedelta(seconds=window) for r in single)
+
+
+def test_counts_equal_the_windows_of_the_counts_job(spark):
+    df = spark.createDataFrame(rows(200, 3), SCHEMA)
+    runs = each_window(window_runs(df, "10 seconds", "4 seconds", {}, by=["g"]), "10 seconds", "4 seconds")
+    counted = window_counts(df, "10 seconds", "4 seconds", by=["g"])
+    columns = ["g", "window_start", "window_end", "count"]
+    assert sorted(map(str, runs.select(columns).collect())) == sorted(map(str, counted.select(columns).collect()))
+
+
+def test_cost_does_not_depend_on_the_number_of_windows(spark):
+    df = spark.createDataFrame(rows(50), SCHEMA)
+    wide, narrow = (window_runs(df, w, "1 second", {"v": "v"}, by=["g"]) for w in ("1 day", "2 seconds"))
+    assert wide.count() <= 2 * 50 and narrow.count() <= 2 * 50
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert "transform(" not in plan and "sequence(" not in plan
+
+
+def test_zoned_times_and_no_groups(spark):
+    df = spark.createDataFrame(rows(80, 9), SCHEMA)
+    zoned = df.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    as_text = lambda d: sorted(map(str, d.withColumns({c: F.col(c).cast("string") for c in d.columns}).collect()))
+    assert as_text(window_runs(df, 30, 1, {"v": "v"})) == as_text(window_runs(zoned, 30, 1, {"v": "v"}))
+
+
+def test_refusals_and_empty_tables(spark):
+    df = spark.createDataFrame(rows(5), SCHEMA)
+    with pytest.raises(TypeError):
+        window_runs(df.withColumn("x", F.lit(1.5)), 10, 4, {"x": "x"})
+    with pytest.raises(ValueError):
+        window_runs(df, 4, 10, {})
+    assert window_runs(df.limit(0), 10, 4, {"v": "v"}, by=["g"]).collect() == []
