@@ -2,7 +2,8 @@
 
 A message is parsed once, into variants, which keep the JSON type of each field
 and tell an absent key (SQL null) from a JSON null (variant VOID). Only a text
-that this parse refuses is looked at again.
+that this parse refuses is looked at again. Text after the object makes a message
+malformed.
 """
 
 from __future__ import annotations
@@ -56,20 +57,43 @@ class SessionPath:
         return self.parent or self.leaf
 
 
+def _sealed(value: Column, fields: str) -> Column:
+    """The message between two seals, read as three objects of an array, in one parse.
+
+    A parser stops at the end of an object, whatever follows. Here a seal follows and one goes
+    before: they are the first and last of three elements only if the text held exactly one value,
+    so text after an object breaks them. The seal is the message's own digest, which no text
+    contains by chance.
+    """
+    seal = F.concat(F.lit('{"eid":"'), _seal(value), F.lit('"}'))
+    sealed = F.concat(F.lit('{"m":['), seal, F.lit(","), value, F.lit(","), seal, F.lit("]}"))
+    return F.from_json(sealed, f"m array<struct<{fields}>>, {BAD} string", PARSE_OPTIONS)
+
+
+def _seal(value: Column) -> Column:
+    return F.hex(F.xxhash64(value))
+
+
+def opened(sealed: Column, value: Column) -> Column:
+    """The message's own fields, null where the text is anything but one JSON object."""
+    read = lambda n: F.try_variant_get(sealed["m"][n]["eid"], "$", "string")
+    whole = sealed[BAD].isNull() & (F.size(sealed["m"]) == 3) & (read(0) == _seal(value)) & (read(2) == _seal(value))
+    return F.when(whole, sealed["m"][1])
+
+
 def parse(value: Column, path: SessionPath) -> Column:
-    """The three fields as variants, plus the text itself where it is no JSON object."""
-    schema = f"eid variant, `{path.root_key}` variant, userId variant, {BAD} string"
-    return F.from_json(value, schema, PARSE_OPTIONS)
+    """The three fields as variants, sealed; ``opened`` gives them out."""
+    return _sealed(value, f"eid: variant, `{path.root_key}`: variant, userId: variant")
 
 
 def parse_again(value: Column, doc: Column, path: SessionPath) -> Column:
-    """Second look at a refused text of the nested form.
+    """Second look at a refused text of the nested form, sealed.
 
     A variant refuses an object that repeats a key. Read as a struct the parent
     object takes the last of them, as it does at the root.
     """
-    schema = f"eid variant, `{path.parent}` struct<`{path.leaf}`: variant>, userId variant, {BAD} string"
-    return F.when(doc[BAD].isNotNull(), F.from_json(value, schema, PARSE_OPTIONS))
+    fields = f"eid: variant, `{path.parent}`: struct<`{path.leaf}`: variant>, userId: variant"
+    return F.when(doc.isNull() & value.isNotNull(), _sealed(value, fields))
 
 
 def _kind(variant: Column) -> Column:
@@ -92,13 +116,13 @@ def flat_fields(doc: Column, path: SessionPath) -> Column:
         F.lit(None).cast("variant").alias("parent"),
         doc[path.leaf].alias("sid"),
         doc["userId"].alias("user"),
-        (doc.isNotNull() & doc[BAD].isNull()).alias("usable"),
+        doc.isNotNull().alias("usable"),
     )
 
 
 def nested_fields(doc: Column, again: Column, path: SessionPath) -> Column:
     """The same of a message with the id in a parent object, from whichever parse read it."""
-    late = again.isNotNull() & again[BAD].isNull()
+    late = again.isNotNull()
     parent = doc[path.parent]
     sid = F.try_variant_get(parent, f"$.{path.leaf}", "variant")
     return F.struct(
@@ -106,7 +130,7 @@ def nested_fields(doc: Column, again: Column, path: SessionPath) -> Column:
         F.when(~late, parent).alias("parent"),
         F.when(late, again[path.parent][path.leaf]).otherwise(sid).alias("sid"),
         F.when(late, again["userId"]).otherwise(doc["userId"]).alias("user"),
-        (late | (doc.isNotNull() & doc[BAD].isNull())).alias("usable"),
+        (late | doc.isNotNull()).alias("usable"),
     )
 
 

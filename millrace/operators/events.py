@@ -30,11 +30,14 @@ def classify(messages: DataFrame, sid_path: str = "passport.sid") -> DataFrame:
     """
     path = payload.SessionPath.of(sid_path)
     value = F.col("value")
-    parsed = messages.withColumn("_doc", payload.parse(value, path))
+    parsed = messages.withColumn("_sealed", payload.parse(value, path))
+    parsed = parsed.withColumn("_doc", payload.opened(F.col("_sealed"), value))
     if path.parent is None:
         parsed = parsed.withColumn("fields", payload.flat_fields(F.col("_doc"), path))
     else:
-        parsed = parsed.withColumn("_again", payload.parse_again(value, F.col("_doc"), path)).withColumn(
+        parsed = parsed.withColumn("_sealed", payload.parse_again(value, F.col("_doc"), path))
+        again = payload.opened(F.col("_sealed"), value)
+        parsed = parsed.withColumn("_again", again).withColumn(
             "fields", payload.nested_fields(F.col("_doc"), F.col("_again"), path)
         )
     why = payload.reason(value, F.col("fields"), path)

@@ -24,7 +24,20 @@ CASES = [
     ('{"EID":"up"}', (None, "", None)),
     ('{"eid":"5"}', ("5", "", None)),
     ('{"eid":"a\\"b"}', ('a"b', "", None)),
-    ('{"eid":"x"} z', ("x", "", None)),
+    ('{"eid":"x"} z', "MALFORMED_JSON"),
+    ('{"eid":"x"} {"eid":"y"}', "MALFORMED_JSON"),
+    ('{"eid":"x"},{"eid":"y"}', "MALFORMED_JSON"),
+    ('{"eid":"x"},"y"', "MALFORMED_JSON"),
+    ('{"eid":"x"},', "MALFORMED_JSON"),
+    ('{"eid":"x"}]', "MALFORMED_JSON"),
+    ('{"eid":"x"}] [', "MALFORMED_JSON"),
+    ('{"eid":"x"}}', "MALFORMED_JSON"),
+    ('{"eid":"x"}] z', "MALFORMED_JSON"),
+    ('{"eid":"x"},"k":1', "MALFORMED_JSON"),
+    ('{"eid":"x"}],"m":[{"eid":"y"}', "MALFORMED_JSON"),
+    ('{"eid":"x"}]}', "MALFORMED_JSON"),
+    ('{"passport":{"sid":"s","sid":"t"}} z', "MALFORMED_JSON"),
+    ('{"eid":"x"} \n\t ', ("x", "", None)),
     ('{"passport":null}', "PASSPORT_NULL"),
     ('{"passport":"str"}', "PASSPORT_NOT_OBJECT"),
     ('{"passport":[1]}', "PASSPORT_NOT_OBJECT"),
