@@ -2,7 +2,8 @@
 
 ==========  ===========================================================================================
 tokens      A is a byte-level BPE of the ``tokenizers`` library over space + text, B a sentencepiece
-            model over the text, which adds that space. Both become ends of byte ranges
+            model over the text, which adds that space; each different word is encoded once. Both
+            become ends of byte ranges
 groups      pointer jumping: every token points to the token farthest to the right that overlaps it (of
             the other tokenizer); pointers are doubled, ``next = next[next]``, until each leads to the
             last token of its component, which names the group. All documents of a run at once
@@ -20,8 +21,11 @@ Alignment is done once, into a written table of token counts, group digests and
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -44,7 +48,12 @@ RUN_CHARS = 1_000_000
 #: A pair of ids as one number.
 SHIFT = 32
 
+#: Chunks of text whose ids a worker remembers, twice: those of late, and those before. How long they may be.
+REMEMBERED, REMEMBERED_CHARS = 200_000, 64
+
 _SPACE = "▁"
+#: Before a space, not the text's last, that follows a character that is surely none itself: ASCII, or an accented letter.
+_BREAKS = re.compile(r"(?<=[!-~\u00C0-\u017F])(?= [\s\S])")
 
 
 def byte_letters() -> dict[str, int]:
@@ -73,24 +82,81 @@ class Pair:
         many_a, many_b = len(self.bytes_a), len(self.bytes_b)
         self.shown = [f"{n}{mark}" for many, marks in ((many_a, ",|"), (many_b, ",;")) for mark in marks for n in range(many)]
         self.first_b = 2 * many_a
+        self.separable = self._separable(model_a)
+        self.forget()
 
     def _piece(self, number: int) -> bytes:
         piece = self.b.id_to_piece(number)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(number) else piece.replace(_SPACE, " ").encode()
 
+    def _separable(self, model_a: bytes) -> bool:
+        """Whether both tokenizers treat what lies between two ``_BREAKS`` by itself.
+
+        A does if it is cut by the usual byte-level pattern, in none of whose matches a space follows
+        anything but space. B does if no piece has a space after another character, as pieces grow by
+        joining neighbours.
+        """
+        read = json.loads(model_a)
+        cut = read.get("pre_tokenizer") or {}
+        by_pattern = cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space")
+        pieces = map(self.b.id_to_piece, range(self.b.get_piece_size()))
+        return bool(by_pattern and not read.get("normalizer") and not any(_SPACE in p.lstrip(_SPACE) for p in pieces))
+
+    def forget(self) -> None:
+        #: Packed ids of A and of B per chunk; chunks that either does not spell; the same of some time ago.
+        self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.misspelt: set[str] = set()
+        self.older = self.known
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Encode chunks, each of which starts with a space, and tell which of them either does not spell."""
+        found_a = [e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
+        found_b = self.b.encode([c[1:] for c in chunks], num_threads=1)
+        wanted = [c.encode() for c in chunks]
+        whole, sizes = b"".join(wanted), np.fromiter(map(len, wanted), np.int64, len(wanted))
+        for known, found, spelt, widths in zip(self.known, (found_a, found_b), (self.bytes_a, self.bytes_b), (self.width_a, self.width_b)):
+            ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+            flat = np.fromiter(chain.from_iterable(found), np.int32)
+            reached = np.append(0, np.cumsum(widths[flat]))[ends]
+            # Equal as a whole and of equal lengths piece by piece is equal piece by piece.
+            if not np.array_equal(reached, np.cumsum(sizes)) or b"".join(map(spelt.__getitem__, flat.tolist())) != whole:
+                self.misspelt.update(c for c, w, ids in zip(chunks, wanted, found) if b"".join(map(spelt.__getitem__, ids)) != w)
+            packed, ends = flat.tobytes(), (ends * 4).tolist()
+            known.update((c, packed[i:j]) for c, i, j in zip(chunks, [0, *ends], ends))
+
+    def _meet(self, chunks: set[str]) -> None:
+        """Have the ids of these chunks at hand: known, known before, or encoded now."""
+        if len(self.known[0]) >= REMEMBERED:
+            self.older, self.known = self.known, ({}, {})
+        missing = chunks - self.known[0].keys()
+        for known, older in zip(self.known, self.older):
+            known.update((c, older[c]) for c in missing & older.keys())
+        self._learn(list(missing - self.known[0].keys()))
+
     def tokens(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids of both for each text; none at all where either does not spell space + text."""
-        spaced = [" " + text for text in texts]
-        found_a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
-        found_b = self.b.encode(texts, num_threads=1)
-        none, out_a, out_b = np.zeros(0, np.int64), [], []
-        for text, spelt, a, b in zip(texts, spaced, found_a, found_b):
-            whole = spelt.encode() if text else None
-            fits = whole is not None and b"".join(map(self.bytes_a.__getitem__, a)) == whole
-            fits = fits and b"".join(map(self.bytes_b.__getitem__, b)) == whole
-            out_a.append(np.array(a, dtype=np.int64) if fits else none)
-            out_b.append(np.array(b, dtype=np.int64) if fits else none)
-        return out_a, out_b
+        """Ids of both for each text; none at all where either does not spell space + text.
+
+        Where both tokenizers allow it, texts are cut into chunks, mostly words, and each different
+        chunk is encoded once; otherwise a text is one chunk.
+        """
+        split = _BREAKS.split if self.separable else lambda text: [text]
+        chunked = [split(" " + text) if text else [] for text in texts]
+        here = set().union(*chunked)
+        self._meet(here)
+        out: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
+        for chunks in chunked:
+            fits = not self.misspelt or self.misspelt.isdisjoint(chunks)
+            for listed, known in zip(out, self.known):
+                packed = b"".join(map(known.__getitem__, chunks)) if fits else b""
+                listed.append(np.frombuffer(packed, np.int32).astype(np.int64))
+        for chunk in here:
+            if len(chunk) > REMEMBERED_CHARS:
+                for known in self.known:
+                    del known[chunk]
+                self.misspelt.discard(chunk)
+        if len(self.misspelt) > REMEMBERED:
+            self.forget()
+        return out
 
 
 def terminals(ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:

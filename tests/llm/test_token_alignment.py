@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -109,6 +111,31 @@ def test_against_shared_ends(spark, monkeypatch, frequent):
     assert aligned(spark, TEXTS) == brute(TEXTS)
 
 
+def test_chunks_are_encoded_as_whole_texts_are(monkeypatch):
+    """Against the libraries on whole texts, with few remembered chunks and with none."""
+    pair = A.Pair(*[Path(p).read_bytes() for p in PATHS])
+    assert pair.separable
+    rng = random.Random(4)
+    alphabet = ["a", "b", " ", " ", "  ", "\n", "\t", "\u00a0", "é", "ß", "\u017f", "\u0180", "'", "'s", "'ll", "7", "12", "!", ".", "日", "▁", "𝒳", "\u3000", "\x1f", "\x00", "<s>", "word", "The", "\u200b", "\u0301", "ﬁ"]
+    texts = ["".join(rng.choices(alphabet, k=rng.randrange(1, 40))) for _ in range(3_000)]
+    a, b, of_a, of_b = spelt()
+
+    def expected(text):
+        ids = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+        fits = all(b"".join(map(of, i)) == (" " + text).encode() for i, of in zip(ids, (of_a, of_b)))
+        return ids if fits else ([], [])
+
+    whole = list(map(expected, texts))
+    assert 500 < sum(bool(w[0]) for w in whole) < 3_000
+    for remembered, separable in ((100_000, True), (50, True), (0, True), (100_000, False)):
+        monkeypatch.setattr(A, "REMEMBERED", remembered)
+        pair.separable = separable
+        pair.forget()
+        got = [both for at in range(0, 3_000, 100) for both in zip(*pair.tokens(texts[at : at + 100]))]
+        wrong = [t for t, g, w in zip(texts, got, whole) if (g[0].tolist(), g[1].tolist()) != (list(w[0]), list(w[1]))]
+        assert not wrong[:3]
+
+
 def test_texts_without_common_spelling_have_no_tokens(spark):
     got = dict(zip(TEXTS, aligned(spark, TEXTS)))
     for text in (None, "", "a ▁ piece that stands for a space"):
