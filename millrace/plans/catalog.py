@@ -14,7 +14,7 @@ from millrace.plans.oracle import SQL
 from millrace.session import work_dir
 from millrace.sources import messages as source
 from millrace.sources.offsets import read_ledger
-from millrace.streaming import sinks, state
+from millrace.streaming import compaction, progress, sinks, state
 from millrace.streaming.run import ROCKSDB, run_to_end
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -601,6 +601,39 @@ def ledger_islands_stream(spark, sf_dir):
     return offsets.merge_ranges(read_ledger(spark, f"{work}/offsets"))
 
 
+@query
+def archive_compacted_stream(spark, sf_dir):
+    """The archive with the files of its first two batches packed, read as one with those after."""
+    work = work_dir(spark, "compact")
+    sink = sinks.archive_sink(f"{work}/archive", "1 day")
+    place = (f"{work}/archive", f"{work}/packed", sinks.ARCHIVE_SCHEMA)
+    deliver(spark, sf_dir, work, lambda arrived: run_to_end(arrived, sink, f"{work}/checkpoint"))
+    for upto_batch in (0, 1):
+        compaction.compact(spark, *place, upto_batch, ["topic", "dt"])
+    return compaction.read_compacted(spark, *place).select(*archive.ARCHIVE_COLUMNS)
+
+
+@query
+def progress_stream(spark, sf_dir):
+    """What the sources of a run say they gave, batch by batch, late rows included."""
+    work = work_dir(spark, "progress")
+    listener = progress.ProgressLedger(spark, f"{work}/progress")
+
+    def run(arrived):
+        counted = windows.window_counts(source.subscribe(arrived, SUBSCRIBED), "1 day")
+        sink = lambda batch, batch_id: sinks.replace_batch(batch, batch_id, f"{work}/counts")
+        run_to_end(counted, sink, f"{work}/checkpoint")
+
+    spark.streams.addListener(listener)
+    try:
+        deliver(spark, sf_dir, work, run, close=lambda at: at + timedelta(days=1))
+        progress.wait_for_listeners(spark)
+    finally:
+        spark.streams.removeListener(listener)
+    told = progress.read_progress(spark, f"{work}/progress").where(F.col("source").contains(work))
+    return told.agg(F.sum("n").alias("n"), F.sum("late").alias("late"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages to events to sliding counts: the product's main path in one query."""
     rows = events.to_events(sample(spark, sf_dir))

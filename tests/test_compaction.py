@@ -1,0 +1,129 @@
+"""Packing small files, and what sources say of themselves."""
+
+from __future__ import annotations
+
+import glob
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.operators.offsets import latest_offsets
+from millrace.operators.windows import window_counts
+from millrace.sources.offsets import LEDGER_SCHEMA
+from millrace.streaming import compaction as C
+from millrace.streaming import progress as P
+from millrace.streaming import sinks
+from millrace.streaming.run import run_to_end
+from tests.test_streams import Inbox, rows
+
+SCHEMA = "v string, n bigint, topic string, batch_id bigint"
+
+
+def write(spark, root, batches, topics=3, rows=4):
+    data = spark.range(len(batches) * topics * rows).select(
+        F.concat(F.lit("v"), F.col("id").cast("string")).alias("v"),
+        F.col("id").alias("n"),
+        F.concat(F.lit("t"), (F.col("id") % topics).cast("string")).alias("topic"),
+        (F.lit(batches[0]) + F.floor(F.col("id") / (topics * rows))).cast("bigint").alias("batch_id"),
+    )
+    data.write.mode("append").partitionBy("topic", "batch_id").parquet(root)
+
+
+def files(path):
+    return glob.glob(f"{path}/**/part-*.parquet", recursive=True)
+
+
+def content(df):
+    return sorted(map(tuple, df.select("v", "n", "topic", "batch_id").collect()))
+
+
+def test_packed_reads_the_same_from_few_files(spark, tmp_path):
+    place = (f"{tmp_path}/rows", f"{tmp_path}/store", SCHEMA)
+    write(spark, place[0], range(0, 40))
+    before = content(spark.read.schema(SCHEMA).parquet(place[0]))
+    assert content(C.read_compacted(spark, *place)) == before  # nothing packed yet
+    assert C.compact(spark, *place, 29, ["topic"]) == 0
+    read = C.read_compacted(spark, *place)
+    assert content(read) == before
+    assert len(files(f"{tmp_path}/store/version-0")) == 3
+    assert sum("/store/" in f for f in read.inputFiles()) == 3
+    write(spark, place[0], range(40, 44))
+    assert C.compact(spark, *place, 41, ["topic"]) == 1  # goes on from the version before
+    assert C.newest_version(spark, place[1]) == (1, 41)
+    assert content(C.read_compacted(spark, *place)) == content(spark.read.schema(SCHEMA).parquet(place[0]))
+
+
+def test_packed_batches_are_pruned(spark, tmp_path):
+    place = (f"{tmp_path}/rows", f"{tmp_path}/store", SCHEMA)
+    write(spark, place[0], range(0, 10))
+    C.compact(spark, *place, 7, ["topic"])
+    read = C.read_compacted(spark, *place)
+    names = {r[0] for r in read.select(F.input_file_name()).distinct().collect()}
+    assert len([n for n in names if "/rows/" in n]) == 6  # three topics of two batches
+
+
+def test_a_compaction_that_dies_changes_nothing(spark, tmp_path, monkeypatch):
+    place = (f"{tmp_path}/rows", f"{tmp_path}/store", SCHEMA)
+    write(spark, place[0], range(0, 5))
+    C.compact(spark, *place, 2, ["topic"])
+    before = content(C.read_compacted(spark, *place))
+    # all but the note of the next version, half of its files
+    half = spark.read.schema(SCHEMA).parquet(place[0]).where("batch_id < 2")
+    half.write.partitionBy("topic").parquet(f"{place[1]}/version-1")
+    assert content(C.read_compacted(spark, *place)) == before
+    assert C.compact(spark, *place, 4, ["topic"]) == 1  # and is written over
+    assert content(C.read_compacted(spark, *place)) == before
+
+
+def test_a_thousand_ledger_batches(spark, tmp_path):
+    ledger = spark.range(1_000).select(
+        F.lit("A").alias("topic"), (F.col("id") % 3).cast("int").alias("partition"), F.col("id").alias("from_offset"),
+        (F.col("id") + 1).alias("until_offset"), F.lit(1).cast("bigint").alias("n"), F.col("id").alias("batch_id"),
+    )
+    ledger.write.partitionBy("batch_id").parquet(f"{tmp_path}/ledger")
+    place = (f"{tmp_path}/ledger", f"{tmp_path}/store", LEDGER_SCHEMA)
+    C.compact(spark, *place, 989)
+    assert len(files(f"{tmp_path}/store/version-0")) == 1
+    read = C.read_compacted(spark, *place)
+    assert sorted(map(tuple, latest_offsets(read).collect())) == [("A", 0, 1_000), ("A", 1, 998), ("A", 2, 999)]
+    assert read.count() == 1_000
+
+
+@pytest.mark.parametrize("target,bins", [(10, [0, 0, 1, 2, 2]), (1_000, [0] * 5), (1, [0, 4, 12, 21, 22])])
+def test_bins_by_size(spark, target, bins):
+    sizes = [("a", "f0", 4), ("a", "f1", 8), ("a", "f2", 9), ("a", "f3", 1), ("a", "f4", 3), ("b", "f0", 50)]
+    out = C.packed(spark.createDataFrame(sizes, "t string, file string, bytes long"), ["t"], target)
+    got = {(r["t"], r["file"]): r["bin"] for r in out.collect()}
+    assert [got["a", f"f{n}"] for n in range(5)] == bins and got["b", "f0"] == 0
+
+
+def test_sources_tell_their_ranges_and_late_rows(spark, make_messages, tmp_path):
+    inbox = Inbox(spark, make_messages, tmp_path)
+    inbox.deliver(rows(0, 30))
+    inbox.deliver(rows(1_000, 1_040))
+    inbox.deliver(rows(0, 7))  # late: the watermark is far beyond
+    listener = P.ProgressLedger(spark, f"{tmp_path}/progress")
+    spark.streams.addListener(listener)
+    try:
+        live = window_counts(inbox.stream().withWatermark("timestamp", "5 seconds"), 10)
+        run_to_end(live, lambda b, i: sinks.replace_batch(b, i, f"{tmp_path}/out"), f"{tmp_path}/ck", name="told")
+        P.wait_for_listeners(spark)
+    finally:
+        spark.streams.removeListener(listener)
+    told = P.read_progress(spark, f"{tmp_path}/progress").orderBy("batch_id").collect()
+    assert [r["n"] for r in told if r["n"]] == [30, 40, 7]
+    ends = [r["end_offset"] for r in told if r["n"]]
+    assert [r["start_offset"] for r in told if r["n"]][1:] == ends[:-1]
+    # late rows are counted after they are combined: one per window of the third file
+    assert sum(r["late"] for r in told) == 1 and {r["query"] for r in told} == {"told"}
+
+
+def test_kafka_offsets_become_ranges(spark):
+    rows = [(0, None, '{"A":{"0":5,"1":0}}'), (1, '{"A":{"0":5,"1":0}}', '{"A":{"0":9,"1":0,"2":4},"B":{"0":1}}')]
+    told = spark.createDataFrame(rows, "batch_id long, start_offset string, end_offset string")
+    assert [tuple(r) for r in P.kafka_ranges(told).collect()] == [(1, "A", 0, 5, 9, 4)]
+
+
+def test_progress_without_rows_leaves_no_row():
+    quiet = {"numInputRows": 0, "stateOperators": [], "sources": []}
+    assert P.progress_rows(quiet) == []
