@@ -52,6 +52,14 @@ def test_overlapping_windows_are_counted_before_they_are_repeated(spark):
     assert len(re.findall("Exchange hashpartitioning", tumbling)) == 1
 
 
+@pytest.mark.parametrize("build", [lambda m, w, s: windows.window_counts(m, w, s), lambda m, w, s: archive.window_archive(m, w, s)])
+def test_overlapping_windows_are_generated_code_of_one_size(spark, build):
+    few, many = (plan(build(sample(spark, SF), *layout)) for layout in (("10 seconds", "4 seconds"), ("1 day", "1 second")))
+    assert "transform(" not in many and "lambda" not in many
+    assert len(many) < 1.05 * len(few)
+    assert "Generate explode(sequence(" in many
+
+
 def test_filling_gaps_reads_the_input_once(spark):
     counted = windows.window_counts(
         events.to_events(sample(spark, SF)), "10 minutes", "4 minutes", ts="arrived", kinds=windows.COUNT_KINDS, dense=True
