@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.durations import epoch_micros, from_micros
 from millrace.functions.text import pair
 from millrace.operators import archive, documents, events, offsets, pairs, running, tokens, windows
 from millrace.plans.oracle import SQL
@@ -418,14 +419,28 @@ DELIVERIES = ("2000-01-01", "2024-01-11", "2024-01-21", "2100-01-01")
 LATE = timedelta(days=11)
 
 
-def deliver(spark, sf_dir, work, run, *, messages=None, close: Callable[[datetime], datetime] | None = None) -> None:
+def zoned(df: DataFrame) -> DataFrame:
+    """Wall clock times, read as UTC in any session zone, as the zoned ones that a watermark needs."""
+    utc = {c: F.timestamp_micros(epoch_micros(F.col(c), True)) for c, t in df.dtypes if t == "timestamp_ntz"}
+    return df.withColumns(utc)
+
+
+def wall_clock(df: DataFrame) -> DataFrame:
+    """The reverse."""
+    return df.withColumns({c: from_micros(F.unix_micros(c), True) for c, t in df.dtypes if t == "timestamp"})
+
+
+def deliver(
+    spark, sf_dir, work, run, *, messages=None, ntz=False, close: Callable[[datetime], datetime] | None = None
+) -> None:
     """The sample's messages in three deliveries, each read to its end before the next comes.
 
-    ``run`` is given the stream. With ``close`` closing messages follow, ``LATE`` after the time that
+    ``run`` is given the stream, with zoned times unless ``ntz``. With ``close`` closing messages follow, ``LATE`` after the time that
     ``close`` makes of the latest message's; they move the watermark to that time and are in no result.
     """
     folder = f"{work}/messages"
-    rows = source.with_event_time(sample(spark, sf_dir) if messages is None else messages)
+    rows = sample(spark, sf_dir) if messages is None else messages
+    rows = rows if ntz else zoned(rows)
     latest = rows.agg(F.max(F.unix_micros("timestamp"))).first()[0] if close else None
     end = None
     if latest is not None:
@@ -433,7 +448,9 @@ def deliver(spark, sf_dir, work, run, *, messages=None, close: Callable[[datetim
         end = F.timestamp_micros(F.lit((at - datetime(1970, 1, 1)) // timedelta(microseconds=1)))
 
     def read() -> None:
-        arrived = source.stored_messages(spark, folder, streaming=True, max_files_per_trigger=FILES_PER_BATCH)
+        arrived = source.stored_messages(
+            spark, folder, streaming=True, ntz=ntz, max_files_per_trigger=FILES_PER_BATCH
+        )
         if close:
             arrived = arrived.withWatermark("timestamp", f"{LATE.days} days")
             arrived = arrived if end is None else source.before(arrived, end)
@@ -448,11 +465,6 @@ def deliver(spark, sf_dir, work, run, *, messages=None, close: Callable[[datetim
         read()
 
 
-def wall_clock(df: DataFrame) -> DataFrame:
-    """Zoned times, which a stream needs, as the wall clock times of the tables."""
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c, t in df.dtypes if t == "timestamp"})
-
-
 def appended(spark, path: str) -> DataFrame:
     return wall_clock(spark.read.parquet(path).drop("batch_id"))
 
@@ -468,7 +480,7 @@ def restart_no_duplicates(spark, sf_dir):
     """Archive the month in three deliveries, stopping and starting again in between."""
     work = work_dir(spark, "restart")
     sink = sinks.archive_sink(f"{work}/archive", "1 day")
-    deliver(spark, sf_dir, work, lambda arrived: run_to_end(arrived, sink, f"{work}/checkpoint"))
+    deliver(spark, sf_dir, work, lambda arrived: run_to_end(arrived, sink, f"{work}/checkpoint"), ntz=True)
     return sinks.read_archive(spark, f"{work}/archive").drop("batch_id")
 
 
@@ -562,7 +574,7 @@ def concat_append_stream(spark, sf_dir):
 def redelivered_stream(spark, sf_dir):
     """A third of the messages comes twice, once more in a later delivery; each stays once."""
     work = work_dir(spark, "again")
-    messages = source.with_event_time(sample(spark, sf_dir))
+    messages = zoned(sample(spark, sf_dir))
     again = messages.where(F.col("offset") % 3 == 0)
     rows = messages.unionByName(again)
 
@@ -584,7 +596,7 @@ def archive_untimed_stream(spark, sf_dir):
     """Messages without a time are in no window, and are kept beside the archive."""
     work = work_dir(spark, "untimed")
     at = F.when(F.col("offset") % 7 != 0, F.col("timestamp"))
-    messages = source.with_event_time(sample_stream(spark, sf_dir).withColumn("timestamp", at))
+    messages = zoned(sample_stream(spark, sf_dir).withColumn("timestamp", at))
     sink = sinks.archive_sink(f"{work}/archive", "1 day", rejects=f"{work}/rejects")
     run_to_end(messages, sink, f"{work}/checkpoint")
     columns = ["topic", "partition", "offset", "value", "reason"]
@@ -597,7 +609,7 @@ def ledger_islands_stream(spark, sf_dir):
     """What the deliveries of a run cover together, without hiding what never came."""
     work = work_dir(spark, "islands")
     sink = sinks.ledger_sink(f"{work}/offsets", islands=True)
-    deliver(spark, sf_dir, work, lambda arrived: run_to_end(arrived, sink, f"{work}/checkpoint"))
+    deliver(spark, sf_dir, work, lambda arrived: run_to_end(arrived, sink, f"{work}/checkpoint"), ntz=True)
     return offsets.merge_ranges(read_ledger(spark, f"{work}/offsets"))
 
 
@@ -607,7 +619,7 @@ def archive_compacted_stream(spark, sf_dir):
     work = work_dir(spark, "compact")
     sink = sinks.archive_sink(f"{work}/archive", "1 day")
     place = (f"{work}/archive", f"{work}/packed", sinks.ARCHIVE_SCHEMA)
-    deliver(spark, sf_dir, work, lambda arrived: run_to_end(arrived, sink, f"{work}/checkpoint"))
+    deliver(spark, sf_dir, work, lambda arrived: run_to_end(arrived, sink, f"{work}/checkpoint"), ntz=True)
     for upto_batch in (0, 1):
         compaction.compact(spark, *place, upto_batch, ["topic", "dt"])
     return compaction.read_compacted(spark, *place).select(*archive.ARCHIVE_COLUMNS)
