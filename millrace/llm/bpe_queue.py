@@ -15,9 +15,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from heapq import heappop, heappush
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from millrace.llm.common import fresh, hold_only
 
 #: Pre-tokens in each of the two generations that a worker remembers. A matter of speed alone.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 #: Rank files above this size are refused: they are broadcast.
 MAX_VOCABULARY = 2_000_000
 
@@ -49,7 +49,9 @@ def piece_encoder(ranks: dict[bytes, int]) -> Callable[[bytes], tuple[int, ...]]
     The queue belongs to the function: it is empty whenever a pre-token is done.
     """
     rank_of = ranks.get
-    buckets: dict[int, list[int]] = {}
+    # The first ranks of a pre-token are those of its byte pairs, looked up by number.
+    of_pair = [rank_of(bytes((a, b))) for a in range(256) for b in range(256)]
+    buckets: list[list[int] | None] = [None] * (max(ranks.values(), default=0) + 1)
     groups = [0] * ((max(ranks.values(), default=0) >> 8) + 1)  # lower level: 256 ranks to a word
     bits = [1 << k for k in range(max(256, len(groups)))]
 
@@ -59,12 +61,12 @@ def piece_encoder(ranks: dict[bytes, int]) -> Callable[[bytes], tuple[int, ...]]
             return (whole,)
         n = len(piece)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        waiting = [rank_of(piece[i : i + 2]) for i in range(n)]
-        waiting[-1] = None
+        waiting = [of_pair[a << 8 | b] for a, b in zip(piece, piece[1:])]
+        waiting.append(None)
         top = 0  # upper level: one bit per word that is not zero
         for place, rank in enumerate(waiting):
             if rank is not None:
-                if rank in buckets:
+                if buckets[rank]:
                     buckets[rank].append(place)  # places rise, so the list is a heap
                 else:
                     buckets[rank] = [place]
@@ -80,7 +82,7 @@ def piece_encoder(ranks: dict[bytes, int]) -> Callable[[bytes], tuple[int, ...]]
                 place = heappop(bucket)
             else:
                 place = bucket[0]
-                del buckets[rank]
+                buckets[rank] = None
                 groups[group] = word = word ^ bit
                 if not word:
                     top ^= bits[group]
@@ -93,7 +95,7 @@ def piece_encoder(ranks: dict[bytes, int]) -> Callable[[bytes], tuple[int, ...]]
                 before[end] = place
                 waiting[place] = rank = rank_of(piece[place : after[end]])
                 if rank is not None:
-                    if rank in buckets:
+                    if buckets[rank]:
                         heappush(buckets[rank], place)
                     else:
                         buckets[rank] = [place]
@@ -105,7 +107,7 @@ def piece_encoder(ranks: dict[bytes, int]) -> Callable[[bytes], tuple[int, ...]]
             if left >= 0:
                 waiting[left] = rank = rank_of(piece[left:end])
                 if rank is not None:
-                    if rank in buckets:
+                    if buckets[rank]:
                         heappush(buckets[rank], left)
                     else:
                         buckets[rank] = [left]
@@ -122,7 +124,7 @@ def piece_encoder(ranks: dict[bytes, int]) -> Callable[[bytes], tuple[int, ...]]
 
 
 class Remembering(dict):
-    """Pre-token to token ids, worked out when first asked for.
+    """Pre-token to token ids, packed as four bytes each, worked out when first asked for.
 
     When full, it becomes the older generation, from which pre-tokens that come again are taken over.
     """
@@ -130,12 +132,12 @@ class Remembering(dict):
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
         self.encode_piece = piece_encoder(ranks)
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, bytes] = {}
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
+    def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
-            ids = self.encode_piece(piece.encode())
+            ids = array("i", self.encode_piece(piece.encode())).tobytes()
         if len(piece) <= 64:
             if len(self) >= REMEMBERED:
                 self.older = dict(self)
@@ -156,8 +158,12 @@ class Codec:
         self.ids = Remembering(ranks)
         self.tokens = {rank: token for token, rank in ranks.items()}
 
+    def packed(self, text: str) -> bytes:
+        """The ids of a text, four bytes each."""
+        return b"".join(map(self.ids.__getitem__, self.pieces(text)))
+
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.ids.__getitem__, self.pieces(text))))
+        return np.frombuffer(self.packed(text), np.int32).tolist()
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -206,10 +212,12 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
         codec = worker_codec(key, shared, pattern)
         for batch in batches:
             for run in portions(batch):
-                found = [codec.encode(t) if t else [] for t in run]
-                ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
-                ids = pa.ListArray.from_arrays(ends, pa.array(chain.from_iterable(found), pa.int32()))
-                yield pa.StructArray.from_arrays([ids, pa.array(map(codec.decode, found), pa.binary())], ["ids", "bytes"])
+                found = [codec.packed(t) if t else b"" for t in run]
+                ends = np.cumsum([0, *map(len, found)]) // 4
+                flat = np.frombuffer(b"".join(found), np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+                back = [codec.decode(np.frombuffer(one, np.int32).tolist()) for one in found]
+                yield pa.StructArray.from_arrays([ids, pa.array(back, pa.binary())], ["ids", "bytes"])
 
     (pair,) = fresh(df, "pair")
     return df.withColumn(pair, both(F.col(text))).withColumns({ids: F.col(f"{pair}.ids"), decoded: F.col(f"{pair}.bytes")}).drop(pair)
