@@ -47,9 +47,10 @@ def words_in(text: Column) -> Column:
 def targets(sources: DataFrame, budget: int, weights: Sequence[int] = WEIGHTS, most: int = MOST) -> DataFrame:
     """``sources`` (``source, source_size``, one row each) with ``rank`` and ``target``, a share of ``budget`` words.
 
-    Names count in code point order, null last, and take the weights in turn. In rising order of (cap / weight) a source is capped if, with all before it
-    capped, its share of the rest reaches its cap; after the first that does not, none does. So one
-    running total finds the level at which resharing ends. A source of no words has the target 0.
+    Names count in code point order, null last, and take the weights in turn. In rising order of
+    (cap / weight) a source is capped if, with all before it capped, its share of the rest reaches its
+    cap; after the first that does not, none does. So one running total finds the level at which
+    resharing ends. A source of no words has the target 0.
     """
     named = sources.withColumn("rank", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())).cast("long"))
     cycle = F.array(*[F.lit(int(w)) for w in weights])
