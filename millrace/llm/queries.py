@@ -42,6 +42,28 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP3_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id::VARCHAR AS item_id, least(len(w), 13) AS n, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS k
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+dw AS (
+  SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS k
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+h AS (SELECT r, i, n, item_id FROM dw JOIN bw USING (n, k)),
+hw AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM h) GROUP BY r),
+hi AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS items FROM h GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hw USING (r) LEFT JOIN hi USING (r)
+"""
+
+
 def held_out() -> Column:
     """Whether a document belongs to the fold that no model may learn from."""
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
@@ -186,7 +208,8 @@ OP11_SQL = r"""
 WITH l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
 d AS (
   SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
-    regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS words,
+    regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS words,
     min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id
   FROM documents),
 f AS (
@@ -237,7 +260,8 @@ def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP13_SQL = r"""
 WITH d AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::BIGINT AS size,
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+'))::BIGINT AS size,
     md5(concat(coalesce(doc_id::VARCHAR, ''), ':', coalesce(text, ''))) AS key
   FROM documents),
 s AS (
@@ -276,6 +300,22 @@ FROM x, range(CASE WHEN size = 0 THEN alike::BIGINT ELSE 1 END)
 """
 
 
+OP10_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(first, vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce(first, vec_id)) AS kept
+FROM embeddings LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a) USING (vec_id)
+  LEFT JOIN (SELECT a AS vec_id, min(b) AS first FROM r GROUP BY a) USING (vec_id)
+"""
+
+
 QUERIES = {
     "op1_main_text": op1_main_text,
     "op2_byte_bpe": op2_byte_bpe,
@@ -293,4 +333,10 @@ QUERIES = {
 }
 
 #: What DuckDB can say as well.
-SQL: dict[str, str] = {"op5_url_lists": OP5_SQL, "op11_filter_audit": OP11_SQL, "op13_source_mix": OP13_SQL}
+SQL: dict[str, str] = {
+    "op3_decontaminate": OP3_SQL,
+    "op5_url_lists": OP5_SQL,
+    "op10_vector_tiles": OP10_SQL,
+    "op11_filter_audit": OP11_SQL,
+    "op13_source_mix": OP13_SQL,
+}
