@@ -26,12 +26,10 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 BYTE_DIMS = 8
-#: Labelled texts that training takes, over all languages in equal parts. The bound on what the driver gathers.
+#: Labelled texts that training takes, over all languages in equal parts. A fifth beyond it bounds what the driver gathers.
 SAMPLE = 6_000
 #: Bytes of a labelled text that a training window is cut from (one window at random from these).
 SAMPLE_BYTES = 4_096
-#: Languages that a model may have.
-MAX_LANGUAGES = 1_000
 #: Bytes that one numpy step handles.
 STEP_BYTES = 1 << 17
 UNDETERMINED = "und"
@@ -161,24 +159,40 @@ def fit(texts: list[str], languages: list[str], seed: int = 11, steps: int = 400
     return model
 
 
+def quotas(counts: dict[str, int], size: int) -> dict[str, int]:
+    """How many rows of each language a sample of ``size`` takes: as many of each, all of those that have fewer."""
+    out, left = {}, size
+    for rank, (name, many) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        out[name] = min(many, max(1, left // (len(counts) - rank)))
+        left -= out[name]
+    return out
+
+
 def sample(labelled: DataFrame, text: str, lang: str, size: int = SAMPLE) -> tuple[list[str], list[str]]:
-    """At most about ``size`` labelled texts, as many of each language, chosen by a hash of the text.
+    """About ``size`` labelled texts, as many of each language, all of a rare one, chosen by a hash of the text.
 
     Languages are counted over all rows; the sample follows their counts, so it stays as large
-    whatever the table's size. Equal texts fall in or out together.
+    whatever the table's size. Equal texts fall in or out together; where that brings more than a fifth
+    beyond ``size``, the rows that came in most narrowly go. Of more than ``size`` languages each still
+    has a row. The driver holds a count per language, as the network has an output for each.
     """
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(F.col(text).alias("t"), F.col(lang).alias("l"))
-    counts = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n")).orderBy("l").limit(MAX_LANGUAGES + 1).collect()}
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"over {MAX_LANGUAGES} languages")
+    counts = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return [], []
-    part = 1.2 * size / len(counts)
-    share = F.create_map(*[F.lit(x) for l, n in counts.items() for x in (l, min(1.0, part / n))])
+    wanted = quotas(counts, size)
+    # A little more than its quota of each that does not give all, so that few fall short by chance.
+    shares = [(name, min(1.0, 1.05 * wanted[name] / n), wanted[name] == n) for name, n in sorted(counts.items())]
+    known = rows.sparkSession.createDataFrame(shares, "known string, share double, whole boolean")
     chance = F.pmod(F.xxhash64("t"), F.lit(1 << 20)) / F.lit(float(1 << 20))
     inside = F.substring("t", F.pmod(F.xxhash64("t", F.lit(1)), F.greatest(F.length("t") - SAMPLE_BYTES, F.lit(1))).cast("int") + 1, SAMPLE_BYTES)
-    taken = rows.where(chance < F.element_at(share, F.col("l"))).select(inside.alias("t"), "l", chance.alias("c"))
-    got = taken.orderBy("c", "t", "l").limit(size).collect()
+    # A row per language, no more than the network has outputs, which every task gets as well.
+    named = rows.join(F.broadcast(known), F.col("l") == F.col("known"))
+    # Rows of languages taken whole go last, if any do.
+    rank = F.when(F.col("whole"), 0.0).otherwise(chance / F.col("share"))
+    taken = named.where(F.col("whole") | (chance < F.col("share"))).select(inside.alias("t"), "l", rank.alias("c"))
+    most = max(size, len(counts)) * 6 // 5
+    got = taken.orderBy("c", "t", "l").limit(most).collect()
     return [r["t"] for r in got], [r["l"] for r in got]
 
 

@@ -61,3 +61,25 @@ def test_edge_cases(spark):
     assert {r["lang_pred"] for r in L.predict(docs, None).collect()} == {"und"}
     assert L.predict(docs.limit(0), model).count() == 0
     assert sorted(r["doc_id"] or 0 for r in L.accept(docs, model).collect()) == [0, 4, 5]
+
+
+def test_quotas():
+    assert L.quotas({"a": 5_000, "b": 5_000, "c": 60}, 6_000) == {"a": 2_970, "b": 2_970, "c": 60}
+    assert L.quotas({"a": 10, "b": 20}, 6_000) == {"a": 10, "b": 20}
+    assert set(L.quotas({str(n): 9 for n in range(50)}, 10).values()) == {1}
+
+
+def test_rare_languages_keep_all_their_rows_in_the_sample(spark):
+    rows = [(f"text {k} of language {n}", f"l{n}") for n in range(8) for k in range(2_500)] + [(f"rare words {k}", "rare") for k in range(60)]
+    texts, languages = L.sample(spark.createDataFrame(rows, "text string, lang string"), "text", "lang")
+    counts = {name: languages.count(name) for name in set(languages)}
+    assert counts["rare"] == 60 and 5_500 < len(texts) <= 7_200
+    assert min(counts[f"l{n}"] for n in range(8)) > 600
+
+
+def test_more_languages_than_a_sample_has_rows(spark):
+    rows = [(f"word{n} and word{n}", f"l{n}") for n in range(1_200)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    model = L.train(docs, size=600)
+    assert len(model.languages) == 1_200
+    assert L.predict(docs.limit(20), model).count() == 20
