@@ -50,8 +50,8 @@ _PATTERNS = {
     "phone": r"\+[0-9][ ().0-9\-]+[0-9]",
     # Shapes that the base has not.
     "local": r"(?<![0-9+.)\-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .\-])[0-9]{3}[ .\-][0-9]{4}(?![0-9])",
-    "spelled": rf"(?<![{_LOCAL}])[{_LOCAL}]{{1,64}}+ ?[(\[](?:at|AT)[)\]] ?[{_LABEL}]{{1,63}} ?(?:[(\[](?:dot|DOT)[)\]]|\.) ?[A-Za-z]{{2,24}}",
-    "secret": r"(?<![A-Za-z0-9_\-])(?=[A-Za-z_\-]{0,200}[0-9])[A-Za-z0-9_\-]{20,200}+(?![A-Za-z0-9_\-])",
+    "spelled": rf"(?<![{_LOCAL}])[{_LOCAL}]++ ?[(\[](?:at|AT)[)\]] ?[{_LABEL}]++ ?(?:[(\[](?:dot|DOT)[)\]]|\.) ?[A-Za-z]{{2,}}+",
+    "secret": r"(?<![A-Za-z0-9_\-])(?=[A-Za-z_\-]*+[0-9])[A-Za-z0-9_\-]{20,}+",
 }
 #: What a text must contain for a pattern to be tried.
 _SIGNS = {
