@@ -24,13 +24,13 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.common import cut, fresh, hold_only, stored
 from millrace.llm.decontaminate import places_of_words, words_of
-from millrace.llm.near_copies import word_hash, word_hashes
 
 SEED, SPREAD = 8, 12
 #: Equal words of a passage, and their least share of its length.
@@ -47,8 +47,33 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 def numbers_of(text: str | None) -> np.ndarray:
     """The words of a text as 64-bit numbers."""
-    words = words_of(text or "")
-    return np.fromiter(map(word_hash, words), dtype=np.uint64, count=len(words))
+    hashes = b"".join(map(xxhash.xxh64_digest, words_of(text or "")))
+    return np.frombuffer(hashes, ">u8").astype(np.uint64)
+
+
+def _rolled(numbers: np.ndarray, size: int) -> np.ndarray:
+    """Of every ``size`` numbers in a row the polynomial in ``_FACTOR``, put together from those of 1, 2, 4 ..."""
+    power = lambda n: np.uint64(pow(int(_FACTOR), n, 1 << 64))
+    part, width, total, done = numbers, 1, numbers[:0], 0
+    while True:
+        if size & width:  # what is done lies after this part
+            total = part[: len(numbers) - width - done + 1] * power(done) + total[width:] if done else part.copy()
+            done += width
+        if done == size:
+            return total
+        part = part[:-width] * power(width) + part[width:]
+        width *= 2
+
+
+def _first_smallest(total: np.ndarray, size: int) -> np.ndarray:
+    """For every ``size`` values in a row the place of the smallest, the first of equal ones."""
+    places, width = np.arange(len(total)), 1
+    while width < size:
+        step = min(width, size - width)
+        left, right = places[:-step], places[step:]
+        places = np.where(total[right] < total[left], right, left)
+        width += step
+    return places
 
 
 def seeds_of(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -56,16 +81,18 @@ def seeds_of(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     many = len(numbers) - SEED + 1
     if many < 1:
         return np.zeros(0, np.int64), np.zeros(0, np.int32)
-    total = np.zeros(many, np.uint64)
-    for k in range(SEED):
-        total = total * _FACTOR + numbers[k : k + many]
+    total = _rolled(numbers, SEED)
     total ^= total >> np.uint64(31)
     total *= np.uint64(0xBF58476D1CE4E5B9)
     total ^= total >> np.uint64(29)
-    runs = np.lib.stride_tricks.sliding_window_view(total, min(SPREAD, many))
-    places = np.unique(runs.argmin(axis=1) + np.arange(len(runs)))
+    places = _first_smallest(total, min(SPREAD, many))
+    places = places[np.append(True, places[1:] != places[:-1])]
+    found = total[places]
+    alike = found[1:] == found[:-1]
+    if not alike.any():
+        return found.view(np.int64), places.astype(np.int32)
     # Where one k-mer follows itself closely (a word said over and over), one in SPREAD places stands for all.
-    again = np.concatenate(([False], (total[places[1:]] == total[places[:-1]]) & (np.diff(places) < SPREAD)))
+    again = np.append(False, alike & (np.diff(places) < SPREAD))
     starts = np.maximum.accumulate(np.where(again, 0, places))
     step = (places - starts) // SPREAD
     places = places[~again | np.concatenate(([True], step[1:] != step[:-1]))]
@@ -74,8 +101,8 @@ def seeds_of(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of (id, text): (seed, id, place, size)."""
-    hold_only("words", word_hashes)
-    for batch in batches:
+    hold_only("passages")
+    for batch in (whole.slice(at, 1000) for whole in batches for at in range(0, whole.num_rows, 1000)):
         seeds, ids, places, sizes = [], [], [], []
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             numbers = numbers_of(text)
@@ -127,9 +154,20 @@ def chains(matches: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
     and one prefix maximum finds the best predecessor. Every match is in one chain at most.
     """
     matches = sorted(set(matches))
-    ranks = {b: n for n, b in enumerate(sorted({b for _, b in matches}))}
-    tree, score, back = Fenwick(len(ranks)), [0.0] * len(matches), [-1] * len(matches)
+    score, back = [0.0] * len(matches), [-1] * len(matches)
     at = 0
+    if all(p[0] < q[0] and p[1] < q[1] for p, q in zip(matches, matches[1:])):
+        # In one order in both texts: the best chain before a match ends in the one just before it.
+        value = float("-inf")
+        for at, (a, b) in enumerate(matches):
+            gained = value - GAP_COST * (a + b)
+            score[at] = SEED + max(gained, 0.0)
+            back[at] = at - 1 if gained > 0 else -1
+            value = score[at] + GAP_COST * (a + b)
+        at = len(matches)
+    else:
+        ranks = {b: n for n, b in enumerate(sorted({b for _, b in matches}))}
+        tree = Fenwick(len(ranks))
     while at < len(matches):
         end = at
         while end < len(matches) and matches[end][0] == matches[at][0]:
@@ -162,12 +200,20 @@ def _equal_between(x: np.ndarray, y: np.ndarray) -> int:
         return int((x == y).sum())
     if not len(x) or not len(y):
         return 0
-    row = np.zeros(len(y) + 1, np.int32)
-    for word in x:  # longest common subsequence, one row at a time
-        taken = row.copy()
-        taken[1:] = np.where(y == word, row[:-1] + 1, row[1:])
-        row = np.maximum.accumulate(np.maximum(taken, row))
-    return int(row[-1])
+    places: dict[int, int] = {}
+    for n, word in enumerate(y.tolist()):
+        places[word] = places.get(word, 0) | 1 << n
+    # Longest common subsequence, a row of its table as the bits of one number: 0 where the row rises.
+    row = full = (1 << len(y)) - 1
+    for word in x.tolist():
+        here = row & places.get(word, 0)
+        if here:
+            row = (row + here | row - here) & full
+    return len(y) - row.bit_count()
+
+
+#: Words to skip in two texts after a difference, in the order in which they are tried.
+_SKIPS = [p for n in range(1, 6) for p in sorted({(n, n), *((k, n - k) for k in range(n + 1))}, key=sum)]
 
 
 def _prolong(x: np.ndarray, y: np.ndarray) -> tuple[int, int, int]:
@@ -178,6 +224,8 @@ def _prolong(x: np.ndarray, y: np.ndarray) -> tuple[int, int, int]:
     """
     i = j = equal = score = 0
     best = (0, 0, 0, 0)
+    in_x, in_y = x.tobytes(), y.tobytes()
+    three = 3 * x.itemsize
     while i < len(x) and j < len(y):
         if x[i] == y[j]:
             run = min(len(x) - i, len(y) - j, 64)
@@ -187,14 +235,10 @@ def _prolong(x: np.ndarray, y: np.ndarray) -> tuple[int, int, int]:
             if score > best[0]:
                 best = (score, i, j, equal)
             continue
-        for skipped in range(1, 6):
-            found = None
-            for p in {(skipped, skipped), *((k, skipped - k) for k in range(skipped + 1))}:
-                if np.array_equal(x[i + p[0] : i + p[0] + 3], y[j + p[1] : j + p[1] + 3]) and i + p[0] + 3 <= len(x) and j + p[1] + 3 <= len(y):
-                    found = p if found is None or sum(p) < sum(found) else found
-            if found:
-                break
-        else:
+        next_x = [in_x[k : k + three] for k in range(i * x.itemsize, (i + 6) * x.itemsize, x.itemsize)]
+        next_y = [in_y[k : k + three] for k in range(j * y.itemsize, (j + 6) * y.itemsize, y.itemsize)]
+        found = next((p for p in _SKIPS if next_x[p[0]] == next_y[p[1]] and len(next_x[p[0]]) == three), None)
+        if found is None:
             break
         i, j, score = i + found[0], j + found[1], score - 2 * max(found)
         if score < best[0] - 12:
@@ -371,9 +415,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             chosen = np.flatnonzero(wanted)
             if not len(chosen):
                 continue
-            total = np.zeros(many, np.uint64)
-            for k in range(PASSAGE):
-                total = total * _FACTOR + numbers[k : k + many]
+            total = _rolled(numbers, PASSAGE)
             total ^= total >> np.uint64(31)
             total *= np.uint64(0xBF58476D1CE4E5B9)
             seeds.append((total ^ (total >> np.uint64(29)))[chosen].view(np.int64))
@@ -390,12 +432,17 @@ def _stretches(places: np.ndarray, opened: np.ndarray) -> Iterator[tuple[np.ndar
     return zip(np.split(places, breaks), np.split(opened, breaks))
 
 
+def _led(seeds: DataFrame) -> DataFrame:
+    """Seeds that occur again, with place ``at_a`` in document ``a``, the shortest: one shuffle, no row's text read twice."""
+    same = Window.partitionBy("seed")
+    lead = F.min(F.struct("size", "id", "place")).over(same)
+    told = seeds.select("seed", "id", "place", "size", F.count("*").over(same).alias("n"), lead.alias("lead")).where(F.col("n") > 1)
+    return told.select("seed", "id", "place", "size", F.col("lead.id").alias("a"), F.col("lead.place").alias("at_a"))
+
+
 def _linked(shared: DataFrame) -> DataFrame:
     """(a, b, at_a, at_b): the matches of each pair of a seed's shortest document and another."""
-    lead = shared.groupBy("seed").agg(F.min(F.struct("size", "id", "place")).alias("lead"))
-    lead = cut(lead.select("seed", F.col("lead.id").alias("a"), F.col("lead.place").alias("at_a")))
-    met = shared.join(lead, "seed").where(F.col("id") != F.col("a"))
-    pairs = met.groupBy("a", F.col("id").alias("b")).agg(F.collect_list(F.struct("at_a", F.col("place").alias("at_b"))).alias("m"))
+    pairs = shared.where(F.col("id") != F.col("a")).groupBy("a", F.col("id").alias("b")).agg(F.collect_list(F.struct("at_a", F.col("place").alias("at_b"))).alias("m"))
     return pairs.select("a", "b", F.col("m.at_a").alias("at_a"), F.col("m.at_b").alias("at_b"))
 
 
@@ -415,13 +462,12 @@ def _told(shared: DataFrame, found: DataFrame, sides: str = "ab") -> DataFrame:
     spans = [found.select(F.col(k).alias("id"), F.col(f"{k}_start").alias("s"), F.col(f"{k}_end").alias("e")) for k in sides]
     every = cut(reduce(DataFrame.unionByName, spans).distinct())
     covers = (F.col("place") >= F.col("s")) & (F.col("place") + SEED <= F.col("e"))
-    return shared.join(every, "id", "left").groupBy("seed", "id", "place", "size").agg(F.max(F.coalesce(covers, F.lit(False))).alias("covered"))
+    return shared.join(every, "id", "left").groupBy(shared.columns).agg(F.max(F.coalesce(covers, F.lit(False))).alias("covered"))
 
 
 def _uncovered(shared: DataFrame, found: DataFrame) -> DataFrame:
     """Occurrences of shared seeds in long stretches that no passage covers, without documents that led already."""
-    lead = shared.groupBy("seed").agg(F.min(F.struct("size", "id")).alias("lead")).select("seed", F.col("lead.id").alias("led"))
-    rest = shared.join(cut(lead), "seed").where(F.col("id") != F.col("led")).drop("led")
+    rest = shared.where(F.col("id") != F.col("a")).drop("a", "at_a")
     open_ = cut(_told(rest, found).where(~F.col("covered")).drop("covered"))
     order = Window.partitionBy("id").orderBy("place")
     far = F.col("place") - F.lag("place").over(order) > 2 * SPREAD
@@ -429,16 +475,13 @@ def _uncovered(shared: DataFrame, found: DataFrame) -> DataFrame:
     whole = Window.partitionBy("id", "stretch")
     long = F.max("place").over(whole) - F.min("place").over(whole) >= STRETCH
     kept = open_.withColumn("stretch", stretch).withColumn("long", long).where(F.col("long")).drop("stretch", "long")
-    kept = cut(kept)
-    again = kept.groupBy("seed").agg(F.count_distinct("id").alias("n")).where(F.col("n") > 1).select("seed")
-    return cut(kept.join(cut(again), "seed"))
+    return cut(_led(kept))
 
 
 def _open_windows(rows: DataFrame, shared: DataFrame, found: DataFrame) -> DataFrame:
     """(seed, id, place, size) of the windows, in all documents, around seeds that a longer document has uncovered."""
-    lead = cut(shared.groupBy("seed").agg(F.min(F.struct("size", "id")).alias("lead")).select("seed", F.col("lead.id").alias("led")))
     told = _told(shared, found, "b").where(~F.col("covered"))
-    opened = told.join(lead, "seed").where(F.col("id") != F.col("led")).select("seed").distinct().withColumn("open", F.lit(True))
+    opened = told.where(F.col("id") != F.col("a")).select("seed").distinct().withColumn("open", F.lit(True))
     marked = shared.join(cut(opened), "seed", "left").withColumn("open", F.coalesce("open", F.lit(False)))
     places = marked.groupBy("id").agg(F.collect_list(F.struct("place", "open")).alias("m"), F.max("open").alias("any")).where("any")
     chosen = rows.join(cut(places.select("id", F.col("m.place").alias("places"), F.col("m.open").alias("opened"))), "id")
@@ -458,8 +501,7 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
     """
     rows = docs.where(F.col(id).isNotNull()).select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     seeds = rows.mapInArrow(_seeded, "seed long, id long, place int, size int")
-    often = stored(seeds.groupBy("seed").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("seed"), "seeds-often")
-    shared = stored(seeds.join(often, "seed"), "seeds-shared")
+    shared = stored(_led(seeds), "seeds-shared")
     found = docs.sparkSession.createDataFrame([], _FOUND)
     every = shared
     for _ in range(ROUNDS):

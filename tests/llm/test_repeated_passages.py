@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 from itertools import combinations
 
 import numpy as np
@@ -147,3 +148,56 @@ def test_short_chain_in_a_passage_with_shifts():
     moved = np.concatenate([np.concatenate([p, say(1)]) for p in pieces])  # a word put in after each piece
     x, y = np.concatenate([say(20), words, say(20)]), np.concatenate([say(30), moved, say(30)])
     assert [p[4] for p in R.passages(x, y, [(20 + 41, 30 + 45)])] == [66]
+
+
+def test_texts_are_read_once_for_seeds(spark, monkeypatch):
+    rng = random.Random(8)
+    line = [_word(rng) for _ in range(60)]
+    docs = [(n, " ".join([_word(rng) for _ in range(10)] + line)) for n in range(20)]
+    read, whole = spark.sparkContext.accumulator(0), R._seeded
+
+    def counted(batches):
+        def seen():
+            for batch in batches:
+                read.add(batch.num_rows)
+                yield batch
+
+        yield from whole(seen())
+
+    monkeypatch.setattr(R, "_seeded", counted)
+    found = R.repeated(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r["b"] for r in found} == set(range(1, 20))
+    assert read.value == 20
+
+
+def test_words_in_common_of_long_gaps():
+    rng = np.random.default_rng(3)
+    for size, other, words in ((40, 25, 3), (200, 201, 20), (1, 9, 2), (0, 4, 2)):
+        x, y = rng.integers(0, words, size, dtype=np.uint32), rng.integers(0, words, other, dtype=np.uint32)
+        table = np.zeros((size + 1, other + 1), int)
+        for i in range(size):
+            for j in range(other):
+                table[i + 1, j + 1] = table[i, j] + 1 if x[i] == y[j] else max(table[i, j + 1], table[i + 1, j])
+        assert R._equal_between(x, y) == table[-1, -1]
+    x, y = (rng.integers(0, 1000, n, dtype=np.uint32) for n in (20_000, 20_001))
+    before = time.process_time()
+    assert R._equal_between(x, y) > 500
+    assert time.process_time() - before < 1  # a row of the table as an array each: 3 seconds
+
+
+def test_going_on_after_differences():
+    say = lambda text: np.array([ord(c) for c in text], np.uint32)
+    assert R._prolong(say("abcdefgh"), say("abcdxfgh")) == (8, 8, 7)
+    assert R._prolong(say("abcdefgh"), say("abcdfgh")) == (8, 7, 7)
+    assert R._prolong(say("abcdefghij"), say("abcdexyfghij")) == (10, 12, 10)
+    assert R._prolong(say("abcdefg"), say("abcdxfg")) == (4, 4, 4)  # only two words agree again
+    assert R._prolong(say("abc"), say("xyz")) == (0, 0, 0)
+
+
+def test_hashes_of_words_in_a_row():
+    numbers = np.random.default_rng(5).integers(0, 1 << 63, 70, dtype=np.uint64)
+    for size in (1, 3, R.SEED, R.PASSAGE, 70):
+        total = np.zeros(70 - size + 1, np.uint64)
+        for k in range(size):
+            total = total * R._FACTOR + numbers[k : k + len(total)]
+        assert np.array_equal(R._rolled(numbers, size), total)
