@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from millrace.llm.common import fresh, hold_only
 
 #: Pre-tokens in each of the two generations that a worker remembers. A matter of speed alone.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: Rank files above this size are refused: they are broadcast.
 MAX_VOCABULARY = 2_000_000
 
@@ -181,14 +181,18 @@ def worker_codec(key: str, shared, pattern: str) -> Codec:
 
 
 def portions(batch: pa.Array, chars: int = 2_000_000) -> Iterator[list[str | None]]:
-    """A batch of texts in runs of about ``chars``, so that what is made of one stays small."""
+    """A batch of texts in runs of about ``chars``, so that what is made of one stays small.
+
+    Texts become Python's a few at a time: those of a whole batch would lie beside its own copy of them.
+    """
     run, size = [], 0
-    for text in batch.to_pylist():
-        run.append(text)
-        size += len(text or "")
-        if size >= chars:
-            yield run
-            run, size = [], 0
+    for at in range(0, len(batch), 64):
+        for text in batch.slice(at, 64).to_pylist():
+            run.append(text)
+            size += len(text or "")
+            if size >= chars:
+                yield run
+                run, size = [], 0
     if run:
         yield run
 

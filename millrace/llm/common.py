@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,10 +52,10 @@ def hold_only(owner: str, *tables: dict) -> None:
 
     Workers outlive tasks, so without this their tables of remembered words would add up over a pipeline.
     """
-    for name, others in _held.items():
-        if name != owner:
-            for held in others:
-                held.clear()
+    for name in [name for name in _held if name != owner]:
+        for held in _held.pop(name):
+            held.clear()
+        pa.default_memory_pool().release_unused()
     _held[owner] = tables
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 
 import public_tokenizers
+import pyarrow as pa
 import tiktoken
 
 from millrace.llm import bpe_queue as B
@@ -61,3 +63,12 @@ def test_edge_cases(spark):
     assert got[:4] == [(1, [], "", "p"), (2, [], "", "p"), (3, [31373], "hello", "p"), (3, [31373], "hello", "p")]
     assert got[4][2] == "a" * 300_000
     assert B.encode(out.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
+
+
+def test_a_batch_of_texts_is_not_made_whole():
+    batch = pa.array(["x" * 1_000] * 20_000)
+    tracemalloc.start()
+    rows = sum(len(run) for run in B.portions(batch, chars=100_000))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 20_000 and most < 1_000_000  # all at once: 20 MB
