@@ -13,6 +13,9 @@ rounds     where shared seeds go on for long but no passage covers them (their s
            only parts), they link again to the next shortest document
 windows    where seeds are still not covered after that, every ``PASSAGE`` words in a row are a key of their
            own, which links to its shortest document: that one holds the whole, so no equal run is missed
+tiles      seeds that are open even then are met by all pairs of their occurrences, in tiles of bounded size:
+           where the words around both (``AROUND`` on either side) have ``PASSAGE`` in common, in order, the
+           documents are compared. Nothing is capped; work grows with the square of an open seed's occurrences
 =========  ============================================================================================
 """
 
@@ -20,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -41,6 +45,10 @@ GAP_COST = 0.1
 ROUNDS = 3
 #: Words over which shared seeds must go on, uncovered, to link again: a passage has seeds over at least so many.
 STRETCH = PASSAGE - SEED - 2 * SPREAD + 2
+#: Words on either side of a seed that are looked at for ``PASSAGE`` words in common.
+AROUND = 75
+#: Occurrences on one side of a tile, and bits that tell the words around one of them.
+TILE, BITS = 2_048, 2_048
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -198,6 +206,11 @@ def _equal_between(x: np.ndarray, y: np.ndarray) -> int:
     """Words that two stretches between anchors have in common, in order."""
     if len(x) == len(y):
         return int((x == y).sum())
+    return _longest_common(x, y)
+
+
+def _longest_common(x: np.ndarray, y: np.ndarray) -> int:
+    """The length of the longest common subsequence."""
     if not len(x) or not len(y):
         return 0
     places: dict[int, int] = {}
@@ -432,6 +445,81 @@ def _stretches(places: np.ndarray, opened: np.ndarray) -> Iterator[tuple[np.ndar
     return zip(np.split(places, breaks), np.split(opened, breaks))
 
 
+def _surrounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (id, text, seeds, their places, whether each is open): (seed, id, size, first, last, open, words around).
+
+    Occurrences of a seed that follow each other closely (a word said over and over) are one row, from the first to the last.
+    """
+    names = ["seed", "id", "size", "first", "last", "open", "around"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
+    for batch in batches:
+        for n in range(batch.num_rows):  # one row at a time: a document may have very many seeds
+            key, text, *listed = (c[n].as_py() for c in batch.columns)
+            words = (numbers_of(text) >> np.uint64(32)).astype(np.uint32)
+            seeds, places, opened = map(np.array, listed)
+            order = np.lexsort((places, seeds))
+            seeds, places, opened = seeds[order], places[order], opened[order]
+            starts = np.flatnonzero(np.append(True, (seeds[1:] != seeds[:-1]) | (np.diff(places) > SPREAD)))
+            ends = np.append(starts[1:], len(seeds)) - 1
+            runs = zip(seeds[starts].tolist(), places[starts].tolist(), places[ends].tolist(), np.logical_or.reduceat(opened, starts).tolist())
+            rows = [(s, key, len(words), p, q, o, words[max(0, p - AROUND) : q + SEED + AROUND].tobytes()) for s, p, q, o in runs]
+            for at in range(0, len(rows), 10_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows[at : at + 10_000]), kinds)], names)
+
+
+def _bits(around: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text the bits of its words, the second of one word being another bit, and how many bits fell together."""
+    sizes = np.fromiter(map(len, around), np.int64, len(around))
+    row = np.repeat(np.arange(len(around)), sizes)
+    words = np.concatenate([*around, np.zeros(0, np.uint32)]).astype(np.uint64)
+    order = np.lexsort((words, row))
+    row, words = row[order], words[order]
+    new = np.append(True, (words[1:] != words[:-1]) | (row[1:] != row[:-1]))[: len(words)]
+    often = np.arange(len(words)) - np.maximum.accumulate(np.where(new, np.arange(len(words)), 0))
+    few = often < PASSAGE  # of one word so many are enough
+    row, words, often = row[few], words[few], often[few]
+    place = (((words + often.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) * _FACTOR) >> np.uint64(40)) % np.uint64(BITS)
+    out = np.zeros((len(around), BITS // 64), np.uint64)
+    np.bitwise_or.at(out, (row, (place >> np.uint64(6)).astype(np.intp)), np.uint64(1) << (place & np.uint64(63)))
+    return out, (np.bincount(row, minlength=len(around)) - np.bitwise_count(out).sum(axis=1)).astype(np.int16)
+
+
+def _agreeing(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Pairs of texts that may have ``PASSAGE`` words in common, by the bits of their words: no such pair is missed."""
+    (bits, lost), (other, other_lost) = _bits(left), _bits(right)
+    for at in range(0, len(left), 128):
+        for to in range(0, len(right), 512):
+            x, y = bits[at : at + 128], other[to : to + 512]
+            common = np.zeros((len(x), len(y)), np.int16)
+            for k in range(BITS // 64):
+                common += np.bitwise_count(x[:, k, None] & y[None, :, k])
+            # Words that share a bit are told once: as many may be missing as fell together in either.
+            common += np.minimum(lost[at : at + 128, None], other_lost[None, to : to + 512])
+            for i, j in np.argwhere(common >= PASSAGE).tolist():
+                yield at + i, to + j
+
+
+def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of tiles (seed, i, j, left, id, size, first, last, open, words around), sorted: matches (a, b, at_a, at_b), ``a`` the shorter."""
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+    rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+    for _, same in groupby(rows, key=lambda row: row[:3]):
+        tile = [row[3:] for row in same]
+        sides = [[row[1:] for row in tile if row[0] == side] for side in (True, False)]
+        around = [[np.frombuffer(row[5], np.uint32) for row in side] for side in sides]
+        found = set()
+        for x, y in _agreeing(*around):
+            a, b = sides[0][x], sides[1][y]
+            if a[0] == b[0] or (b[4] and b[0] < a[0]):  # two open ones meet twice
+                continue
+            if _longest_common(around[0][x], around[1][y]) >= PASSAGE:
+                if (b[1], b[0]) < (a[1], a[0]):
+                    a, b = b, a
+                found |= {(a[0], b[0], a[2], b[2]), (a[0], b[0], a[3], b[3])}
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*sorted(found)), kinds)], ["a", "b", "at_a", "at_b"])
+
+
 def _led(seeds: DataFrame) -> DataFrame:
     """Seeds that occur again, with place ``at_a`` in document ``a``, the shortest: one shuffle, no row's text read twice."""
     same = Window.partitionBy("seed")
@@ -457,18 +545,19 @@ def _linked_windows(shared: DataFrame) -> DataFrame:
     return pairs.select("a", "b", F.col("m.at_a").alias("at_a"), F.col("m.at_b").alias("at_b"))
 
 
-def _told(shared: DataFrame, found: DataFrame, sides: str = "ab") -> DataFrame:
-    """``shared`` with ``covered``: whether a passage of ``found`` has the occurrence on one of ``sides``."""
-    spans = [found.select(F.col(k).alias("id"), F.col(f"{k}_start").alias("s"), F.col(f"{k}_end").alias("e")) for k in sides]
+def _told(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """``shared`` with ``covered`` and ``linked``: whether a passage of ``found`` has the occurrence on either side, and on side ``b``."""
+    spans = [found.select(F.col(k).alias("id"), F.col(f"{k}_start").alias("s"), F.col(f"{k}_end").alias("e"), F.lit(k == "b").alias("of_b")) for k in "ab"]
     every = cut(reduce(DataFrame.unionByName, spans).distinct())
-    covers = (F.col("place") >= F.col("s")) & (F.col("place") + SEED <= F.col("e"))
-    return shared.join(every, "id", "left").groupBy(shared.columns).agg(F.max(F.coalesce(covers, F.lit(False))).alias("covered"))
+    covers = F.coalesce((F.col("place") >= F.col("s")) & (F.col("place") + SEED <= F.col("e")), F.lit(False))
+    linked = F.max(covers & F.coalesce("of_b", F.lit(False)))
+    return shared.join(every, "id", "left").groupBy(shared.columns).agg(F.max(covers).alias("covered"), linked.alias("linked"))
 
 
 def _uncovered(shared: DataFrame, found: DataFrame) -> DataFrame:
     """Occurrences of shared seeds in long stretches that no passage covers, without documents that led already."""
     rest = shared.where(F.col("id") != F.col("a")).drop("a", "at_a")
-    open_ = cut(_told(rest, found).where(~F.col("covered")).drop("covered"))
+    open_ = cut(_told(rest, found).where(~F.col("covered")).drop("covered", "linked"))
     order = Window.partitionBy("id").orderBy("place")
     far = F.col("place") - F.lag("place").over(order) > 2 * SPREAD
     stretch = F.sum(F.coalesce(far, F.lit(True)).cast("int")).over(order)
@@ -478,9 +567,9 @@ def _uncovered(shared: DataFrame, found: DataFrame) -> DataFrame:
     return cut(_led(kept))
 
 
-def _open_windows(rows: DataFrame, shared: DataFrame, found: DataFrame) -> DataFrame:
+def _open_windows(rows: DataFrame, shared: DataFrame, told: DataFrame) -> DataFrame:
     """(seed, id, place, size) of the windows, in all documents, around seeds that a longer document has uncovered."""
-    told = _told(shared, found, "b").where(~F.col("covered"))
+    told = told.where(~F.col("linked"))
     opened = told.where(F.col("id") != F.col("a")).select("seed").distinct().withColumn("open", F.lit(True))
     marked = shared.join(cut(opened), "seed", "left").withColumn("open", F.coalesce("open", F.lit(False)))
     places = marked.groupBy("id").agg(F.collect_list(F.struct("place", "open")).alias("m"), F.max("open").alias("any")).where("any")
@@ -489,6 +578,40 @@ def _open_windows(rows: DataFrame, shared: DataFrame, found: DataFrame) -> DataF
     return windows
 
 
+def _in_tiles(rows: DataFrame, told: DataFrame, still: DataFrame) -> DataFrame:
+    """As ``_linked``, of all pairs of documents that share a seed of ``still``, open in one of them, and words around it."""
+    of_two = F.min("id") != F.max("id")
+    seeds = told.join(still.select("seed").distinct(), "seed", "left_semi").select("seed", "id", "place").distinct()
+    several = cut(seeds.groupBy("seed").agg(of_two.alias("of_two")).where("of_two").select("seed"))
+    marked = seeds.join(several, "seed", "left_semi").join(still, ["seed", "id", "place"], "left")
+    listed = marked.groupBy("id").agg(F.collect_list(F.struct("seed", "place", F.coalesce("open", F.lit(False)).alias("open"))).alias("m"))
+    listed = cut(listed.select("id", F.col("m.seed").alias("seeds"), F.col("m.place").alias("places"), F.col("m.open").alias("opened")))
+    beside = rows.join(listed, "id").select("id", "text", "seeds", "places", "opened")
+    around = stored(beside.mapInArrow(_surrounded, "seed long, id long, size int, first int, last int, open boolean, around binary"), "around")
+    tiles = lambda many: F.ceil(many / TILE).cast("int")
+    sizes = around.groupBy("seed").agg(tiles(F.count("*")).alias("tiles"), tiles(F.count_if("open")).alias("open_tiles"))
+    todo = around.join(cut(sizes.where(F.col("open_tiles") > 0)), "seed")
+    spot = F.xxhash64("id", "first")
+    own = lambda many: F.pmod(spot, F.col(many)).cast("int")
+    beside = lambda many: F.explode(F.sequence(F.lit(0), F.col(many) - 1))
+    lefts = todo.where("open").withColumn("i", own("open_tiles")).withColumn("j", beside("tiles")).withColumn("left", F.lit(True))
+    rights = todo.withColumn("j", own("tiles")).withColumn("i", beside("open_tiles")).withColumn("left", F.lit(False))
+    columns = ["seed", "i", "j", "left", "id", "size", "first", "last", "open", "around"]
+    dealt = lefts.select(columns).unionByName(rights.select(columns)).repartition("seed", "i", "j").sortWithinPartitions("seed", "i", "j")
+    met = dealt.mapInArrow(_meeting, "a long, b long, at_a int, at_b int").distinct()
+    pairs = met.groupBy("a", "b").agg(F.collect_list(F.struct("at_a", "at_b")).alias("m"))
+    return pairs.select("a", "b", F.col("m.at_a").alias("at_a"), F.col("m.at_b").alias("at_b"))
+
+
+def _covering(found: DataFrame, still: DataFrame) -> DataFrame:
+    """Passages that have an occurrence of ``still`` on either side; what the others hold is told with shorter documents."""
+    places = still.groupBy("id").agg(F.array_sort(F.collect_list("place")).alias("places"))
+    for k in "ab":
+        found = found.join(places.select(F.col("id").alias(k), F.col("places").alias(f"in_{k}")), k, "left")
+        found = found.withColumn(f"in_{k}", F.expr(f"coalesce(exists(in_{k}, p -> p >= {k}_start AND p + {SEED} <= {k}_end), false)"))
+    return found.where("in_a OR in_b").drop("in_a", "in_b")
+
+
 def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Passages that two documents share: (a, a_start, a_end, b, b_start, b_end, equal).
 
@@ -510,9 +633,14 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
             break
         found = found.unionByName(_compared(rows, pairs))
         shared = _uncovered(shared, found)
-    windows = stored(_open_windows(rows, every, found), "windows")
+    told = stored(_told(every, found), "told")
+    windows = stored(_open_windows(rows, every, told), "windows")
     pairs = stored(_linked_windows(windows), "pairs")
-    return found.unionByName(_compared(rows, pairs)).distinct()
+    further = _compared(rows, pairs)
+    still = _told(told.where(~F.col("covered")).drop("covered", "linked"), further).where(~F.col("covered"))
+    still = stored(still.select("seed", "id", "place").withColumn("open", F.lit(True)).distinct(), "still")
+    last = _covering(_compared(rows, stored(_in_tiles(rows, told, still), "pairs")), still)
+    return found.unionByName(further).unionByName(last).distinct()
 
 
 def _compared(rows: DataFrame, pairs: DataFrame) -> DataFrame:

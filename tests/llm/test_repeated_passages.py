@@ -201,3 +201,26 @@ def test_hashes_of_words_in_a_row():
         for k in range(size):
             total = total * R._FACTOR + numbers[k : k + len(total)]
         assert np.array_equal(R._rolled(numbers, size), total)
+
+
+def test_passage_whose_seeds_are_led_by_many_shorter_documents(spark):
+    rng = random.Random(17)
+    say = lambda n: [_word(rng) for _ in range(n)]
+    passage = say(72)
+    changed = [w if n % 24 != 23 else _word(rng) for n, w in enumerate(passage)]
+    docs = [say(60) + passage + say(60), say(80) + changed + say(80)]
+    for n in range(6):  # each has one third of it, and is shorter than both
+        docs += [say(10 + n) + passage[at : at + 23] + say(22) for at in (0, 24, 48)]
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")
+    found = {tuple(r) for r in R.repeated(frame).select("a", "a_start", "a_end", "b", "b_start", "b_end", "equal").collect()}
+    assert found == {(0, 60, 131, 1, 80, 151, 69)}
+
+
+def test_no_pair_with_enough_words_in_common_is_missed(monkeypatch):
+    rng = np.random.default_rng(14)
+    texts = [rng.integers(0, words, rng.integers(0, 200), dtype=np.uint32) for words in (1, 3, 60, 300, 1 << 31) for _ in range(12)]
+    texts += [np.where(rng.random(150) < 0.3, rng.integers(0, 1 << 31, 150), 7 * np.arange(150)).astype(np.uint32) for _ in range(12)]
+    expected = {(i, j) for i, x in enumerate(texts) for j, y in enumerate(texts) if R._longest_common(x, y) >= R.PASSAGE}
+    for bits in (R.BITS, 128):
+        monkeypatch.setattr(R, "BITS", bits)
+        assert expected <= set(R._agreeing(texts, texts)) and len(expected) > 100
