@@ -50,10 +50,11 @@ FREQUENT = 1 / 200
 MAX_FREQUENT = 500_000
 #: Documents of a chunk, and candidates counted in one pass.
 CHUNK_DOCS, CANDIDATES = 4_000, 1_000_000
+#: Places of the table that tells most shingles from the candidates.
+_SIEVE = 1 << 23
 
 _MIX_A, _MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
-word_hashes: dict[bytes, int] = {}
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -62,28 +63,25 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hash(word: bytes) -> int:
-    found = word_hashes.get(word)
-    if found is None:
-        if len(word_hashes) > 100_000:
-            word_hashes.clear()
-        found = word_hashes[word] = xxhash.xxh64_intdigest(word)
-    return found
-
-
-def shingles(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The different shingles of a text, as rising numbers, and their counts. Fewer words than a shingle are one."""
+def _rolled(words: list[bytes]) -> np.ndarray:
+    """The shingles of a text in its order, as numbers. Fewer words than a shingle are one."""
     if not words:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    hashes = np.fromiter(map(word_hash, words), dtype=np.uint64, count=len(words))
+        return np.zeros(0, np.uint64)
+    hashes = np.frombuffer(b"".join(map(xxhash.xxh64_digest, words)), ">u8").astype(np.uint64)
     size = min(SHINGLE, len(words))
     many = len(words) - size + 1
-    with np.errstate(over="ignore"):
-        total = np.full(many, size, dtype=np.uint64)
-        for k in range(size):
-            total *= _PLACES[0]
-            total += hashes[k : k + many]
-        return np.unique(_mixed(total), return_counts=True)
+    total = np.full(many, size, dtype=np.uint64)
+    for k in range(size):
+        total *= _PLACES[0]
+        total += hashes[k : k + many]
+    return _mixed(total)
+
+
+def shingles(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The different shingles of a text, as rising numbers, and their counts."""
+    rolled = np.sort(_rolled(words))
+    starts = np.flatnonzero(np.append(True, rolled[1:] != rolled[:-1])[: len(rolled)])
+    return rolled[starts], np.diff(starts, append=len(rolled))
 
 
 class Weights:
@@ -132,7 +130,7 @@ def samples(hashes: np.ndarray, weights: np.ndarray, block: int = 2_048) -> np.n
         drawn = part[:, None] * _SEEDS  # shingles are mixed well, so this and one more step will do
         drawn ^= drawn >> np.uint64(29)
         drawn *= _MIX_A
-        index = (drawn >> np.uint64(48)).astype(np.intp)
+        index = (drawn >> np.uint64(48)).view(np.int64)
         r = _GAMMA.take(index)
         beta = ((drawn >> np.uint64(16)) & low).astype(np.float32)
         beta *= np.float32(1 / 65536)
@@ -143,7 +141,7 @@ def samples(hashes: np.ndarray, weights: np.ndarray, block: int = 2_048) -> np.n
         beta -= t
         beta -= 1
         beta *= r
-        beta += _LOG_GAMMA.take(((drawn >> np.uint64(32)) & low).astype(np.intp))
+        beta += _LOG_GAMMA.take(((drawn >> np.uint64(32)) & low).view(np.int64))
         cost = beta
         first = cost.argmin(axis=0)
         columns = np.arange(SAMPLES)
@@ -170,7 +168,7 @@ def similarity(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> float:
 
 def _chunk_candidates(share: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hold_only("words", word_hashes)
+        hold_only("words")
         held: list[np.ndarray] = []
 
         def named() -> Iterator[pa.RecordBatch]:
@@ -192,15 +190,19 @@ def _chunk_candidates(share: float) -> Callable:
 
 def _counted(shared) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hold_only("words", word_hashes)
+        hold_only("words")
         wanted = shared.value
         counts = np.zeros(len(wanted), np.int64)
+        low = np.uint64(_SIEVE - 1)
+        sieve = np.zeros(_SIEVE, bool)
+        sieve[(wanted & low).astype(np.intp)] = True
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                found = shingles(words_of(text or ""))[0]
+                rolled = _rolled(words_of(text or ""))
+                found = rolled[sieve[(rolled & low).view(np.int64)]]  # most are surely none of the wanted ones
                 if len(found):
                     at = np.minimum(np.searchsorted(wanted, found), len(wanted) - 1)
-                    counts[at[wanted[at] == found]] += 1
+                    counts[np.unique(at[wanted[at] == found])] += 1
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(wanted[seen].view(np.int64)), pa.array(counts[seen])], ["shingle", "n"])
 
@@ -229,7 +231,7 @@ def weigh(texts: DataFrame) -> Weights:
 
 def _signed(shared) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hold_only("words", word_hashes)
+        hold_only("words")
         weights = shared.value
         for batch in batches:
             ids, digests, bands, signs = [], [], [], []

@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from millrace.llm import near_copies as N
@@ -125,3 +126,18 @@ def test_plain_similarity_proposes_too(spark):
         docs += [(2 * n + k, " ".join([before, *[line] * often, after])) for k, often in enumerate((20, 400))]
     got = {r["doc_id"]: r["class_id"] for r in N.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert got == brute_classes(docs) == {i: i - i % 2 for i in range(40)}
+
+
+def test_candidates_are_counted_without_sorting_texts(monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{n}" for n in rng.integers(0, 12, size)) for size in (0, 1, 3, 5, 40, 400, 400)]
+    expected = {}
+    for text in texts:
+        for s in N.shingles(N.words_of(text))[0].tolist():
+            expected[s] = expected.get(s, 0) + 1
+    wanted = np.array(sorted(expected)[::2], np.uint64)
+    beside = wanted + np.uint64(N._SIEVE)  # none of the texts' shingles, at the same places of the table
+    shared = type("Shared", (), {"value": np.sort(np.concatenate([wanted, beside]))})
+    monkeypatch.setattr(N, "shingles", None)
+    (got,) = N._counted(shared)([pa.RecordBatch.from_arrays([pa.array([*texts, None])], ["text"])])
+    assert dict(zip(got["shingle"].to_numpy().view(np.uint64).tolist(), got["n"].to_pylist())) == {s: expected[s] for s in wanted.tolist()}
