@@ -210,7 +210,7 @@ def test_passage_whose_seeds_are_led_by_many_shorter_documents(spark):
     changed = [w if n % 24 != 23 else _word(rng) for n, w in enumerate(passage)]
     docs = [say(60) + passage + say(60), say(80) + changed + say(80)]
     for n in range(6):  # each has one third of it, and is shorter than both
-        docs += [say(10 + n) + passage[at : at + 23] + say(22) for at in (0, 24, 48)]
+        docs += [say(2 + n) + docs[0][60 + at - 13 : 60 + at + 36] + say(2) for at in (0, 24, 48)]
     frame = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")
     found = {tuple(r) for r in R.repeated(frame).select("a", "a_start", "a_end", "b", "b_start", "b_end", "equal").collect()}
     assert found == {(0, 60, 131, 1, 80, 151, 69)}
