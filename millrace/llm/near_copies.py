@@ -119,38 +119,37 @@ _INVERSE = 1 / _GAMMA
 _SEEDS = _mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) * _PLACES[0]) | np.uint64(1)
 
 
-def samples(hashes: np.ndarray, weights: np.ndarray, block: int = 2_048) -> np.ndarray:
-    """``SAMPLES`` numbers; two weighted sets agree in each with a chance equal to their weighted Jaccard similarity."""
-    best = np.full(SAMPLES, np.inf, dtype=np.float32)
-    chosen, level = np.zeros(SAMPLES, np.uint64), np.zeros(SAMPLES, np.float32)
-    low = np.uint64(0xFFFF)
+def samples(hashes: np.ndarray, *weights: np.ndarray, block: int = 512) -> np.ndarray:
+    """``SAMPLES`` numbers for each of ``weights``; two weighted sets agree in each with a chance equal to their weighted Jaccard similarity."""
+    best = np.full((len(weights), SAMPLES), np.inf, dtype=np.float32)
+    chosen, level = np.zeros(best.shape, np.uint64), np.zeros(best.shape, np.float32)
+    columns = np.arange(SAMPLES)
     for at in range(0, len(hashes), block):
         part = hashes[at : at + block]
-        log_w = np.log(weights[at : at + block]).astype(np.float32)[:, None]
         drawn = part[:, None] * _SEEDS  # shingles are mixed well, so this and one more step will do
         drawn ^= drawn >> np.uint64(29)
         drawn *= _MIX_A
-        index = (drawn >> np.uint64(48)).view(np.int64)
-        r = _GAMMA.take(index)
-        beta = ((drawn >> np.uint64(16)) & low).astype(np.float32)
-        beta *= np.float32(1 / 65536)
-        t = _INVERSE.take(index)
-        t *= log_w
-        t += beta
-        np.floor(t, out=t)
-        beta -= t
-        beta -= 1
-        beta *= r
-        beta += _LOG_GAMMA.take(((drawn >> np.uint64(32)) & low).view(np.int64))
-        cost = beta
-        first = cost.argmin(axis=0)
-        columns = np.arange(SAMPLES)
-        least = cost[first, columns]
-        better = least < best
-        best[better] = least[better]
-        chosen[better] = part[first[better]]
-        level[better] = t[first, columns][better]
-    return _mixed(chosen ^ _mixed(level.astype(np.int64).view(np.uint64) + _PLACES[1]))
+        lanes = drawn.view("<u2").reshape(*drawn.shape, 4)
+        index = lanes[..., 3].astype(np.intp)
+        r, inverse = _GAMMA.take(index, mode="clip"), _INVERSE.take(index, mode="clip")
+        even = lanes[..., 1].astype(np.float32)
+        even *= np.float32(1 / 65536)
+        last = _LOG_GAMMA.take(lanes[..., 2].astype(np.intp), mode="clip")
+        for n, weight in enumerate(weights):  # what is drawn is the same for all
+            t = inverse * np.log(weight[at : at + block]).astype(np.float32)[:, None]
+            t += even
+            np.floor(t, out=t)
+            cost = even - t
+            cost -= 1
+            cost *= r
+            cost += last
+            first = cost.argmin(axis=0)
+            least = cost[first, columns]
+            better = least < best[n]
+            best[n, better] = least[better]
+            chosen[n, better] = part[first[better]]
+            level[n, better] = t[first, columns][better]
+    return _mixed(chosen ^ _mixed(level.astype(np.int64).view(np.uint64) + _PLACES[1])).ravel()
 
 
 def similarity(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> float:
@@ -241,10 +240,9 @@ def _signed(shared) -> Callable:
                     continue
                 hashes, counts = shingles(words)
                 weighed = weights.of(hashes, counts)
-                drawn = samples(hashes, weighed)
-                # Even weights are those of rare shingles that come once, so most texts are drawn from once.
-                plain = drawn if (weighed == EVEN).all() else samples(hashes, np.full(len(hashes), EVEN))
-                drawn = np.concatenate([drawn, plain])
+                # Even weights are those of rare shingles that come once; such texts are drawn from once.
+                alike = (weighed == EVEN).all()
+                drawn = np.tile(samples(hashes, weighed), 2) if alike else samples(hashes, weighed, np.full(len(hashes), EVEN))
                 ids.append(key)
                 digests.append(xxhash.xxh3_128_digest(b" ".join(words)))
                 keys = drawn.reshape(2 * BANDS, ROWS)

@@ -141,3 +141,23 @@ def test_candidates_are_counted_without_sorting_texts(monkeypatch):
     monkeypatch.setattr(N, "shingles", None)
     (got,) = N._counted(shared)([pa.RecordBatch.from_arrays([pa.array([*texts, None])], ["text"])])
     assert dict(zip(got["shingle"].to_numpy().view(np.uint64).tolist(), got["n"].to_pylist())) == {s: expected[s] for s in wanted.tolist()}
+
+
+def test_samples_of_two_weights_share_their_draws(monkeypatch):
+    rng = np.random.default_rng(19)
+    taken = []
+
+    class Counted(np.ndarray):
+        def take(self, indices, *args, **kwargs):
+            taken.append(np.size(indices))
+            return np.asarray(self).take(indices, *args, **kwargs)
+
+    for size in (1, 500, 513, 3_000):
+        hashes, weights = rng.integers(0, 1 << 63, size, dtype=np.uint64), rng.choice([1.1, 2.0, 6.0], size)
+        apart = np.concatenate([N.samples(hashes, w) for w in (weights, np.full(size, N.EVEN))])
+        with monkeypatch.context() as patch:
+            patch.setattr(N, "_GAMMA", N._GAMMA.view(Counted))
+            taken.clear()
+            together = N.samples(hashes, weights, np.full(size, N.EVEN))
+        assert np.array_equal(apart, together)
+        assert sum(taken) == size * N.SAMPLES
