@@ -345,8 +345,35 @@ def _true_matches(x: np.ndarray, y: np.ndarray, matches: list[tuple[int, int]])
     return list(map(tuple, places[same].tolist()))
 
 
+def _left_out(x: np.ndarray, y: np.ndarray, matches: list[tuple[int, int]], out: list[tuple[int, int, int, int, int]]) -> Iterator[tuple[int, int]]:
+    """Matches of ``PASSAGE`` equal words that together have, in the other text, whatever ``SEED`` of their words no passage of ``out``, which grows, has."""
+    places = np.array(sorted(matches, reverse=True))
+    places = places[(places[:, 0] + PASSAGE <= len(x)) & (places[:, 1] + PASSAGE <= len(y))]
+    words = np.arange(PASSAGE)
+    equal = (x[places[:, :1] + words] == y[places[:, 1:] + words]).all(axis=1)
+    same = {b: a for a, b in places[equal].tolist()}
+    starts, within = np.array(sorted(same), np.int64), PASSAGE - SEED + 1
+    missing = np.zeros(len(y), bool)  # where such SEED words begin
+    for b in same:
+        missing[b : b + within] = True
+    seen = 0
+    while True:
+        for part in out[seen:]:
+            missing[part[2] : part[3] - SEED + 1] = False
+        seen = len(out)
+        if not missing.any():
+            return
+        b = int(starts[np.searchsorted(starts, missing.argmax(), side="right") - 1])
+        missing[b : b + within] = False
+        yield same[b], b
+
+
 def passages(x: np.ndarray, y: np.ndarray, matches: list[tuple[int, int]]) -> list[tuple[int, int, int, int, int]]:
-    """Passages (start, end in one; start, end in the other; equal words) that two texts share."""
+    """Passages (start, end in one; start, end in the other; equal words) that two texts share.
+
+    A match that starts in a passage is taken to be in it. Where ``PASSAGE`` words from a match on are equal and only
+    partly in passages (a word said over and over more often in the other text), they are told as well.
+    """
     out: list[tuple[int, int, int, int, int]] = []
     if min(len(x), len(y)) < PASSAGE:
         return out
@@ -371,6 +398,8 @@ def passages(x: np.ndarray, y: np.ndarray, matches: list[tuple[int, int]]) -> li
             points += [(p, q, more + n) for p, q, n in inner]
             points.append((end_a, end_b, more + walked + _prolong(x[inner[-1][0] :], y[inner[-1][1] :])[2]))
             out += [part for part in (_prolonged(x, y, p) for p in _parts(points)) if _is_passage(part)]
+    for a, b in _left_out(x, y, matches, out):
+        out.append(_prolonged(x, y, (a, a + PASSAGE, b, b + PASSAGE, PASSAGE)))
     return out
 
 

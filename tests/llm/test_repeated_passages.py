@@ -224,3 +224,23 @@ def test_no_pair_with_enough_words_in_common_is_missed(monkeypatch):
     for bits in (R.BITS, 128):
         monkeypatch.setattr(R, "BITS", bits)
         assert expected <= set(R._agreeing(texts, texts)) and len(expected) > 100
+
+
+def test_a_word_said_over_and_over_is_told_without_all_pairs(spark):
+    rng = random.Random(26)
+    say = lambda n: [_word(rng) for _ in range(n)]
+    docs = [say(rng.randrange(5, 30)) + ["over"] * (60 + 13 * n) + say(rng.randrange(5, 30)) for n in range(40)]
+    found = R.repeated(spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")).collect()
+    for i, words in enumerate(docs):
+        told = [range(r[f"{k}_start"], r[f"{k}_end"]) for r in found for k in "ab" if r[k] == i]
+        left = {n for n, w in enumerate(words) if w == "over"} - {n for span in told for n in span}
+        assert len(left) < R.SPREAD  # seeds of one word said on lie so far apart
+    assert len({(r["a"], r["b"]) for r in found}) < 5 * len(docs)  # there are 780 pairs
+
+
+def test_equal_words_in_passages_that_adjoin_are_told():
+    x, y = np.full(60, 7, np.uint32), np.full(200, 7, np.uint32)
+    found = R.passages(x, y, [(0, n) for n in range(151)])
+    assert all(e - s == f - t == n >= R.PASSAGE for s, e, t, f, n in found)
+    assert all(any(t <= at and at + R.SEED <= f for _, _, t, f, _ in found) for at in range(200 - R.SEED + 1))
+    assert len(found) < 9
