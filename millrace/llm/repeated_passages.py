@@ -14,8 +14,10 @@ rounds     where shared seeds go on for long but no passage covers them (their s
 windows    where seeds are still not covered after that, every ``PASSAGE`` words in a row are a key of their
            own, which links to its shortest document: that one holds the whole, so no equal run is missed
 tiles      seeds that are open even then are met by all pairs of their occurrences, in tiles of bounded size:
-           where the words around both (``AROUND`` on either side) have ``PASSAGE`` in common, in order, the
-           documents are compared. Nothing is capped; work grows with the square of an open seed's occurrences
+           where the words around both (``AROUND`` on either side) have a passage with the seed in it, the shortest
+           such document is told; an occurrence without one is compared with all documents that have ``PASSAGE`` words
+           in common there, in order. Nothing is capped; looking grows with the square of an open seed's occurrences,
+           what is told does not where copies are near enough
 =========  ============================================================================================
 """
 
@@ -411,6 +413,19 @@ def _prolonged(x: np.ndarray, y: np.ndarray, part: tuple[int, int, int, int, int
     return a - left_a, end_a + right_a, b - left_b, end_b + right_b, equal + more + further
 
 
+def _whole_parts(x: np.ndarray, y: np.ndarray, parts: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """Passages, seen in a part of both texts, with what goes on alike at both ends; none within another."""
+    out: list[tuple[int, int, int, int, int]] = []
+    for a, end_a, b, end_b, equal in parts:
+        if any(s <= a and end_a <= e and t <= b and end_b <= f for s, e, t, f, _ in out):
+            continue
+        if _longest_common(x[a:end_a], y[b:end_b]) < equal:  # rows of one id with different texts
+            continue
+        whole = _prolonged(x, y, (a, end_a, b, end_b, equal))
+        out.append(whole if _is_passage(whole) else (a, end_a, b, end_b, equal))
+    return out
+
+
 def _is_passage(part: tuple[int, int, int, int, int]) -> bool:
     a, end_a, b, end_b, equal = part
     return equal >= PASSAGE and equal >= IDENTITY * max(end_a - a, end_b - b)
@@ -420,12 +435,15 @@ _FOUND = "a long, a_start int, a_end int, b long, b_start int, b_end int, equal
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (a, b, places in a, places in b, words of a, words of b): the passages."""
+    """Of (a, b, places in a, places in b, words of a, words of b) and, where known, parts of passages: the passages."""
     for batch in batches:
         rows = []
         for n in range(batch.num_rows):  # one row at a time: a batch of long documents is large
-            a, b, at_a, at_b, x, y = (c[n].as_py() for c in batch.columns)
-            found = passages(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32), list(zip(at_a, at_b)))
+            a, b, at_a, at_b, x, y, *parts = (c[n].as_py() for c in batch.columns)
+            x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+            found = _whole_parts(x, y, [tuple(p.values()) for p in parts[0]]) if parts else []
+            if at_a:
+                found += passages(x, y, list(zip(at_a, at_b)))
             rows += [(a, s, e, b, t, f, n) for s, e, t, f, n in found]
         columns = list(zip(*rows)) if rows else [()] * 7
         kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
@@ -528,25 +546,78 @@ def _agreeing(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[tuple
                 yield at + i, to + j
 
 
+def _grams(words: np.ndarray) -> np.ndarray:
+    """Of a text's ``SEED`` words in a row, in order, 40 bits of their hash before 24 for their place."""
+    total = _rolled(words.astype(np.uint64), SEED)
+    total ^= total >> np.uint64(31)
+    total *= np.uint64(0xBF58476D1CE4E5B9)
+    return total >> np.uint64(24) << np.uint64(24) | np.arange(len(total), dtype=np.uint64)
+
+
+def _alike(x: np.ndarray, y: np.ndarray, off: int) -> list[tuple[int, int]]:
+    """Matches of ``_grams`` of one text with sorted ones of another: of equal ones that next to ``off`` places further on.
+
+    Of matches that follow each other word by word only the first and the last are told.
+    """
+    low = np.uint64((1 << 24) - 1)
+    wanted = (x & ~low) | np.clip(np.arange(len(x)) + off, 0, int(low)).astype(np.uint64)
+    after = np.searchsorted(y, wanted)
+    near = []
+    for at in (after - 1, after):
+        found = y[np.clip(at, 0, len(y) - 1)]
+        far = np.abs((found & low).astype(np.int64) - (wanted & low).astype(np.int64))
+        near.append((np.where((found ^ wanted) <= low, far, 1 << 24), found & low))
+    (far, before), (other, behind) = near
+    a = np.flatnonzero(np.minimum(far, other) < 1 << 24)
+    b = np.where(far <= other, before, behind)[a].astype(np.int64)
+    follows = (np.diff(a) == 1) & (np.diff(b) == 1)
+    edge = ~(np.append(False, follows) & np.append(follows, False))[: len(a)]
+    return list(zip(a[edge].tolist(), b[edge].tolist()))
+
+
+_MET = "seed long, own long, spot int, size int, beside long, beside_size int, equal int, at_own array<int>, at_beside array<int>"
+
+
 def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of tiles (seed, i, j, left, id, size, first, last, open, words around), sorted: matches (a, b, at_a, at_b), ``a`` the shorter."""
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+    """Of tiles (seed, i, j, left, id, size, first, last, open, words around), sorted: what an open occurrence on the left meets.
+
+    Where the words around it have a passage with those around another, the seed within, that is told of the shortest such
+    document (start and end in both, ``equal`` words), else (``equal`` 0) matches with all that have ``PASSAGE`` words in common.
+    """
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32())]
     rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
-    for _, same in groupby(rows, key=lambda row: row[:3]):
+    for (seed, *_), same in groupby(rows, key=lambda row: row[:3]):
         tile = [row[3:] for row in same]
-        sides = [[row[1:] for row in tile if row[0] == side] for side in (True, False)]
+        sides = [sorted((row[1:] for row in tile if row[0] == side), key=lambda row: (row[1], row[0], row[2])) for side in (True, False)]
         around = [[np.frombuffer(row[5], np.uint32) for row in side] for side in sides]
-        found = set()
-        for x, y in _agreeing(*around):
+        grams: list[dict[int, np.ndarray]] = [{}, {}]
+        met: dict[int, list[tuple]] = {}
+        sure = set()
+        for x, y in _agreeing(*around):  # of one on the left the shortest first
             a, b = sides[0][x], sides[1][y]
-            if a[0] == b[0] or (b[4] and b[0] < a[0]):  # two open ones meet twice
+            if x in sure or a[0] == b[0]:
                 continue
-            if _longest_common(around[0][x], around[1][y]) >= PASSAGE:
-                if (b[1], b[0]) < (a[1], a[0]):
-                    a, b = b, a
-                found |= {(a[0], b[0], a[2], b[2]), (a[0], b[0], a[3], b[3])}
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*sorted(found)), kinds)], ["a", "b", "at_a", "at_b"])
+            words, others = around[0][x], around[1][y]
+            if _longest_common(words, others) < PASSAGE:
+                continue
+            if x not in grams[0]:
+                grams[0][x] = _grams(words)
+            if y not in grams[1]:
+                grams[1][y] = np.sort(_grams(others))
+            from_a, from_b = max(0, a[2] - AROUND), max(0, b[2] - AROUND)
+            ends = [(a[2] - from_a, b[2] - from_b), (a[3] - from_a, b[3] - from_b)]
+            matches = ends + _alike(grams[0][x], grams[1][y], b[2] - from_b - a[2] + from_a)
+            covers = (f for f in passages(words, others, matches) if f[0] <= a[2] - from_a and a[3] - from_a + SEED <= f[1])
+            within = next(covers, None)
+            if within:
+                start, end, to, until, equal = within
+                sure.add(x)
+                met[x] = [(seed, a[0], a[2], a[1], b[0], b[1], equal, [start + from_a, end + from_a], [to + from_b, until + from_b])]
+            else:
+                met.setdefault(x, []).append((seed, a[0], a[2], a[1], b[0], b[1], 0, [a[2], a[3]], [b[2], b[3]]))
+        if met:
+            columns = zip(*(row for told in met.values() for row in told))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [f.split()[0] for f in _MET.split(", ")])
 
 
 def _led(seeds: DataFrame) -> DataFrame:
@@ -627,9 +698,18 @@ def _in_tiles(rows: DataFrame, told: DataFrame, still: DataFrame) -> DataFrame:
     rights = todo.withColumn("j", own("tiles")).withColumn("i", beside("open_tiles")).withColumn("left", F.lit(False))
     columns = ["seed", "i", "j", "left", "id", "size", "first", "last", "open", "around"]
     dealt = lefts.select(columns).unionByName(rights.select(columns)).repartition("seed", "i", "j").sortWithinPartitions("seed", "i", "j")
-    met = dealt.mapInArrow(_meeting, "a long, b long, at_a int, at_b int").distinct()
-    pairs = met.groupBy("a", "b").agg(F.collect_list(F.struct("at_a", "at_b")).alias("m"))
-    return pairs.select("a", "b", F.col("m.at_a").alias("at_a"), F.col("m.at_b").alias("at_b"))
+    met = dealt.mapInArrow(_meeting, _MET)
+    one = Window.partitionBy("seed", "own", "spot")
+    place = F.row_number().over(one.orderBy((F.col("equal") > 0).desc(), "beside_size", "beside"))
+    met = met.withColumn("most", F.max("equal").over(one)).withColumn("place", place).where((F.col("most") == 0) | (F.col("place") == 1))
+    leads = (F.col("size") < F.col("beside_size")) | ((F.col("size") == F.col("beside_size")) & (F.col("own") < F.col("beside")))
+    ways = [met.where(way).select(F.col(a).alias("a"), F.col(b).alias("b"), F.col(f"at_{a}").alias("at_a"), F.col(f"at_{b}").alias("at_b"), "equal") for way, a, b in ((leads, "own", "beside"), (~leads, "beside", "own"))]
+    matches = F.when(F.col("equal") == 0, F.arrays_zip("at_a", "at_b"))
+    ends = [F.col(f"at_{k}")[n].alias(f"{k}_{name}") for k in "ab" for n, name in enumerate(("start", "end"))]
+    parts = F.when(F.col("equal") > 0, F.struct(*ends, "equal"))
+    told = [F.array_distinct(F.flatten(F.collect_list(matches))).alias("m"), F.array_sort(F.collect_set(parts)).alias("parts")]
+    pairs = ways[0].unionByName(ways[1]).groupBy("a", "b").agg(*told)
+    return pairs.select("a", "b", F.col("m.at_a").alias("at_a"), F.col("m.at_b").alias("at_b"), "parts")
 
 
 def _covering(found: DataFrame, still: DataFrame) -> DataFrame:
@@ -678,7 +758,8 @@ def _compared(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     chosen = rows.join(wanted, "id").select("id", "text").dropDuplicates(["id"])
     words = stored(chosen.mapInArrow(_numbered, "id long, words binary"), "words")
     of_a, of_b = (words.select(F.col("id").alias(k), F.col("words").alias(f"words_{k}")) for k in "ab")
-    beside = pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "at_a", "at_b", "words_a", "words_b")
+    columns = ["a", "b", "at_a", "at_b", "words_a", "words_b", *(["parts"] if "parts" in pairs.columns else [])]
+    beside = pairs.join(of_b, "b").join(of_a, "a").select(columns)
     return stored(beside.mapInArrow(_aligned, _FOUND), "passages")
 
 

@@ -7,6 +7,7 @@ import time
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 
 from millrace.llm import queries
 from millrace.llm import repeated_passages as R
@@ -244,3 +245,56 @@ def test_equal_words_in_passages_that_adjoin_are_told():
     assert all(e - s == f - t == n >= R.PASSAGE for s, e, t, f, n in found)
     assert all(any(t <= at and at + R.SEED <= f for _, _, t, f, _ in found) for at in range(200 - R.SEED + 1))
     assert len(found) < 9
+
+
+def test_an_open_occurrence_is_told_with_one_document():
+    rng = np.random.default_rng(31)
+    say = lambda n: rng.integers(0, 1 << 32, n, dtype=np.uint64).astype(np.uint32)
+    text, seed, rows = say(2 * R.AROUND + R.SEED), R.AROUND, []
+    for n in range(40):  # near copies of one text, and five others with its seed alone
+        words = np.where(rng.random(len(text)) < 0.06, say(len(text)), text) if n < 35 else say(len(text))
+        words[seed : seed + R.SEED] = text[seed : seed + R.SEED]
+        for left in (True, False):
+            rows.append({"seed": 5, "i": 0, "j": 0, "left": left, "id": n, "size": 400 - n, "first": 100, "last": 100, "open": True, "around": words.tobytes()})
+    met = [row for batch in R._meeting(iter([pa.RecordBatch.from_pylist(rows)])) for row in batch.to_pylist()]
+    assert [row["own"] for row in met] == sorted(range(35), reverse=True)  # all pairs would be 595
+    for row in met:
+        (start, end), (to, until) = row["at_own"], row["at_beside"]
+        assert row["equal"] >= R.PASSAGE and row["equal"] >= R.IDENTITY * max(end - start, until - to)
+        assert start <= 100 and 100 + R.SEED <= end and row["own"] != row["beside"]
+    assert {row["beside"] for row in met} <= {34, 33, 32, 31}  # the shortest that has a passage with it
+
+
+def test_words_in_a_row_meet_those_next_to_the_diagonal():
+    rng = np.random.default_rng(32)
+    for off in (-9, 0, 14):
+        x, y = (rng.integers(0, 2, n, dtype=np.uint32) for n in (120, 150))
+        pairs = {}
+        for i in range(len(x) - R.SEED + 1):
+            equal = [j for j in range(len(y) - R.SEED + 1) if (x[i : i + R.SEED] == y[j : j + R.SEED]).all()]
+            if equal:
+                pairs[i] = min(abs(j - max(0, i + off)) for j in equal)
+        got = R._alike(R._grams(x), np.sort(R._grams(y)), off)
+        assert all((x[i : i + R.SEED] == y[j : j + R.SEED]).all() and abs(j - max(0, i + off)) == pairs[i] for i, j in got)
+        between = {i for (i, j), (p, q) in zip(got, got[1:]) if p - i == q - j for i in range(i, p)}
+        assert set(pairs) <= between | {i for i, _ in got}
+
+
+def test_parts_of_passages_are_told_whole():
+    rng = np.random.default_rng(33)
+    say = lambda n: rng.integers(0, 1 << 32, n, dtype=np.uint64).astype(np.uint32)
+    line = say(300)
+    x, y = np.concatenate([say(20), line, say(30)]), np.concatenate([say(50), line, say(10)])
+    parts = [(80, 150, 110, 180, 70), (200, 260, 230, 290, 60)]
+    assert R._whole_parts(x, y, parts) == [(20, 320, 50, 350, 300)]
+    assert R._whole_parts(say(400), y, parts) == []  # rows of one id with different texts
+
+
+def test_near_copies_with_open_seeds_are_not_told_in_pairs(spark):
+    rng = random.Random(34)
+    say = lambda n: [_word(rng) for _ in range(n)]
+    text = say(150)
+    docs = [[w if rng.random() > 0.1 else _word(rng) for w in text] + say(n % 7) for n in range(60)]
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")
+    found = {(r["a"], r["b"]) for r in R.repeated(frame).collect()}
+    assert {i for pair in found for i in pair} == set(range(60)) and len(found) < 5 * len(docs)  # there are 1,770 pairs
