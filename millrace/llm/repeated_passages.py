@@ -575,6 +575,17 @@ def _alike(x: np.ndarray, y: np.ndarray, off: int) -> list[tuple[int, int]]:
     return list(zip(a[edge].tolist(), b[edge].tolist()))
 
 
+def _passage_at(x: np.ndarray, y: np.ndarray, matches: list[tuple[int, int]], last: int) -> tuple[int, int, int, int, int] | None:
+    """The passage along the best chain that has the first of ``matches``, if there is one and it goes on to the words at ``last``."""
+    first = matches[0]
+    chain = next((c for c in chains(_true_matches(x, y, matches)) if first in c), None)
+    if chain is None:
+        return None
+    end_a, end_b, equal = _walk(x, y, chain)
+    whole = _prolonged(x, y, (chain[0][0], end_a, chain[0][1], end_b, equal))
+    return whole if _is_passage(whole) and whole[0] <= first[0] and last + SEED <= whole[1] else None
+
+
 _MET = "seed long, own long, spot int, size int, beside long, beside_size int, equal int, at_own array<int>, at_beside array<int>"
 
 
@@ -607,8 +618,7 @@ def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             from_a, from_b = max(0, a[2] - AROUND), max(0, b[2] - AROUND)
             ends = [(a[2] - from_a, b[2] - from_b), (a[3] - from_a, b[3] - from_b)]
             matches = ends + _alike(grams[0][x], grams[1][y], b[2] - from_b - a[2] + from_a)
-            covers = (f for f in passages(words, others, matches) if f[0] <= a[2] - from_a and a[3] - from_a + SEED <= f[1])
-            within = next(covers, None)
+            within = _passage_at(words, others, matches, a[3] - from_a)
             if within:
                 start, end, to, until, equal = within
                 sure.add(x)
