@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.common import cut, fresh, hold_only, stored
-from millrace.llm.decontaminate import places_of_words, words_of
+from millrace.llm.decontaminate import _FOLD, places_of_words
 
 SEED, SPREAD = 8, 12
 #: Equal words of a passage, and their least share of its length.
@@ -55,10 +55,64 @@ TILE, BITS = 2_048, 2_048
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def numbers_of(text: str | None) -> np.ndarray:
-    """The words of a text as 64-bit numbers."""
-    hashes = b"".join(map(xxhash.xxh64_digest, words_of(text or "")))
-    return np.frombuffer(hashes, ">u8").astype(np.uint64)
+#: Texts and characters that are hashed at once.
+_TEXTS, _CHARACTERS = 128, 1 << 19
+_PRIMES = [np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
+
+
+def _xxh64(text: bytes, starts: np.ndarray, size: int) -> np.ndarray:
+    """xxh64 of words of one length, below 32 bytes, that start at these places of a text."""
+    one, two, three, four, five = _PRIMES
+    turned = lambda x, n: x << np.uint64(n) | x >> np.uint64(64 - n)
+    total, at = np.full(len(starts), five + np.uint64(size)), 0
+
+    def piece(kind: str, width: int) -> np.ndarray:
+        return np.ndarray(len(text) - width + 1, kind, text, 0, (1,))[starts + at].astype(np.uint64)
+
+    while size - at >= 8:
+        total = turned(total ^ turned(piece("<u8", 8) * two, 31) * one, 27) * one + four
+        at += 8
+    if size - at >= 4:
+        total = turned(total ^ piece("<u4", 4) * one, 23) * two + three
+        at += 4
+    while at < size:
+        total = turned(total ^ piece("u1", 1) * five, 11) * one
+        at += 1
+    total = (total ^ total >> np.uint64(33)) * two
+    total = (total ^ total >> np.uint64(29)) * three
+    return total ^ total >> np.uint64(32)
+
+
+def _hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The words of texts, one text after the other, as 64-bit numbers, and how many each has."""
+    parts = [text.encode().translate(_FOLD) for text in texts]
+    text = b" ".join([b"", *parts, b""])
+    blank = np.frombuffer(text, np.uint8) == 32
+    edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    starts, ends = edges[::2], edges[1::2]
+    sizes = np.minimum(ends - starts, 32).astype(np.uint8)
+    order = np.argsort(sizes, kind="stable")
+    numbers = np.empty(len(starts), np.uint64)
+    for size, same in zip(range(32), np.split(order, np.searchsorted(sizes[order], np.arange(1, 33, dtype=np.uint8)))):
+        if len(same):
+            numbers[same] = _xxh64(text, starts[same], size)
+    for n in np.flatnonzero(sizes == 32).tolist():
+        numbers[n] = xxhash.xxh64_intdigest(text[starts[n] : ends[n]])
+    until = np.searchsorted(starts, np.cumsum([len(p) + 1 for p in parts], dtype=np.int64))
+    return numbers, np.diff(until, prepend=0)
+
+
+def numbers_of(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The words of texts as 64-bit numbers, and how many each text has, for some texts at a time."""
+    some, long = [], 0
+    for text in texts:
+        some.append(text or "")
+        long += len(some[-1])
+        if len(some) == _TEXTS or long >= _CHARACTERS:
+            yield _hashed(some)
+            some, long = [], 0
+    if some:
+        yield _hashed(some)
 
 
 def _rolled(numbers: np.ndarray, size: int) -> np.ndarray:
@@ -77,24 +131,31 @@ def _rolled(numbers: np.ndarray, size: int) -> np.ndarray:
 
 def _first_smallest(total: np.ndarray, size: int) -> np.ndarray:
     """For every ``size`` values in a row the place of the smallest, the first of equal ones."""
-    places, width = np.arange(len(total)), 1
+    places, least, width = np.arange(len(total)), total, 1
     while width < size:
         step = min(width, size - width)
-        left, right = places[:-step], places[step:]
-        places = np.where(total[right] < total[left], right, left)
+        less = least[step:] < least[:-step]
+        places = np.where(less, places[step:], places[:-step])
+        least = np.minimum(least[step:], least[:-step])
         width += step
     return places
 
 
+def _mixed(numbers: np.ndarray) -> np.ndarray:
+    """Hashes of every ``SEED`` numbers in a row."""
+    total = _rolled(numbers, SEED)
+    total ^= total >> np.uint64(31)
+    total *= np.uint64(0xBF58476D1CE4E5B9)
+    total ^= total >> np.uint64(29)
+    return total
+
+
 def seeds_of(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and places of a text's seeds."""
     many = len(numbers) - SEED + 1
     if many < 1:
         return np.zeros(0, np.int64), np.zeros(0, np.int32)
-    total = _rolled(numbers, SEED)
-    total ^= total >> np.uint64(31)
-    total *= np.uint64(0xBF58476D1CE4E5B9)
-    total ^= total >> np.uint64(29)
+    total = _mixed(numbers)
     places = _first_smallest(total, min(SPREAD, many))
     places = places[np.append(True, places[1:] != places[:-1])]
     found = total[places]
@@ -109,20 +170,43 @@ def seeds_of(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return total[places].view(np.int64), places.astype(np.int32)
 
 
+def _seeds_of_all(numbers: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts one after the other, each of ``PASSAGE`` words at least: hashes, texts and places of the seeds, as ``seeds_of``."""
+    total, starts = _mixed(numbers), np.cumsum(sizes) - sizes
+    places = _first_smallest(total, SPREAD)
+    within = sizes - SEED - SPREAD + 2  # so many k-mers in a row lie in one text
+    text = np.repeat(np.arange(len(sizes)), within)
+    places = places[np.arange(len(text)) + np.repeat(starts - np.cumsum(within) + within, within)]
+    new = np.append(True, (places[1:] != places[:-1]) | (text[1:] != text[:-1]))
+    places, text = places[new], text[new]
+    found = total[places].view(np.int64)
+    places = places - starts[text]
+    again = np.unique(text[1:][(found[1:] == found[:-1]) & (text[1:] == text[:-1])])
+    if len(again):  # one k-mer follows itself
+        kept = ~np.isin(text, again)
+        parts = [(found[kept], text[kept], places[kept])]
+        for n in again.tolist():
+            seeds, at = seeds_of(numbers[starts[n] : starts[n] + sizes[n]])
+            parts.append((seeds, np.full(len(seeds), n), at))
+        found, text, places = (np.concatenate(c) for c in zip(*parts))
+    return found, text, places.astype(np.int32)
+
+
 def _seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of (id, text): (seed, id, place, size)."""
     hold_only("passages")
     for batch in (whole.slice(at, 1000) for whole in batches for at in range(0, whole.num_rows, 1000)):
         seeds, ids, places, sizes = [], [], [], []
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            numbers = numbers_of(text)
-            if len(numbers) < PASSAGE:  # has no passage, so it must not lead
-                continue
-            found, at = seeds_of(numbers)
-            seeds.append(found)
-            places.append(at)
-            ids.append(np.full(len(found), key, np.int64))
-            sizes.append(np.full(len(found), len(numbers), np.int32))
+        keys, at = batch.column(0).to_numpy(), 0
+        for numbers, many in numbers_of(batch.column(1).to_pylist()):
+            enough = many >= PASSAGE  # others have no passage, so they must not lead
+            if enough.any():
+                found, text, place = _seeds_of_all(numbers if enough.all() else numbers[np.repeat(enough, many)], many[enough])
+                seeds.append(found)
+                places.append(place)
+                ids.append(keys[at : at + len(many)][enough][text])
+                sizes.append(many[enough][text].astype(np.int32))
+            at += len(many)
         columns = [np.concatenate(x) if x else np.zeros(0, k) for x, k in ((seeds, np.int64), (ids, np.int64), (places, np.int32), (sizes, np.int32))]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["seed", "id", "place", "size"])
 
@@ -130,7 +214,10 @@ def _seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of (id, text): (id, words as bytes of 32-bit numbers)."""
     for batch in batches:
-        words = [(numbers_of(t) >> np.uint64(32)).astype(np.uint32).tobytes() for t in batch.column(1).to_pylist()]
+        words = []
+        for numbers, many in numbers_of(batch.column(1).to_pylist()):
+            short = (numbers >> np.uint64(32)).astype(np.uint32)
+            words += [part.tobytes() for part in np.split(short, np.cumsum(many)[:-1])]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.binary())], ["id", "words"])
 
 
@@ -207,7 +294,7 @@ def chains(matches: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
 def _equal_between(x: np.ndarray, y: np.ndarray) -> int:
     """Words that two stretches between anchors have in common, in order."""
     if len(x) == len(y):
-        return int((x == y).sum())
+        return int(np.count_nonzero(x == y))
     return _longest_common(x, y)
 
 
@@ -215,16 +302,29 @@ def _longest_common(x: np.ndarray, y: np.ndarray) -> int:
     """The length of the longest common subsequence."""
     if not len(x) or not len(y):
         return 0
+    return _rises(x.tolist(), _spots(y), len(y))
+
+
+def _spots(y: np.ndarray) -> dict[int, int]:
+    """Of each word of a text its places, as the bits of one number."""
     places: dict[int, int] = {}
-    for n, word in enumerate(y.tolist()):
-        places[word] = places.get(word, 0) | 1 << n
-    # Longest common subsequence, a row of its table as the bits of one number: 0 where the row rises.
-    row = full = (1 << len(y)) - 1
-    for word in x.tolist():
-        here = row & places.get(word, 0)
-        if here:
-            row = (row + here | row - here) & full
-    return len(y) - row.bit_count()
+    bit = 1
+    for word in y.tolist():
+        places[word] = places.get(word, 0) | bit
+        bit <<= 1
+    return places
+
+
+def _rises(x: list[int], places: dict[int, int], size: int) -> int:
+    """The longest common subsequence of words and of a text of ``size`` words by its ``_spots``."""
+    # A row of its table as the bits of one number: 0 where the row rises.
+    row = full = (1 << size) - 1
+    for at in map(places.get, x):
+        if at:
+            here = row & at
+            if here:
+                row = (row + here | row - here) & full
+    return size - row.bit_count()
 
 
 #: Words to skip in two texts after a difference, in the order in which they are tried.
@@ -241,17 +341,22 @@ def _prolong(x: np.ndarray, y: np.ndarray) -> tuple[int, int, int]:
     best = (0, 0, 0, 0)
     in_x, in_y = x.tobytes(), y.tobytes()
     three = 3 * x.itemsize
-    while i < len(x) and j < len(y):
-        if x[i] == y[j]:
-            run = min(len(x) - i, len(y) - j, 64)
-            other = np.flatnonzero(x[i : i + run] != y[j : j + run])
-            same = int(other[0]) if len(other) else run
+    size, long_x, long_y = x.itemsize, len(x), len(y)
+    while i < long_x and j < long_y:
+        at, to = i * size, j * size
+        if in_x[at : at + size] == in_y[to : to + size]:
+            run = min(long_x - i, long_y - j, 64)
+            same = run
+            if in_x[at : at + run * size] != in_y[to : to + run * size]:
+                same = int((x[i : i + run] != y[j : j + run]).argmax())
             i, j, equal, score = i + same, j + same, equal + same, score + same
             if score > best[0]:
                 best = (score, i, j, equal)
             continue
-        next_x = [in_x[k : k + three] for k in range(i * x.itemsize, (i + 6) * x.itemsize, x.itemsize)]
-        next_y = [in_y[k : k + three] for k in range(j * y.itemsize, (j + 6) * y.itemsize, y.itemsize)]
+        next_x = [in_x[k : k + three] for k in range(at, at + 6 * size, size)]
+        next_y = [in_y[k : k + three] for k in range(to, to + 6 * size, size)]
+        if not any(map(next_y.__contains__, next_x)):
+            break
         found = next((p for p in _SKIPS if next_x[p[0]] == next_y[p[1]] and len(next_x[p[0]]) == three), None)
         if found is None:
             break
@@ -269,9 +374,14 @@ def _promising(x: np.ndarray, y: np.ndarray, chain: list[tuple[int, int]]) -> bo
         return True
     # Inserted and deleted words move a passage to other diagonals, so a word may have its equal on any of a band.
     before, after, side = min(a, PASSAGE), min(len(x) - a, PASSAGE + span), PASSAGE // 4
-    at = b + np.arange(-before, after)[:, None] + np.arange(-side, side + 1)
-    near = (y[np.clip(at, 0, len(y) - 1)] == x[a - before : a + after, None]) & (at >= 0) & (at < len(y))
-    return int(near.any(axis=1).sum()) >= PASSAGE // 2
+    many, first = before + after, b - before - side
+    beside = np.full(many + 2 * side, -1)  # no word, where the other text has ended
+    low, high = max(first, 0), min(first + len(beside), len(y))
+    if low < high:
+        beside[low - first : high - first] = y[low:high]
+    band = np.ndarray((2 * side + 1, many), beside.dtype, beside, 0, (beside.itemsize, beside.itemsize))
+    near = np.logical_or.reduce(band == x[a - before : a + after], axis=0)
+    return np.count_nonzero(near) >= PASSAGE // 2
 
 
 def _walk(x: np.ndarray, y: np.ndarray, chain: list[tuple[int, int]], points: list[tuple[int, int, int]] | None = None) -> tuple[int, int, int]:
@@ -279,12 +389,11 @@ def _walk(x: np.ndarray, y: np.ndarray, chain: list[tuple[int, int]], points: li
 
     ``points`` gathers (place in one, in the other, equal words so far) wherever equal words begin or end.
     """
-    places = np.array(chain)
-    breaks = np.flatnonzero(np.diff(places[:, 0] - places[:, 1])) + 1
+    edges = [0, *(n for n in range(1, len(chain)) if chain[n][0] - chain[n][1] != chain[n - 1][0] - chain[n - 1][1]), len(chain)]
     end_a, end_b = chain[0]
     equal = 0
-    for run in np.split(places, breaks):
-        (a, b), last = run[0].tolist(), int(run[-1, 0]) + SEED
+    for first, end in zip(edges, edges[1:]):
+        (a, b), last = chain[first], chain[end - 1][0] + SEED
         over = max(end_a - a, end_b - b, 0)
         size = last - a - over
         if size <= 0:
@@ -302,9 +411,9 @@ def _walk(x: np.ndarray, y: np.ndarray, chain: list[tuple[int, int]], points: li
         same = x[a + over : last] == y[b + over : b + over + size]
         if points is not None:
             sums = np.concatenate(([0], np.cumsum(same)))
-            edges = [0, *(np.flatnonzero(np.diff(same)) + 1).tolist(), size]
-            points += [(a + over + k, b + over + k, equal + int(sums[k])) for k in edges]
-        equal += int(same.sum())
+            turns = [0, *(np.flatnonzero(np.diff(same)) + 1).tolist(), size]
+            points += [(a + over + k, b + over + k, equal + int(sums[k])) for k in turns]
+        equal += int(np.count_nonzero(same))
         end_a, end_b = last, b + over + size
     return end_a, end_b, equal
 
@@ -338,22 +447,29 @@ def _parts(points: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int,
     return out
 
 
+def _agreed(x: np.ndarray, y: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
+    """Those rows (place in one, in the other) from which ``size`` words are equal, in their order."""
+    if min(len(x), len(y)) < size:
+        return places[:0]
+    places = places[(places[:, 0] + size <= len(x)) & (places[:, 1] + size <= len(y))]
+    places = places[x[places[:, 0] + size - 1] == y[places[:, 1] + size - 1]]
+    x, y = (np.ascontiguousarray(t) for t in (x, y))
+    of_x, of_y = (np.ndarray((len(t) - size + 1, size), t.dtype, t, 0, (t.itemsize, t.itemsize)) for t in (x, y))
+    return places[np.logical_and.reduce(of_x[places[:, 0]] == of_y[places[:, 1]], axis=1)]
+
+
 def _true_matches(x: np.ndarray, y: np.ndarray, matches: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Those matches whose words really agree (rows of one id with different texts could have others)."""
-    places = np.array(sorted(set(matches)))
-    places = places[(places[:, 0] + SEED <= len(x)) & (places[:, 1] + SEED <= len(y))]
-    words = np.arange(SEED)
-    same = (x[places[:, :1] + words] == y[places[:, 1:] + words]).all(axis=1)
-    return list(map(tuple, places[same].tolist()))
+    places = _agreed(x, y, np.array(sorted(set(matches)), np.int64).reshape(-1, 2), SEED)
+    return list(zip(places[:, 0].tolist(), places[:, 1].tolist()))
 
 
 def _left_out(x: np.ndarray, y: np.ndarray, matches: list[tuple[int, int]], out: list[tuple[int, int, int, int, int]]) -> Iterator[tuple[int, int]]:
     """Matches of ``PASSAGE`` equal words that together have, in the other text, whatever ``SEED`` of their words no passage of ``out``, which grows, has."""
-    places = np.array(sorted(matches, reverse=True))
-    places = places[(places[:, 0] + PASSAGE <= len(x)) & (places[:, 1] + PASSAGE <= len(y))]
-    words = np.arange(PASSAGE)
-    equal = (x[places[:, :1] + words] == y[places[:, 1:] + words]).all(axis=1)
-    same = {b: a for a, b in places[equal].tolist()}
+    equal = _agreed(x, y, np.array(sorted(matches, reverse=True), np.int64).reshape(-1, 2), PASSAGE)
+    if not len(equal):
+        return
+    same = {b: a for a, b in equal.tolist()}
     starts, within = np.array(sorted(same), np.int64), PASSAGE - SEED + 1
     missing = np.zeros(len(y), bool)  # where such SEED words begin
     for b in same:
@@ -381,7 +497,7 @@ def passages(x: np.ndarray, y: np.ndarray, matches: list[tuple[int, int]]) -> li
         return out
     inside = lambda a, b: any(s <= a < e and t <= b < f for s, e, t, f, _ in out)
     for chain in chains(_true_matches(x, y, matches)):
-        chain = [m for m in chain if not inside(*m)]
+        chain = [m for m in chain if not inside(*m)] if out else chain
         if not chain or not _promising(x, y, chain):
             continue
         a, b = chain[0]
@@ -438,12 +554,13 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of (a, b, places in a, places in b, words of a, words of b) and, where known, parts of passages: the passages."""
     for batch in batches:
         rows = []
-        for n in range(batch.num_rows):  # one row at a time: a batch of long documents is large
-            a, b, at_a, at_b, x, y, *parts = (c[n].as_py() for c in batch.columns)
-            x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
-            found = _whole_parts(x, y, [tuple(p.values()) for p in parts[0]]) if parts else []
-            if at_a:
-                found += passages(x, y, list(zip(at_a, at_b)))
+        firsts, seconds, at_as, at_bs, xs, ys, *parts = batch.columns
+        for n, (a, b) in enumerate(zip(firsts.to_pylist(), seconds.to_pylist())):  # texts one row at a time: a batch of long documents is large
+            x, y = (np.frombuffer(c[n].as_buffer(), np.uint32) for c in (xs, ys))
+            found = _whole_parts(x, y, [tuple(p.values()) for p in parts[0][n].as_py()]) if parts else []
+            at_a, at_b = at_as[n].values, at_bs[n].values
+            if at_a is not None and len(at_a):
+                found += passages(x, y, list(zip(at_a.to_numpy().tolist(), at_b.to_numpy().tolist())))
             rows += [(a, s, e, b, t, f, n) for s, e, t, f, n in found]
         columns = list(zip(*rows)) if rows else [()] * 7
         kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
@@ -451,20 +568,22 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (id, text, places of shared seeds, whether each is open): (seed, id, place, size), a seed for ``PASSAGE`` words.
+    """Of (id, words, places of shared seeds, whether each is open): (seed, id, place, size), a seed for ``PASSAGE`` words.
 
     Words in a row that two documents share have shared seeds throughout, so only such windows are told,
     and of these the ones with an open seed.
     """
     for batch in batches:
         seeds, ids, places, sizes = [], [], [], []
-        for key, text, at, opened in zip(*(c.to_pylist() for c in batch.columns)):
-            numbers = numbers_of(text)
+        keys, texts, at_all, opened_all = batch.columns
+        for n, key in enumerate(keys.to_pylist()):  # a row at a time: a document may have very many seeds
+            numbers = np.frombuffer(texts[n].as_buffer(), np.uint32)
             many = len(numbers) - PASSAGE + 1
             if many < 1:
                 continue
-            order = np.argsort(np.array(at), kind="stable")
-            at, opened = np.array(at)[order], np.array(opened)[order]
+            at, opened = (c[n].values.to_numpy(zero_copy_only=False) for c in (at_all, opened_all))
+            order = np.argsort(at, kind="stable")
+            at, opened = at[order], opened[order]
             wanted = np.zeros(many, bool)
             for run, of_run in _stretches(at, opened):
                 if run[-1] - run[0] < STRETCH:
@@ -475,7 +594,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             chosen = np.flatnonzero(wanted)
             if not len(chosen):
                 continue
-            total = _rolled(numbers, PASSAGE)
+            total = _rolled(numbers.astype(np.uint64), PASSAGE)
             total ^= total >> np.uint64(31)
             total *= np.uint64(0xBF58476D1CE4E5B9)
             seeds.append((total ^ (total >> np.uint64(29)))[chosen].view(np.int64))
@@ -493,7 +612,7 @@ def _stretches(places: np.ndarray, opened: np.ndarray) -> Iterator[tuple[np.ndar
 
 
 def _surrounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (id, text, seeds, their places, whether each is open): (seed, id, size, first, last, open, words around).
+    """Of (id, words, seeds, their places, whether each is open): (seed, id, size, first, last, open, words around).
 
     Occurrences of a seed that follow each other closely (a word said over and over) are one row, from the first to the last.
     """
@@ -501,9 +620,8 @@ def _surrounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
     for batch in batches:
         for n in range(batch.num_rows):  # one row at a time: a document may have very many seeds
-            key, text, *listed = (c[n].as_py() for c in batch.columns)
-            words = (numbers_of(text) >> np.uint64(32)).astype(np.uint32)
-            seeds, places, opened = map(np.array, listed)
+            key, words = batch.column(0)[n].as_py(), np.frombuffer(batch.column(1)[n].as_buffer(), np.uint32)
+            seeds, places, opened = (c[n].values.to_numpy(zero_copy_only=False) for c in batch.columns[2:])
             order = np.lexsort((places, seeds))
             seeds, places, opened = seeds[order], places[order], opened[order]
             starts = np.flatnonzero(np.append(True, (seeds[1:] != seeds[:-1]) | (np.diff(places) > SPREAD)))
@@ -517,11 +635,11 @@ def _surrounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _bits(around: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Of each text the bits of its words, the second of one word being another bit, and how many bits fell together."""
     sizes = np.fromiter(map(len, around), np.int64, len(around))
-    row = np.repeat(np.arange(len(around)), sizes)
-    words = np.concatenate([*around, np.zeros(0, np.uint32)]).astype(np.uint64)
-    order = np.lexsort((words, row))
-    row, words = row[order], words[order]
-    new = np.append(True, (words[1:] != words[:-1]) | (row[1:] != row[:-1]))[: len(words)]
+    # A text's number before its words, in order.
+    both = np.repeat(np.arange(len(around), dtype=np.uint64) << np.uint64(32), sizes) | np.concatenate([*around, np.zeros(0, np.uint32)])
+    both.sort()
+    row, words = (both >> np.uint64(32)).astype(np.int64), both & np.uint64((1 << 32) - 1)
+    new = np.append(True, both[1:] != both[:-1])[: len(both)]
     often = np.arange(len(words)) - np.maximum.accumulate(np.where(new, np.arange(len(words)), 0))
     few = often < PASSAGE  # of one word so many are enough
     row, words, often = row[few], words[few], often[few]
@@ -531,19 +649,43 @@ def _bits(around: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return out, (np.bincount(row, minlength=len(around)) - np.bitwise_count(out).sum(axis=1)).astype(np.int16)
 
 
+def _folded(bits: np.ndarray, lost: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``_bits``, of a quarter as many bits."""
+    few = np.bitwise_or.reduce(bits.reshape(len(bits), -1, max(1, BITS // 256)), axis=1)
+    return few, (lost + np.bitwise_count(bits).sum(axis=1, dtype=np.int16) - np.bitwise_count(few).sum(axis=1, dtype=np.int16)).astype(np.int16)
+
+
+def _may_agree(x: np.ndarray, lost: np.ndarray, y: np.ndarray, other_lost: np.ndarray) -> np.ndarray:
+    """Of all pairs of two sides whether their bits allow ``PASSAGE`` words in common."""
+    common = np.zeros((len(x), len(y)), np.int16)
+    for k in range(x.shape[1]):
+        common += np.bitwise_count(x[:, k, None] & y[None, :, k])
+    # Words that share a bit are told once: as many may be missing as fell together in either.
+    common += np.minimum(lost[:, None], other_lost)
+    return common >= PASSAGE
+
+
 def _agreeing(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[tuple[int, int]]:
-    """Pairs of texts that may have ``PASSAGE`` words in common, by the bits of their words: no such pair is missed."""
-    (bits, lost), (other, other_lost) = _bits(left), _bits(right)
+    """Pairs of texts that may have ``PASSAGE`` words in common, by the bits of their words: no such pair is missed.
+
+    Most pairs are told apart by a quarter of the bits already.
+    """
+    sides = [_bits(left), _bits(right)]
+    (few, few_lost), (others, others_lost) = (_folded(*side) for side in sides)
+    (bits, lost), (other, other_lost) = sides
     for at in range(0, len(left), 128):
         for to in range(0, len(right), 512):
-            x, y = bits[at : at + 128], other[to : to + 512]
-            common = np.zeros((len(x), len(y)), np.int16)
-            for k in range(BITS // 64):
-                common += np.bitwise_count(x[:, k, None] & y[None, :, k])
-            # Words that share a bit are told once: as many may be missing as fell together in either.
-            common += np.minimum(lost[at : at + 128, None], other_lost[None, to : to + 512])
-            for i, j in np.argwhere(common >= PASSAGE).tolist():
-                yield at + i, to + j
+            here, there = slice(at, at + 128), slice(to, to + 512)
+            likely = _may_agree(few[here], few_lost[here], others[there], others_lost[there])
+            i, j = likely.nonzero()
+            if 8 * len(i) > likely.size:
+                i, j = _may_agree(bits[here], lost[here], other[there], other_lost[there]).nonzero()
+                i, j = i + at, j + to
+            else:
+                i, j = i + at, j + to
+                common = np.bitwise_count(bits[i] & other[j]).sum(axis=1, dtype=np.int64) + np.minimum(lost[i], other_lost[j])
+                i, j = i[common >= PASSAGE], j[common >= PASSAGE]
+            yield from zip(i.tolist(), j.tolist())
 
 
 def _grams(words: np.ndarray) -> np.ndarray:
@@ -560,18 +702,21 @@ def _alike(x: np.ndarray, y: np.ndarray, off: int) -> list[tuple[int, int]]:
     Of matches that follow each other word by word only the first and the last are told.
     """
     low = np.uint64((1 << 24) - 1)
-    wanted = (x & ~low) | np.clip(np.arange(len(x)) + off, 0, int(low)).astype(np.uint64)
-    after = np.searchsorted(y, wanted)
+    wanted = np.minimum(np.maximum(np.arange(off, off + len(x)), 0), int(low))
+    sought = (x & ~low) | wanted.astype(np.uint64)
+    after = y.searchsorted(sought)
     near = []
-    for at in (after - 1, after):
-        found = y[np.clip(at, 0, len(y) - 1)]
-        far = np.abs((found & low).astype(np.int64) - (wanted & low).astype(np.int64))
-        near.append((np.where((found ^ wanted) <= low, far, 1 << 24), found & low))
+    for at in (np.maximum(after - 1, 0), np.minimum(after, len(y) - 1)):
+        found = y[at]
+        place = (found & low).astype(np.int64)
+        near.append((np.where((found ^ sought) <= low, np.abs(place - wanted), 1 << 24), place))
     (far, before), (other, behind) = near
-    a = np.flatnonzero(np.minimum(far, other) < 1 << 24)
-    b = np.where(far <= other, before, behind)[a].astype(np.int64)
-    follows = (np.diff(a) == 1) & (np.diff(b) == 1)
-    edge = ~(np.append(False, follows) & np.append(follows, False))[: len(a)]
+    a = (np.minimum(far, other) < 1 << 24).nonzero()[0]
+    b = np.where(far <= other, before, behind)[a]
+    edge = np.ones(len(a), bool)
+    if len(a) > 2:
+        follows = (a[1:] - a[:-1] == 1) & (b[1:] - b[:-1] == 1)
+        edge[1:-1] = ~(follows[:-1] & follows[1:])
     return list(zip(a[edge].tolist(), b[edge].tolist()))
 
 
@@ -602,6 +747,8 @@ def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sides = [sorted((row[1:] for row in tile if row[0] == side), key=lambda row: (row[1], row[0], row[2])) for side in (True, False)]
         around = [[np.frombuffer(row[5], np.uint32) for row in side] for side in sides]
         grams: list[dict[int, np.ndarray]] = [{}, {}]
+        said: dict[int, list[int]] = {}
+        spots: dict[int, dict[int, int]] = {}
         met: dict[int, list[tuple]] = {}
         sure = set()
         for x, y in _agreeing(*around):  # of one on the left the shortest first
@@ -609,7 +756,13 @@ def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if x in sure or a[0] == b[0]:
                 continue
             words, others = around[0][x], around[1][y]
-            if _longest_common(words, others) < PASSAGE:
+            if x not in said:
+                said = {x: words.tolist()}
+            if y not in spots:
+                if len(spots) >= TILE // 4:  # they are large
+                    spots.clear()
+                spots[y] = _spots(others)
+            if _rises(said[x], spots[y], len(others)) < PASSAGE:
                 continue
             if x not in grams[0]:
                 grams[0][x] = _grams(words)
@@ -646,7 +799,7 @@ def _linked(shared: DataFrame) -> DataFrame:
 
 def _linked_windows(shared: DataFrame) -> DataFrame:
     """As ``_linked``, of windows: one match for those that overlap on one diagonal."""
-    lead = shared.groupBy("seed").agg(F.min(F.struct("size", "id", "place")).alias("lead"), F.count_distinct("id").alias("n")).where(F.col("n") > 1)
+    lead = shared.groupBy("seed").agg(F.min(F.struct("size", "id", "place")).alias("lead"), (F.min("id") != F.max("id")).alias("of_two")).where("of_two")
     lead = cut(lead.select("seed", F.col("lead.id").alias("a"), F.col("lead.place").alias("at_a")))
     met = shared.join(lead, "seed").where(F.col("id") != F.col("a"))
     near = F.floor(F.col("at_a") / PASSAGE)
@@ -655,19 +808,30 @@ def _linked_windows(shared: DataFrame) -> DataFrame:
     return pairs.select("a", "b", F.col("m.at_a").alias("at_a"), F.col("m.at_b").alias("at_b"))
 
 
-def _told(shared: DataFrame, found: DataFrame) -> DataFrame:
-    """``shared`` with ``covered`` and ``linked``: whether a passage of ``found`` has the occurrence on either side, and on side ``b``."""
-    spans = [found.select(F.col(k).alias("id"), F.col(f"{k}_start").alias("s"), F.col(f"{k}_end").alias("e"), F.lit(k == "b").alias("of_b")) for k in "ab"]
-    every = cut(reduce(DataFrame.unionByName, spans).distinct())
+def _spans(found: DataFrame) -> DataFrame:
+    """(id, s, e, of_b): where passages lie, on either side."""
+    sides = F.array(*(F.struct(F.col(k).alias("id"), F.col(f"{k}_start").alias("s"), F.col(f"{k}_end").alias("e"), F.lit(k == "b").alias("of_b")) for k in "ab"))
+    return cut(found.select(F.explode(sides).alias("s")).select("s.*").distinct())
+
+
+def _told(shared: DataFrame, spans: DataFrame) -> DataFrame:
+    """``shared`` with ``covered`` and ``linked``: whether one of ``spans`` has the occurrence on either side, and on side ``b``."""
     covers = F.coalesce((F.col("place") >= F.col("s")) & (F.col("place") + SEED <= F.col("e")), F.lit(False))
     linked = F.max(covers & F.coalesce("of_b", F.lit(False)))
-    return shared.join(every, "id", "left").groupBy(shared.columns).agg(F.max(covers).alias("covered"), linked.alias("linked"))
+    return shared.join(spans, "id", "left").groupBy(shared.columns).agg(F.max(covers).alias("covered"), linked.alias("linked"))
+
+
+def _told_again(told: DataFrame, spans: DataFrame) -> DataFrame:
+    """What ``_told`` told, with further spans: only of what is not known as both is there more to learn."""
+    both = F.col("covered") & F.col("linked")
+    known = told.where(~both).withColumnsRenamed({"covered": "was_covered", "linked": "was_linked"})
+    more = _told(known, spans).withColumns({k: F.col(k) | F.col(f"was_{k}") for k in ("covered", "linked")})
+    return told.where(both).unionByName(more.select(told.columns))
 
 
-def _uncovered(shared: DataFrame, found: DataFrame) -> DataFrame:
+def _uncovered(told: DataFrame) -> DataFrame:
     """Occurrences of shared seeds in long stretches that no passage covers, without documents that led already."""
-    rest = shared.where(F.col("id") != F.col("a")).drop("a", "at_a")
-    open_ = cut(_told(rest, found).where(~F.col("covered")).drop("covered", "linked"))
+    open_ = cut(told.where((F.col("id") != F.col("a")) & ~F.col("covered")).drop("a", "at_a", "covered", "linked"))
     order = Window.partitionBy("id").orderBy("place")
     far = F.col("place") - F.lag("place").over(order) > 2 * SPREAD
     stretch = F.sum(F.coalesce(far, F.lit(True)).cast("int")).over(order)
@@ -677,18 +841,18 @@ def _uncovered(shared: DataFrame, found: DataFrame) -> DataFrame:
     return cut(_led(kept))
 
 
-def _open_windows(rows: DataFrame, shared: DataFrame, told: DataFrame) -> DataFrame:
+def _open_windows(words: DataFrame, shared: DataFrame, told: DataFrame) -> DataFrame:
     """(seed, id, place, size) of the windows, in all documents, around seeds that a longer document has uncovered."""
     told = told.where(~F.col("linked"))
     opened = told.where(F.col("id") != F.col("a")).select("seed").distinct().withColumn("open", F.lit(True))
     marked = shared.join(cut(opened), "seed", "left").withColumn("open", F.coalesce("open", F.lit(False)))
     places = marked.groupBy("id").agg(F.collect_list(F.struct("place", "open")).alias("m"), F.max("open").alias("any")).where("any")
-    chosen = rows.join(cut(places.select("id", F.col("m.place").alias("places"), F.col("m.open").alias("opened"))), "id")
-    windows = chosen.select("id", "text", "places", "opened").mapInArrow(_windows, "seed long, id long, place int, size int")
+    chosen = words.join(cut(places.select("id", F.col("m.place").alias("places"), F.col("m.open").alias("opened"))), "id")
+    windows = chosen.select("id", "words", "places", "opened").mapInArrow(_windows, "seed long, id long, place int, size int")
     return windows
 
 
-def _in_tiles(rows: DataFrame, told: DataFrame, still: DataFrame) -> DataFrame:
+def _in_tiles(words: DataFrame, told: DataFrame, still: DataFrame) -> DataFrame:
     """As ``_linked``, of all pairs of documents that share a seed of ``still``, open in one of them, and words around it."""
     of_two = F.min("id") != F.max("id")
     seeds = told.join(still.select("seed").distinct(), "seed", "left_semi").select("seed", "id", "place").distinct()
@@ -696,7 +860,7 @@ def _in_tiles(rows: DataFrame, told: DataFrame, still: DataFrame) -> DataFrame:
     marked = seeds.join(several, "seed", "left_semi").join(still, ["seed", "id", "place"], "left")
     listed = marked.groupBy("id").agg(F.collect_list(F.struct("seed", "place", F.coalesce("open", F.lit(False)).alias("open"))).alias("m"))
     listed = cut(listed.select("id", F.col("m.seed").alias("seeds"), F.col("m.place").alias("places"), F.col("m.open").alias("opened")))
-    beside = rows.join(listed, "id").select("id", "text", "seeds", "places", "opened")
+    beside = words.join(listed, "id").select("id", "words", "seeds", "places", "opened")
     around = stored(beside.mapInArrow(_surrounded, "seed long, id long, size int, first int, last int, open boolean, around binary"), "around")
     tiles = lambda many: F.ceil(many / TILE).cast("int")
     sizes = around.groupBy("seed").agg(tiles(F.count("*")).alias("tiles"), tiles(F.count_if("open")).alias("open_tiles"))
@@ -744,29 +908,50 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
     rows = docs.where(F.col(id).isNotNull()).select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     seeds = rows.mapInArrow(_seeded, "seed long, id long, place int, size int")
     shared = stored(_led(seeds), "seeds-shared")
-    found = docs.sparkSession.createDataFrame([], _FOUND)
-    every = shared
-    for _ in range(ROUNDS):
-        pairs = stored(_linked(shared), "pairs")
+    pairs = stored(_linked(shared), "pairs")
+    if pairs.isEmpty():
+        return docs.sparkSession.createDataFrame([], _FOUND)
+    words = _words(rows, pairs)  # whatever is compared later on has a seed in common as well
+    found = [_compared(words, pairs)]
+    told = stored(_told(shared, _spans(found[0])), "told")
+    left, later = told, []
+    for _ in range(ROUNDS - 1):
+        open_ = _uncovered(left)
+        pairs = stored(_linked(open_), "pairs")
         if pairs.isEmpty():
             break
-        found = found.unionByName(_compared(rows, pairs))
-        shared = _uncovered(shared, found)
-    told = stored(_told(every, found), "told")
-    windows = stored(_open_windows(rows, every, told), "windows")
+        found.append(_compared(_narrowed(words, pairs), pairs))
+        later.append(_spans(found[-1]))
+        left = _told(open_, later[-1])
+    if later:
+        told = stored(_told_again(told, reduce(DataFrame.unionByName, later)), "told")
+    windows = stored(_open_windows(words, shared, told), "windows")
     pairs = stored(_linked_windows(windows), "pairs")
-    further = _compared(rows, pairs)
-    still = _told(told.where(~F.col("covered")).drop("covered", "linked"), further).where(~F.col("covered"))
+    further = _compared(_narrowed(words, pairs), pairs)
+    still = _told(told.where(~F.col("covered")).drop("covered", "linked"), _spans(further)).where(~F.col("covered"))
     still = stored(still.select("seed", "id", "place").withColumn("open", F.lit(True)).distinct(), "still")
-    last = _covering(_compared(rows, stored(_in_tiles(rows, told, still), "pairs")), still)
-    return found.unionByName(further).unionByName(last).distinct()
+    pairs = stored(_in_tiles(words, told, still), "pairs")
+    last = _covering(_compared(_narrowed(words, pairs), pairs), still)
+    return reduce(DataFrame.unionByName, [*found, further, last]).distinct()
+
+
+def _of_pairs(pairs: DataFrame) -> DataFrame:
+    return stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted")
+
+
+def _words(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(id, words) of all documents in linked pairs, one row each."""
+    chosen = rows.join(_of_pairs(pairs), "id").select("id", "text").dropDuplicates(["id"])
+    return stored(chosen.mapInArrow(_numbered, "id long, words binary"), "words")
+
+
+def _narrowed(words: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of ``words`` that some pairs need."""
+    return stored(words.join(_of_pairs(pairs), "id"), "words")
 
 
-def _compared(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+def _compared(words: DataFrame, pairs: DataFrame) -> DataFrame:
     """The passages of linked pairs."""
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted")
-    chosen = rows.join(wanted, "id").select("id", "text").dropDuplicates(["id"])
-    words = stored(chosen.mapInArrow(_numbered, "id long, words binary"), "words")
     of_a, of_b = (words.select(F.col("id").alias(k), F.col("words").alias(f"words_{k}")) for k in "ab")
     columns = ["a", "b", "at_a", "at_b", "words_a", "words_b", *(["parts"] if "parts" in pairs.columns else [])]
     beside = pairs.join(of_b, "b").join(of_a, "a").select(columns)

@@ -8,6 +8,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 from millrace.llm import queries
 from millrace.llm import repeated_passages as R
@@ -298,3 +299,58 @@ def test_near_copies_with_open_seeds_are_not_told_in_pairs(spark):
     frame = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")
     found = {(r["a"], r["b"]) for r in R.repeated(frame).collect()}
     assert {i for pair in found for i in pair} == set(range(60)) and len(found) < 5 * len(docs)  # there are 1,770 pairs
+
+
+def test_a_text_is_hashed_for_its_words_once(spark, monkeypatch):
+    rng = random.Random(17)
+    say = lambda n: [_word(rng) for _ in range(n)]
+    passage = say(72)
+    changed = [w if n % 24 != 23 else _word(rng) for n, w in enumerate(passage)]
+    docs = [say(60) + passage + say(60), say(80) + changed + say(80)]
+    for n in range(6):  # they lead the seeds of both in all rounds, which meet in the last step alone
+        docs += [say(2 + n) + docs[0][60 + at - 13 : 60 + at + 36] + say(2) for at in (0, 24, 48)]
+    numbered, whole = spark.sparkContext.accumulator(0), R._numbered
+
+    def counted(batches):
+        def seen():
+            for batch in batches:
+                numbered.add(batch.num_rows)
+                yield batch
+
+        yield from whole(seen())
+
+    monkeypatch.setattr(R, "_numbered", counted)
+    found = {(r["a"], r["b"]) for r in R.repeated(spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")).collect()}
+    assert found == {(0, 1)}
+    assert 0 < numbered.value <= len(docs)
+
+
+def test_words_are_hashed_as_by_xxhash():
+    rng = random.Random(35)
+    letters = ["a", "Z", "7", "é", "日", "-", "\n"]
+    texts = [" ".join("".join(rng.choice(letters) for _ in range(rng.randrange(45))) for _ in range(rng.randrange(60))) for _ in range(200)]
+    texts += [None, "", " ", *("w" * n for n in range(70)), "x" * 3_000, "long " * 150_000, ""]
+    numbers = [part for found, many in R.numbers_of(texts) for part in np.split(found, np.cumsum(many)[:-1])]
+    assert [part.tolist() for part in numbers] == [[xxhash.xxh64_intdigest(w) for w in words_of(t or "")] for t in texts]
+
+
+def test_seeds_of_texts_together_are_those_of_each():
+    rng = np.random.default_rng(36)
+    texts = [rng.integers(0, words, rng.integers(R.PASSAGE, 200), dtype=np.uint64) for words in (1, 2, 1 << 63) for _ in range(20)]
+    texts += [np.concatenate([t, np.full(100, 5, np.uint64), t]) for t in texts[-3:]]
+    seeds, text, places = R._seeds_of_all(np.concatenate(texts), np.array([len(t) for t in texts]))
+    for n, numbers in enumerate(texts):
+        expected = R.seeds_of(numbers)
+        assert set(zip(seeds[text == n].tolist(), places[text == n].tolist())) == set(zip(*(c.tolist() for c in expected)))
+        assert (text == n).sum() == len(expected[0])
+
+
+def test_few_bits_keep_pairs_that_all_bits_keep():
+    rng = np.random.default_rng(37)
+    line = rng.integers(0, 1 << 31, 90, dtype=np.uint32)
+    for near in (3, 150, 600):  # so many near copies among 600: few pairs, many in some blocks, all
+        texts = [np.where(rng.random(90) < (0.2 if n < near else 0.95), rng.integers(0, 1 << 31, 90, dtype=np.uint32), line) for n in range(600)]
+        texts[::7] = [np.concatenate([t, t[:60]]) for t in texts[::7]]
+        bits, lost = R._bits(texts)
+        common = np.array([np.bitwise_count(row & bits).sum(axis=1) for row in bits]) + np.minimum(lost[:, None], lost)
+        assert set(R._agreeing(texts, texts)) == set(map(tuple, np.argwhere(common >= R.PASSAGE).tolist()))
